@@ -22,8 +22,15 @@ def scan_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace ``path`` with the rows of ``df`` in their order, dates as ISO text."""
-    df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    """Replace ``path`` with the rows of ``df`` in their order, dates as ISO text, blanks kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("dateFormat", "yyyy-MM-dd")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def write_table(df: DataFrame, path: str) -> None:
