@@ -28,16 +28,20 @@ def quantity_flag(value: Column, median: Column, factor: float = 10.0) -> Column
     )
 
 
-def lookup_fill(df: DataFrame, column: str, master: DataFrame, key: str, master_value: str) -> DataFrame:
+def lookup_fill(
+    df: DataFrame, column: str, master: DataFrame, key: str, master_value: str, stage=None
+) -> DataFrame:
     """Fill nulls of ``column`` with the master's value for ``key``; other rows keep theirs.
 
     The master is reduced to one value per key, so repeated master keys cannot multiply
-    rows. Its join strategy is left to Spark's size check.
+    rows; ``stage`` makes its size known before the join is planned.
     """
     lookup = (
         master.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias(key))
         .agg(F.min(master_value).alias("_found"))
     )
+    if stage is not None:
+        lookup = stage(lookup, "lookup")
     joined = df.join(lookup, key, "left")
     return joined.withColumn(column, F.coalesce(column, "_found")).select(*df.columns)

@@ -191,7 +191,7 @@ def flag_sales(
         .withColumn("revenue", line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount_pct")))
         .drop("signed_quantity", "usual_quantity", "usual_price", "month")
     )
-    return lookup_fill(repaired, "sales_rep_id", customers, "customer_id", "rep_id")
+    return lookup_fill(repaired, "sales_rep_id", customers, "customer_id", "rep_id", stage)
 
 
 def finish_sales(flagged: DataFrame) -> DataFrame:

@@ -257,7 +257,7 @@ def lookup_fill(inp: Inputs) -> DataFrame:
         normalise_key(F.col("customer_id")).alias("customer_id"),
         blank_to_null(F.col("sales_rep_id")).alias("sales_rep_id"),
     )
-    return repair.lookup_fill(lines, "sales_rep_id", master, "customer_id", "rep_id")
+    return repair.lookup_fill(lines, "sales_rep_id", master, "customer_id", "rep_id", Staging(inp.spark))
 
 
 @query
@@ -552,56 +552,56 @@ def dim_region(inp: Inputs) -> DataFrame:
 
 @query
 def core_totals(inp: Inputs) -> DataFrame:
-    return measures.core_totals(inp.star(), ["region", "category"])
+    return measures.core_totals(inp.sales_star(), ["region", "category"])
 
 
 @query
 def gross_margin(inp: Inputs) -> DataFrame:
-    table = measures.gross_margin(inp.star(), ["region", "category"])
+    table = measures.gross_margin(inp.sales_star(), ["region", "category"])
     return rounded(rounded(table, "gross_margin", digits=2), "gross_margin_pct")
 
 
 @query
 def revenue_py(inp: Inputs) -> DataFrame:
-    return measures.revenue_py(inp.star(), ["region"], CALENDAR)
+    return measures.revenue_py(inp.sales_star(), ["region"], CALENDAR)
 
 
 @query
 def revenue_yoy(inp: Inputs) -> DataFrame:
-    return rounded(measures.revenue_yoy(inp.star(), ["region"], CALENDAR), "revenue_yoy")
+    return rounded(measures.revenue_yoy(inp.sales_star(), ["region"], CALENDAR), "revenue_yoy")
 
 
 @query
 def rolling_3m_revenue(inp: Inputs) -> DataFrame:
-    return measures.rolling_revenue(inp.star(), ["region"], CALENDAR)
+    return measures.rolling_revenue(inp.sales_star(), ["region"], CALENDAR)
 
 
 @query
 def h1_growth_factor(inp: Inputs) -> DataFrame:
-    return rounded(measures.growth_factor(inp.star(), ["region", "category"], SPEC.trend), "growth_factor")
+    return rounded(measures.growth_factor(inp.sales_star(), ["region", "category"], SPEC.trend), "growth_factor")
 
 
 @query
 def revenue_gap_vs_trend(inp: Inputs) -> DataFrame:
-    table = measures.gap_vs_trend(inp.star(), ["region", "category"], CALENDAR, SPEC.trend)
+    table = measures.gap_vs_trend(inp.sales_star(), ["region", "category"], CALENDAR, SPEC.trend)
     return rounded(table, "expected", "gap", digits=2)
 
 
 @query
 def forecast_measure(inp: Inputs) -> DataFrame:
-    table = measures.forecast_measure(inp.star(), ["region"], CALENDAR, SPEC.trend, SPEC.future)
+    table = measures.forecast_measure(inp.sales_star(), ["region"], CALENDAR, SPEC.trend, SPEC.future)
     return rounded(table, "forecast", digits=2)
 
 
 @query
 def attainment_measure(inp: Inputs) -> DataFrame:
-    return rounded(measures.attainment(inp.star(), ["rep_id", "month"]), "attainment")
+    return rounded(measures.attainment(inp.full_star(), ["rep_id", "month"]), "attainment")
 
 
 @query
 def attainment_status(inp: Inputs) -> DataFrame:
     share = F.col("attainment")
-    return measures.attainment(inp.star(), ["rep_id"]).select(
+    return measures.attainment(inp.full_star(), ["rep_id"]).select(
         "rep_id",
         measures.attainment_status(share).alias("status"),
         measures.attainment_colour(share).alias("colour"),
@@ -610,4 +610,4 @@ def attainment_status(inp: Inputs) -> DataFrame:
 
 @query
 def drill_across(inp: Inputs) -> DataFrame:
-    return rounded(measures.drill_across(inp.star(), ["month", "region"]), "fill_rate")
+    return rounded(measures.drill_across(inp.full_star(), ["month", "region"]), "fill_rate")
