@@ -11,7 +11,7 @@ from retail_lens.functions.ordering import order_bucket
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Median of ``value`` per ``keys``; null values and null keys are left out.
+    """Median of ``value`` per ``keys``; missing values and null keys are left out.
 
     Rows shrink to (keys, value, count) by a combining aggregation first. The middle
     rank is then looked up twice: among the order-preserving buckets of a group, whose
@@ -19,9 +19,14 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     holds the rows, or all distinct values, of a group.
     """
     keys = list(keys)
-    known = df.select(*keys, F.col(value).cast("double").alias("_v")).na.drop()
+    known = df.select(*keys, F.col(value).cast("double").alias("_v"))
+    for key in keys:
+        known = known.where(F.col(key).isNotNull())
+    known = known.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn("_bucket", order_bucket(F.col("_v")))
+    # Spelled out because the join below implies it for one of its sides: with equal
+    # filters on both, the counts are shuffled once and reused.
+    counts = counts.withColumn("_bucket", order_bucket(F.col("_v"))).where(F.col("_bucket").isNotNull())
 
     in_group = Window.partitionBy(*keys)
     running = in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)

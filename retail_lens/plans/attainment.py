@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retail_lens.functions.months import Period, PeriodSpec, in_any, month_start
 from retail_lens.functions.numbers import ratio, round_even, round_up
 from retail_lens.operators.ranking import rank_descending
+from retail_lens.session import unstaged
 
 
 def actual_by_rep_month(sales: DataFrame) -> DataFrame:
@@ -73,8 +74,13 @@ def rep_attainment(targets: DataFrame, sales: DataFrame, reps: DataFrame, spec:
     )
 
 
-def rep_attainment_ranked(targets: DataFrame, sales: DataFrame, reps: DataFrame, spec: PeriodSpec) -> DataFrame:
-    """Attainment and rank of reps that have targets; the status follows from the exact figures."""
+def rep_attainment_ranked(
+    targets: DataFrame, sales: DataFrame, reps: DataFrame, spec: PeriodSpec, stage=unstaged
+) -> DataFrame:
+    """Attainment and rank of reps that have targets; the status follows from the exact figures.
+
+    The rank reads the attainments twice; ``stage`` computes them once.
+    """
     # Reps whose targets all lie outside the two periods are listed with nulls.
     everyone = targets.select("rep_id").distinct()
     exact = (
@@ -83,7 +89,7 @@ def rep_attainment_ranked(targets: DataFrame, sales: DataFrame, reps: DataFrame,
         .join(_rep_percentages(targets, sales, spec), "rep_id", "left")
     )
     return (
-        rank_descending(exact, "current_pct", "current_rank")
+        rank_descending(stage(exact, "attainment"), "current_pct", "current_rank")
         .select(
             "rep_id",
             "rep_name",

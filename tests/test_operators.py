@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 from collections import defaultdict
@@ -31,10 +32,10 @@ def random_rows(seed, n=3000):
 
 @pytest.mark.parametrize("seed", range(4))
 def test_group_median_against_brute_force(spark, seed):
-    rows = random_rows(seed) + [("one", "x", 4.0), ("two", "x", 4.0), ("two", "x", 7.0), ("none", "x", None)]
+    rows = random_rows(seed) + [("one", "x", 4.0), ("two", "x", 4.0), ("two", "x", 7.0), ("none", "x", None), ("two", "x", math.nan)]
     groups = defaultdict(list)
     for g, h, v in rows:
-        if g is not None and v is not None:
+        if g is not None and v is not None and not math.isnan(v):
             groups[g, h].append(v)
     df = spark.createDataFrame(rows, "g string, h string, v double")
     got = {(r.g, r.h): r["median"] for r in group_median(df, ["g", "h"], "v").collect()}

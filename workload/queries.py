@@ -469,7 +469,7 @@ def rep_attainment(inp: Inputs) -> DataFrame:
 
 @query
 def rep_attainment_sql(inp: Inputs) -> DataFrame:
-    return attainment.rep_attainment_ranked(inp.targets(), inp.lines(), inp.reps(), SPEC)
+    return attainment.rep_attainment_ranked(inp.targets(), inp.lines(), inp.reps(), SPEC, Staging(inp.spark))
 
 
 @query
