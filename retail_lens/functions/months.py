@@ -95,6 +95,26 @@ def in_any(day: Column, periods: list[Period]) -> Column:
     return test
 
 
+def during(fact: DataFrame, periods: list[Period], day: str = "order_date") -> DataFrame:
+    """Rows of a fact in any of the periods.
+
+    The test is on the bare date, which reaches the file scan; a fact stored in month
+    folders is also tested on those, so that folders outside the periods are not opened.
+    """
+    test = in_any(F.col(day), periods)
+    if "month" in fact.columns:
+        test = test & in_any(F.col("month"), periods)
+    return fact.where(test)
+
+
+def since(fact: DataFrame, first_day: date, day: str = "order_date") -> DataFrame:
+    """Rows of a fact from a day on."""
+    test = F.col(day) >= F.lit(first_day)
+    if "month" in fact.columns:
+        test = test & (F.col("month") >= F.lit(first_day.replace(day=1)))
+    return fact.where(test)
+
+
 def calendar(days: DataFrame, day: str = "order_date") -> DataFrame:
     """One row per day from 1 January of the first year in ``days`` to 31 December of the last.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, PeriodSpec, in_any, month_start
+from retail_lens.functions.months import Period, PeriodSpec, during, month_start
 from retail_lens.functions.numbers import ratio, round_even, round_up
 from retail_lens.operators.ranking import rank_descending
 from retail_lens.session import unstaged
@@ -53,8 +53,7 @@ def _attained(period: Period) -> Column:
 def _rep_percentages(targets: DataFrame, sales: DataFrame, spec: PeriodSpec) -> DataFrame:
     periods = [spec.trend, spec.current]
     joined = target_vs_actual(
-        targets.where(in_any(F.col("month_start"), periods)),
-        sales.where(in_any(F.col("order_date"), periods)),
+        during(targets, periods, "month_start"), during(sales, periods)
     )
     return joined.groupBy("rep_id").agg(
         _attained(spec.trend).alias("trend_pct"), _attained(spec.current).alias("current_pct")
@@ -106,7 +105,7 @@ def rep_attainment_ranked(
 def region_attainment(targets: DataFrame, sales: DataFrame, reps: DataFrame, period: Period) -> DataFrame:
     """Attainment by the region of the rep (not of the outlet) in one period."""
     joined = target_vs_actual(
-        targets.where(period.holds(F.col("month_start"))), sales.where(period.holds(F.col("order_date")))
+        during(targets, [period], "month_start"), during(sales, [period])
     )
     per_rep = joined.groupBy("rep_id").agg(
         F.sum("actual").alias("actual"), F.sum("target_amount").alias("target_amount")

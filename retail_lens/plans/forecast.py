@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, PeriodSpec, in_any
+from retail_lens.functions.months import Period, PeriodSpec, during
 from retail_lens.functions.numbers import ratio, round_even, round_up
 from retail_lens.plans.model import Focus, monthly, period_sums
 
@@ -21,7 +21,7 @@ def forecast_detail(sales: DataFrame, products: DataFrame, spec: PeriodSpec) ->
     are then laid out as rows. No join to a month list and none back to last year.
     """
     rollup = monthly(
-        sales.where(in_any(F.col("order_date"), _used(spec))), ["region", "category"], products
+        during(sales, _used(spec)), ["region", "category"], products
     ).where("region is not null and category is not null")
 
     def total(period: Period):
@@ -50,7 +50,10 @@ def forecast_detail(sales: DataFrame, products: DataFrame, spec: PeriodSpec) ->
 
 
 def backtest_mape(detail: DataFrame, excluded: Focus) -> DataFrame:
-    """Mean absolute percentage error over back-test months, without the excluded group."""
+    """Mean absolute percentage error over back-test months, without the excluded group.
+
+    A month without actual revenue has no percentage error and is left out.
+    """
     tested = detail.where(F.col("actual").isNotNull()).where(~excluded.holds())
     error = ratio(F.abs(F.col("actual") - F.col("forecast")), F.col("actual"))
     return tested.agg((F.avg(error) * 100).alias("mape"))
@@ -69,7 +72,7 @@ def forecast_bottom_up(detail: DataFrame, future: Period) -> DataFrame:
 def forecast_top_down(sales: DataFrame, spec: PeriodSpec) -> DataFrame:
     """Future revenue by region from the region's own growth factor."""
     periods = {"trend": spec.trend, "trend_prior": spec.trend_prior, "base": spec.future_prior}
-    used = sales.where(in_any(F.col("order_date"), list(periods.values())))
+    used = during(sales, list(periods.values()))
     growth = ratio(F.col("trend"), F.col("trend_prior"))
     return (
         period_sums(used, ["region"], periods)

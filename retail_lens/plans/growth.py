@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import PeriodSpec, in_any, month_text
+from retail_lens.functions.months import PeriodSpec, during, month_text
 from retail_lens.functions.numbers import pct_change, ratio, round_even, round_up
 from retail_lens.plans.model import Focus, monthly, period_sums
 
@@ -24,7 +24,7 @@ def region_yoy(sales: DataFrame, spec: PeriodSpec, digits: int | None = 0) -> Da
     The gap is the difference of the two rounded percentages. ``digits`` rounds all
     columns once more at the end, as a printed table does.
     """
-    recent = sales.where(in_any(F.col("order_date"), list(spec.named().values())))
+    recent = during(sales, list(spec.named().values()))
     table = (
         period_sums(recent, ["region"], spec.named())
         .where("region is not null and (current is not null or prior is not null)")
@@ -70,9 +70,7 @@ def category_drilldown(
 ) -> DataFrame:
     """Current and prior revenue by category inside one region."""
     periods = {"current": spec.current, "prior": spec.prior}
-    inside = sales.where(F.col("region") == region).where(
-        in_any(F.col("order_date"), list(periods.values()))
-    )
+    inside = during(sales, list(periods.values())).where(F.col("region") == region)
     yoy = round_even(pct_change(F.col("current"), F.col("prior")), 1)
     return (
         period_sums(inside, ["category"], periods, products)
@@ -88,9 +86,7 @@ def category_drilldown(
 
 def lost_revenue(sales: DataFrame, products: DataFrame, spec: PeriodSpec, focus: Focus) -> DataFrame:
     """Revenue the trend led to expect in the current period, and what is missing from it."""
-    inside = sales.where(F.col("region") == focus.region).where(
-        in_any(F.col("order_date"), list(spec.named().values()))
-    )
+    inside = during(sales, list(spec.named().values())).where(F.col("region") == focus.region)
     totals = period_sums(inside, ["region", "category"], spec.named(), products).where(focus.holds())
     actual = F.coalesce(F.col("current").cast("double"), F.lit(0.0))
     expected = F.coalesce(F.col("prior").cast("double"), F.lit(0.0)) * ratio(F.col("trend"), F.col("trend_prior"))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period
+from retail_lens.functions.months import Period, during
 from retail_lens.functions.numbers import round_even, round_up
 from retail_lens.plans.model import Focus, keep_products, monthly
 
@@ -18,7 +18,7 @@ DAYS_PER_MONTH = 30.0
 
 def _monthly_units(sales: DataFrame, products: DataFrame, focus: Focus, window: Period) -> DataFrame:
     """Units per product and month; a month without a sale has no row."""
-    inside = sales.where(window.holds(F.col("order_date"))).where(F.col("region") == focus.region)
+    inside = during(sales, [window]).where(F.col("region") == focus.region)
     # Summed before the product filter: the semi-join then meets a product once a month.
     units = monthly(inside, ["sku"])
     return keep_products(units, products.where(F.col("category") == focus.category))

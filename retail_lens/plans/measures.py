@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, month_start, shift_month
+from retail_lens.functions.months import Period, during, month_start, shift_month
 from retail_lens.functions.numbers import ratio
 from retail_lens.plans.model import Star, monthly, period_sums, sums_by
 
@@ -107,7 +107,7 @@ def growth_factor(star: Star, by: Sequence[str], trend: Period) -> DataFrame:
     """Trend revenue over the year before per slice; a calendar filter has no say in it."""
     attributes = [c for c in by if c not in star.sales.columns]
     sums = period_sums(
-        star.sales.where(trend.holds(F.col("order_date")) | trend.shifted(-12).holds(F.col("order_date"))),
+        during(star.sales, [trend, trend.shifted(-12)]),
         by,
         {"now": trend, "then": trend.shifted(-12)},
         star.products if attributes else None,

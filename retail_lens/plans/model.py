@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, month_start
+from retail_lens.functions.months import Period, during, month_start
 
 
 @dataclass(frozen=True)
@@ -39,9 +39,9 @@ class Star:
         """Calendar filter on all three facts."""
         return replace(
             self,
-            sales=self.sales.where(period.holds(F.col("order_date"))),
-            deliveries=self.deliveries and self.deliveries.where(period.holds(F.col("order_date"))),
-            targets=self.targets and self.targets.where(period.holds(F.col("month_start"))),
+            sales=during(self.sales, [period]),
+            deliveries=self.deliveries and during(self.deliveries, [period]),
+            targets=self.targets and during(self.targets, [period], "month_start"),
         )
 
     def in_region(self, region: str) -> Star:

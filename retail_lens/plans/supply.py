@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period
+from retail_lens.functions.months import Period, during, since
 from retail_lens.functions.numbers import ratio, round_even, round_up
 from retail_lens.plans.model import Focus, sums_by
 
@@ -41,21 +41,19 @@ def supply_comparison(
     labels: Sequence[str] = ("Focus", "All other"),
 ) -> DataFrame:
     """Mean lead time, stock-out days and fill rate of the focus group against the rest."""
-    during = deliveries.where(period.holds(F.col("order_date")))
-    parts = sums_by(during, ["region", "category"], _parts(), products)
+    parts = sums_by(during(deliveries, [period]), ["region", "category"], _parts(), products)
     group = F.when(focus.holds(), labels[0]).otherwise(labels[1])
     totals = parts.groupBy(group.alias("group")).agg(*[F.sum(n).alias(n) for n in _parts()])
     means = [round_even(_mean(column), 2).alias(name) for name, column in MEASURES.items()]
     return totals.select("group", *means).orderBy("group")
 
 
-def supply_by_region_category(deliveries: DataFrame, products: DataFrame, since: date) -> DataFrame:
+def supply_by_region_category(deliveries: DataFrame, products: DataFrame, first_day: date) -> DataFrame:
     """The same means per region and category from a date on, most stock-outs first."""
-    recent = deliveries.where(F.col("order_date") >= F.lit(since))
     digits = {"avg_lead_days": 1, "avg_stockout_days": 1, "avg_fill_rate": 2}
     means = [round_up(_mean(column), digits[name]).alias(name) for name, column in MEASURES.items()]
     return (
-        sums_by(recent, ["region", "category"], _parts(), products)
+        sums_by(since(deliveries, first_day), ["region", "category"], _parts(), products)
         .select("region", "category", *means)
         .orderBy(F.desc_nulls_last("avg_stockout_days"), "region", "category")
     )

@@ -20,7 +20,6 @@ def get_spark(app: str = "retail_lens", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
         builder = builder.master(master)

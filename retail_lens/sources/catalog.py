@@ -25,10 +25,8 @@ def load_clean_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def load_clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Clean tables as the pipeline stores them; the month folder column is left out."""
-    return {
-        name: spark.read.parquet(f"{folder}/{name}").select(*schema.names) for name, schema in CLEAN.items()
-    }
+    """Clean tables as the pipeline stores them; sales and deliveries carry their month folder."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in CLEAN}
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -37,17 +37,19 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_by_month(df: DataFrame, path: str, day: str = "order_date") -> None:
-    """Replace the months present in ``df``, one folder per month.
+def write_by_month(df: DataFrame, path: str, day: str = "order_date", keep_other_months: bool = False) -> None:
+    """Replace the table at ``path``, one folder per month, ordered by day inside the files.
 
     The rebalance hint gathers a month into few files and lets adaptive execution split
-    a month that is too large for one task.
+    a month that is too large for one task. With ``keep_other_months`` only the months
+    present in ``df`` are replaced.
     """
     (
         df.withColumn("month", F.trunc(day, "MM"))
         .hint("rebalance", "month")
+        .sortWithinPartitions("month", day)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if keep_other_months else "static")
         .partitionBy("month")
         .parquet(path)
     )

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from retail_lens.functions.months import Period, PeriodSpec
+from retail_lens.functions.months import Period, PeriodSpec, during
 from retail_lens.plans import cleaning, pipeline, quality
 from retail_lens.plans.model import Focus
 from retail_lens.session import Staging
@@ -150,7 +150,12 @@ def test_end_to_end(spark, raw, tmp_path):
     for _ in range(2):  # a rerun replaces the first result
         pipeline.clean_all(spark, pipeline.read_raw(spark, str(tmp_path / "raw")), clean)
     tables = load_clean(spark, clean)
-    assert {name: df.schema.names for name, df in tables.items()} == {n: s.names for n, s in CLEAN.items()}
+    stored = {name: [c for c in df.columns if c != "month"] for name, df in tables.items()}
+    assert stored == {name: schema.names for name, schema in CLEAN.items()}
+    recent = during(tables["fact_sales"], [Period.of("2026-02")])
+    assert recent.count() == 2
+    plan = recent._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "PushedFilters: [IsNotNull(order_date)" in plan
     register_views(tables)
     assert {r.table: r.row_count for r in row_counts(tables).collect()} == {
         "fact_sales": 6,

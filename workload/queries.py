@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, DateType, DecimalType, IntegerType, ShortType
 
 from retail_lens.functions import months, numbers, text
-from retail_lens.functions.months import in_any, iso_text, month_start, shift_month
+from retail_lens.functions.months import during, iso_text, month_start, shift_month, since
 from retail_lens.functions.numbers import round_up
 from retail_lens.functions.text import (
     blank_to_null,
@@ -333,13 +333,12 @@ def quality_summary(inp: Inputs) -> DataFrame:
 
 @query
 def filter_period(inp: Inputs) -> DataFrame:
-    rows = inp.lines().where(in_any(F.col("order_date"), [SPEC.current, SPEC.prior]))
-    return rows.select("order_id", "line_no", "order_date", "revenue")
+    return during(inp.lines(), [SPEC.current, SPEC.prior]).select("order_id", "line_no", "order_date", "revenue")
 
 
 @query
 def filter_since(inp: Inputs) -> DataFrame:
-    return inp.lines().where(F.col("order_date") >= F.lit(SHOCK)).select("order_id", "line_no", "order_date")
+    return since(inp.lines(), SHOCK).select("order_id", "line_no", "order_date")
 
 
 def _totals(df: DataFrame, *by: str) -> DataFrame:
