@@ -49,7 +49,7 @@ def gross_margin(star: Star, by: Sequence[str]) -> DataFrame:
     attributes = [c for c in by if c not in star.sales.columns]
     costed = totals.join(star.products.select("sku", "unit_cost", *attributes), "sku", "left")
     cost = F.col("units") * F.coalesce(F.col("unit_cost"), F.lit(0)).cast("decimal(14,4)")
-    margin = F.sum(F.col("revenue").cast("double") - cost.cast("double"))
+    margin = F.sum(F.col("revenue") - cost).cast("double")
     return (
         costed.groupBy(*by)
         .agg(margin.alias("gross_margin"), F.sum("revenue").alias("revenue"))

@@ -44,6 +44,7 @@ def clean_all(
     write_by_month(cleaning.finish_sales(flagged["sales"]), f"{folder}/fact_sales")
     write_by_month(cleaning.finish_deliveries(flagged["deliveries"]), f"{folder}/fact_deliveries")
     write_table(quality.quality_log(flagged), f"{folder}/{QUALITY_LOG}")
+    stage.drop()
 
 
 def reports(

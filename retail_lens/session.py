@@ -61,6 +61,12 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Delete what this object wrote; for jobs whose results are stored elsewhere."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+
 
 def unstaged(df: DataFrame, name: str) -> DataFrame:
     """Stand-in for :class:`Staging` that keeps the whole plan lazy."""
