@@ -8,7 +8,7 @@ from datetime import date
 from retail_lens.functions.months import Period, PeriodSpec
 from retail_lens.plans.model import Focus
 from retail_lens.plans.pipeline import analyse, clean_all, read_raw
-from retail_lens.session import get_spark
+from retail_lens.session import get_spark, size_shuffles
 
 
 def _period(text: str) -> Period:
@@ -34,8 +34,10 @@ def main() -> None:
 
     spark = get_spark()
     if args.step == "clean":
+        size_shuffles(spark, args.raw)
         clean_all(spark, read_raw(spark, args.raw), args.clean)
     else:
+        size_shuffles(spark, args.clean)
         spec = PeriodSpec(args.current, args.trend, args.future)
         analyse(
             spark, args.clean, args.out, spec, Focus(args.region, args.category), args.shock or args.current.first

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retail_lens.functions.months import Period, PeriodSpec, add_to_month
 from retail_lens.plans import attainment, cleaning, forecast, growth, inventory, quality, supply
-from retail_lens.plans.cleaning import CleaningRules
-from retail_lens.plans.model import Focus
-from retail_lens.session import Staging
+from retail_lens.plans.cleaning import CleaningRules, Stage
+from retail_lens.plans.model import Focus, monthly_facts
+from retail_lens.session import Staging, unstaged
 from retail_lens.sources.catalog import load_clean
 from retail_lens.sources.files import scan_csv_text, write_by_month, write_csv, write_table
 from retail_lens.sources.schemas import QUALITY_LOG, RAW
@@ -48,13 +48,17 @@ def clean_all(
 
 
 def reports(
-    tables: dict[str, DataFrame], spec: PeriodSpec, focus: Focus, shock: date
+    tables: dict[str, DataFrame], spec: PeriodSpec, focus: Focus, shock: date, stage: Stage = unstaged
 ) -> dict[str, DataFrame]:
-    """Report name -> lazy frame, over the clean tables."""
-    sales, products, reps = tables["fact_sales"], tables["dim_products"], tables["dim_reps"]
+    """Report name -> lazy frame, over the clean tables.
+
+    With a real ``stage`` the sales lines are read once, for their monthly sums.
+    """
+    sales = stage(monthly_facts(tables["fact_sales"]), "monthly_facts")
+    products, reps = tables["dim_products"], tables["dim_reps"]
     deliveries, targets = tables["fact_deliveries"], tables["fact_targets"]
     year_before = _year_until(spec)
-    detail = forecast.forecast_detail(sales, products, spec)
+    detail = stage(forecast.forecast_detail(sales, products, spec), "forecast_detail")
     return {
         "region_yoy": growth.region_yoy(sales, spec),
         "category_yoy": growth.category_drilldown(sales, products, spec, focus.region),
@@ -80,5 +84,7 @@ def _year_until(spec: PeriodSpec) -> Period:
 
 def analyse(spark: SparkSession, clean: str, out: str, spec: PeriodSpec, focus: Focus, shock: date) -> None:
     """Write every report as CSV under ``out``."""
-    for name, df in reports(load_clean(spark, clean), spec, focus, shock).items():
+    stage = Staging(spark)
+    for name, df in reports(load_clean(spark, clean), spec, focus, shock, stage).items():
         write_csv(df, f"{out}/{name}")
+    stage.drop()

@@ -28,6 +28,26 @@ def get_spark(app: str = "retail_lens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def size_shuffles(spark: SparkSession, folder: str, partition_bytes: int = 256 << 20, most: int = 50_000) -> int:
+    """Raise the number of shuffle partitions to what the files under ``folder`` call for.
+
+    The default number suits some tens of gigabytes; far beyond, every partition would
+    spill many times over. Adaptive execution merges partitions that turn out small, so
+    the number is only ever raised.
+    """
+    path, files = _file_system(spark, folder)
+    wanted = min(files.getContentSummary(path).getLength() // partition_bytes, most)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -63,9 +83,8 @@ class Staging:
 
     def drop(self) -> None:
         """Delete what this object wrote; for jobs whose results are stored elsewhere."""
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        root.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(root, True)
+        path, files = _file_system(self.spark, self.root)
+        files.delete(path, True)
 
 
 def unstaged(df: DataFrame, name: str) -> DataFrame:

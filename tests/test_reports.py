@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retail_lens.functions.months import Period, PeriodSpec
 from retail_lens.plans import attainment, forecast, growth, inventory, measures, supply
-from retail_lens.plans.model import Focus, Star
+from retail_lens.plans.model import Focus, Star, monthly_facts
 
 SPEC = PeriodSpec(Period.of("2026-07", "2026-09"), Period.of("2026-01", "2026-06"), Period.of("2026-10", "2026-12"))
 FOCUS = Focus("North", "Drinks")
@@ -151,6 +151,23 @@ def test_gross_margin(sales, products, pdf):
     assert got.gross_margin_pct == pytest.approx(margin / food.revenue.sum())
 
 
+def test_monthly_facts_give_the_same_reports(sales, products, targets, reps):
+    sales = sales.unionByName(sales.withColumn("order_date", F.date_add("order_date", 3)))
+    small = monthly_facts(sales)
+    assert small.count() < sales.count()
+    window = Period.of("2025-07", "2026-06")
+    for report in (
+        lambda s: growth.growth_gap(s, products, SPEC),
+        lambda s: growth.region_yoy(s, SPEC),
+        lambda s: growth.lost_revenue(s, products, SPEC, FOCUS),
+        lambda s: growth.focus_index(s, products, FOCUS),
+        lambda s: forecast.forecast_detail(s, products, SPEC),
+        lambda s: attainment.rep_attainment(targets, s, reps, SPEC),
+        lambda s: inventory.demand_stats(s, products, FOCUS, window),
+    ):
+        assert report(small).collect() == report(sales).collect()
+
+
 TARGETS = "rep_id string, month_start date, target_amount double"
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retail_lens.functions.numbers import fill_rate, lead_time_days
 from retail_lens.plans.model import Star
+from retail_lens.session import size_shuffles
 from workload import expressions as x
 
 
@@ -22,6 +23,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        size_shuffles(spark, folder)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
