@@ -28,12 +28,6 @@ def pct_change(new: Column, old: Column) -> Column:
     return (ratio(new, old) - F.lit(1.0)) * F.lit(100.0)
 
 
-def exact_mean(col: Column, scale: int = 4) -> Column:
-    """Aggregate: mean whose sum is a decimal, hence the same whatever order rows arrive in."""
-    fixed = col.cast(f"decimal(20,{scale})")
-    return ratio(F.sum(fixed), F.count(fixed))
-
-
 def line_revenue(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """quantity x price x (1 - discount/100) to the cent, kept as an exact decimal."""
     net = quantity * unit_price * (F.lit(1.0) - discount_pct / F.lit(100.0))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retail_lens.functions.months import Period, during, month_start, shift_month
@@ -62,12 +62,19 @@ def _monthly_revenue(star: Star, by: Sequence[str]) -> DataFrame:
     return monthly(star.sales, by, star.products if attributes else None).select(*by, "month", "revenue")
 
 
-def _spread(months: DataFrame, by: Sequence[str], shifts: dict[str, list[int]], calendar: Period) -> DataFrame:
+def _spread(
+    months: DataFrame,
+    by: Sequence[str],
+    shifts: dict[str, list[int]],
+    calendar: Period,
+    constants: Sequence[str] = (),
+) -> DataFrame:
     """Per column, the sum of revenue moved on by the given numbers of months.
 
     Every month is sent to each month it contributes to and summed there, which needs one
     shuffle and no self-join, and also yields months without sales of their own. Months
-    outside the calendar are left out.
+    outside the calendar are left out. ``constants`` are columns that are equal throughout
+    a slice and are kept.
     """
     copies = [
         F.struct(
@@ -77,11 +84,11 @@ def _spread(months: DataFrame, by: Sequence[str], shifts: dict[str, list[int]],
         for shift in sorted({shift for s in shifts.values() for shift in s})
     ]
     return (
-        months.select(*by, F.explode(F.array(*copies)).alias("c"))
-        .select(*by, "c.*")
+        months.select(*by, *constants, F.explode(F.array(*copies)).alias("c"))
+        .select(*by, *constants, "c.*")
         .where(F.col("month").between(F.lit(calendar.first), F.lit(calendar.last)))
         .groupBy(*by, "month")
-        .agg(*[F.sum(name).alias(name) for name in shifts])
+        .agg(*[F.sum(name).alias(name) for name in shifts], *[F.max(name).alias(name) for name in constants])
     )
 
 
@@ -118,21 +125,21 @@ def growth_factor(star: Star, by: Sequence[str], trend: Period) -> DataFrame:
 def gap_vs_trend(star: Star, by: Sequence[str], calendar: Period, trend: Period) -> DataFrame:
     """Revenue, last year's revenue grown by the trend, and the difference.
 
-    Growth is taken from the same monthly totals, so the facts are read once.
+    Growth is taken from the same monthly totals, all of them whatever the calendar, so
+    the facts are read once. A slice has one row per month by then.
     """
     months = _monthly_revenue(star, by)
-    factors = months.groupBy(*by).agg(
-        ratio(_during(trend), _during(trend.shifted(-12))).alias("growth_factor")
-    )
+    in_slice = Window.partitionBy(*by)
+    factor = ratio(_during(trend).over(in_slice), _during(trend.shifted(-12)).over(in_slice))
+    months = months.withColumn("growth_factor", factor)
     expected = F.col("revenue_py").cast("double") * F.col("growth_factor")
-    spread = _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar)
+    spread = _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, ["growth_factor"])
     gap = F.when(
         F.col("revenue").isNotNull() | F.col("expected").isNotNull(),
         _or_zero("revenue").cast("double") - _or_zero("expected"),
     )
     return (
-        spread.join(factors, list(by), "left")
-        .withColumn("expected", expected)
+        spread.withColumn("expected", expected)
         .select(*by, "month", "revenue", "expected", gap.alias("gap"))
     )
 

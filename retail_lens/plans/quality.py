@@ -44,10 +44,6 @@ RULES = {
 }
 
 
-def _count(condition: Column) -> Column:
-    return F.count_if(condition)
-
-
 def _copies_dropped() -> Column:
     return F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
 
@@ -58,18 +54,18 @@ def _counts(table: str) -> dict[str, Column]:
         if rule == "duplicates":
             counts[rule] = _copies_dropped()
         elif rule == "undated":
-            counts[rule] = _count(F.col("order_date").isNull())
+            counts[rule] = F.count_if(F.col("order_date").isNull())
         elif table == "sales":
             # Later rules see only the rows that kept a date.
-            counts[rule] = _count(F.col("order_date").isNotNull() & F.col(rule))
+            counts[rule] = F.count_if(F.col("order_date").isNotNull() & F.col(rule))
         else:
-            counts[rule] = _count(F.col(rule))
+            counts[rule] = F.count_if(F.col(rule))
     return counts
 
 
 def _table_rows(table: str) -> Column:
     if table == "sales":
-        return _count(F.col("order_date").isNotNull())
+        return F.count_if(F.col("order_date").isNotNull())
     return F.count(F.lit(1))
 
 

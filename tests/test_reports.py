@@ -143,6 +143,15 @@ def test_expected_revenue_and_gap(sales, products):
             assert r.gap == pytest.approx(float(r.revenue or 0) - r.expected)
 
 
+def test_expected_revenue_without_a_slice(sales, products, pdf):
+    rows = measures.gap_vs_trend(Star(sales, products), [], Period.of("2026-01", "2026-12"), SPEC.trend).collect()
+    assert len(rows) == 12
+    frame = sales.toPandas().assign(revenue=lambda d: d.revenue.astype(float), ym=lambda d: pd.to_datetime(d.order_date).dt.to_period("M"))
+    growth_factor = total(frame, "2026-01", "2026-06") / total(frame, "2025-01", "2025-06")
+    july = next(r for r in rows if r.month == date(2026, 7, 1))
+    assert july.expected == pytest.approx(total(frame, "2025-07", "2025-07") * growth_factor)
+
+
 def test_gross_margin(sales, products, pdf):
     got = measures.gross_margin(Star(sales, products), ["category"]).where("category = 'Food'").first()
     food = pdf[pdf.category == "Food"]
