@@ -64,6 +64,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have Spark delete ``folder`` when the application ends; for results that are still to be read."""
+    path, files = _file_system(spark, folder)
+    files.deleteOnExit(path)
+
+
 class Staging:
     """Writes an intermediate frame once and hands back a scan of it.
 
