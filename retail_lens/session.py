@@ -67,6 +67,7 @@ def shared_folder(spark: SparkSession) -> str:
 def remove_at_exit(spark: SparkSession, folder: str) -> None:
     """Have Spark delete ``folder`` when the application ends; for results that are still to be read."""
     path, files = _file_system(spark, folder)
+    files.mkdirs(path)  # only an existing path is remembered
     files.deleteOnExit(path)
 
 
