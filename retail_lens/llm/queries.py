@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lens.llm import bpe_automaton, token_counts
+from retail_lens.llm import bpe_automaton, minimax_shards, mixing, token_counts
 
 
 def _tokenizer(name: str) -> str:
@@ -19,16 +19,25 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return minimax_shards.shard(_read(spark, folder, "documents"), shards=40, overhead=16)
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, folder, "documents"), weights=(5, 2, 1), limit=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.round_trip(_read(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op10_bpe_round_trip)
+    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op7_source_mixing, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
