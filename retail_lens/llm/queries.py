@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lens.llm import bpe_automaton, minimax_shards, mixing, token_counts
+from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts
 
 
 def _tokenizer(name: str) -> str:
@@ -27,6 +27,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_join(_read(spark, folder, "documents"), width=3, percent=90)
+
+
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, folder, "documents"), weights=(5, 2, 1), limit=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,7 +41,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op7_source_mixing, op10_bpe_round_trip)
+    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op6_ngram_join, op7_source_mixing, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
