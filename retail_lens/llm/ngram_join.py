@@ -332,3 +332,16 @@ def ngram_join(
     out = join_spread(members.withColumn("set", F.expr("if(n > 0 and k is not null, set, null)")), ids, "set", "rows")
     own = F.when(F.col("n") == 0, F.col("k"))
     return out.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", own).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose key is the smallest of its component, columns unchanged.
+
+    Rows without words or key stay as they are; of rows that share key and text one stays.
+    """
+    found = ngram_join(docs, width, percent, text, key)
+    gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_gone")).distinct()
+    own = docs.withColumns({"_gone": F.col(key), "_text": F.xxhash64(F.col(key), F.col(text))})
+    left = own.join(gone, "_gone", "left_anti")
+    once = left.filter(F.col("_gone").isNotNull()).dropDuplicates(["_gone", "_text"])
+    return once.unionByName(left.filter(F.col("_gone").isNull())).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts
+from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts, toxicity
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file is; the same on every executor."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -24,7 +25,13 @@ def op2_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.token_counts(_read(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"))
+    return token_counts.token_counts(_read(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    model = toxicity.fit(docs, _read(spark, folder, "labels"))
+    return toxicity.grade(docs, model).select("doc_id", "toxicity.*")
 
 
 def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,11 +44,11 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe_automaton.round_trip(_read(spark, folder, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return bpe_automaton.round_trip(_read(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op6_ngram_join, op7_source_mixing, op10_bpe_round_trip)
+    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op5_toxicity, op6_ngram_join, op7_source_mixing, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
