@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts, toxicity
+from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
+from retail_lens.llm.common import staging
 
 
 def tokenizer(name: str) -> str:
@@ -43,13 +44,33 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{staging(spark).root}/archives"
+    warc.write(_read(spark, folder, "pages"), archives, least_bytes=0)
+    return warc.capture_report(warc.assemble(warc.read(spark, archives)))
+
+
 def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_automaton.round_trip(_read(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op5_toxicity, op6_ngram_join, op7_source_mixing, op10_bpe_round_trip)
+    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op5_toxicity, op6_ngram_join, op7_source_mixing, op9_warc, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_warc": """
+        WITH p AS (
+            SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+        ), r AS (
+            SELECT *, max(page_id) OVER (PARTITION BY hex) AS top FROM p
+        )
+        SELECT page_id, octet_length(body)::BIGINT AS payload_bytes,
+            list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (((('0x' || substr(hex, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::BIGINT, 1)),
+                'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id < top THEN top END AS refers_to
+        FROM r""",
+}
