@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from retail_lens.llm import bpe_automaton, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
+from retail_lens.llm import bpe_automaton, embedding_dedup, hilbert_ann, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
 from retail_lens.llm.common import staging
 
 
@@ -21,6 +22,10 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return hilbert_ann.nearest(_read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op2_minimax_shards(spark: SparkSession, folder: str) -> DataFrame:
     return minimax_shards.shard(_read(spark, folder, "documents"), shards=40, overhead=16)
 
@@ -29,6 +34,10 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_read(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_read(spark, folder, "embeddings"), least=0.95)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     model = toxicity.fit(docs, _read(spark, folder, "labels"))
@@ -55,11 +64,25 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_minimax_shards, op3_token_counts, op5_toxicity, op6_ngram_join, op7_source_mixing, op9_warc, op10_bpe_round_trip)
+    f.__name__: f for f in (op1_hilbert_neighbours, op2_minimax_shards, op3_token_counts, op4_embedding_dedup, op5_toxicity, op6_ngram_join, op7_source_mixing, op9_warc, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
 ORACLE: dict[str, str] = {
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), l AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+            ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95
+        ), reach(a, b) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a
+        ), c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+        ), n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM c LEFT JOIN n USING (vec_id)""",
     "op9_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
