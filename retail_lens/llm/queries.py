@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_lens.llm import bpe_automaton, embedding_dedup, hilbert_ann, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
+from retail_lens.llm import bpe_automaton, embedding_dedup, hilbert_ann, licences, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
 from retail_lens.llm.common import staging
 
 
@@ -53,6 +53,11 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{staging(spark).root}/archives"
     warc.write(_read(spark, folder, "pages"), archives, least_bytes=0)
@@ -64,7 +69,7 @@ def op10_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_hilbert_neighbours, op2_minimax_shards, op3_token_counts, op4_embedding_dedup, op5_toxicity, op6_ngram_join, op7_source_mixing, op9_warc, op10_bpe_round_trip)
+    f.__name__: f for f in (op1_hilbert_neighbours, op2_minimax_shards, op3_token_counts, op4_embedding_dedup, op5_toxicity, op6_ngram_join, op7_source_mixing, op8_licences, op9_warc, op10_bpe_round_trip)
 }
 
 #: DuckDB SQL where it can give the same rows.
