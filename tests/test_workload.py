@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
@@ -20,16 +22,16 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     plan = plan_of(df)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert node not in plan
-    result = con.execute(oracle_sql()[name])
+    result = con.execute(ORACLE[name])
     names = [column[0] for column in result.description]
     assert sorted(df.columns) == sorted(names)
     got = sorted(repr(tuple(row[n] for n in names)) for row in df.collect())
@@ -47,7 +49,7 @@ def plan_of(df):
 
 @pytest.mark.parametrize("name", ["filter_period", "filter_since", "region_yoy", "rep_attainment", "forecast_detail"])
 def test_period_filters_reach_the_scan(spark, name):
-    plan = plan_of(queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line and "l_shipdate" in line]
     assert pushed and all("GreaterThanOrEqual(l_shipdate" in line for line in pushed)
     reads = [line for line in plan.splitlines() if "ReadSchema" in line and "l_shipdate" in line]
