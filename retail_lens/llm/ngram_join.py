@@ -15,6 +15,11 @@
    and a member of the other can be linked only if the leaders' distance is within the threshold plus
    both members' distances to their leaders: only such member pairs are compared.
 
+Before any pair is compared, a sieve rules out most that fail: every class carries short codes of a
+fixed part of its shingles (those whose hash falls into one of k classes). Even if all others were
+shared, two sets with too few codes in common cannot be similar enough. Texts are fetched for what is
+left, packed.
+
 The order of shingles changes how long lists are, never which links are found. Every link
 that is reported is verified on the sets; none is missed unless two different shingles or sets have the
 same 64-bit hash.
@@ -26,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,14 +89,19 @@ def _min_keys(shingles: np.ndarray) -> list[int]:
         ]
 
 
-def _summaries(docs: DataFrame, width: int) -> DataFrame:
-    """Per document: k, n, set, keys; per task one more row (k null) with its frequent shingles."""
+def _sieve_part(percent: int) -> int:
+    """One in how many shingles gives a code: twice the share by which linked sets may differ, and some more."""
+    return max(2, int((100 + percent) / (2.2 * (100 - percent)))) if percent < 100 else 64
+
+
+def _summaries(docs: DataFrame, width: int, part: int) -> DataFrame:
+    """Per document: k, n, set, keys, sieve; per task one more row (k null) with its frequent shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = _Frequent()
         rows: list[tuple] = []
-        names = ["k", "n", "set", "keys", "often", "times"]
-        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 3
+        names = ["k", "n", "set", "keys", "often", "times", "sieve"]
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 3 + [pa.binary()]
 
         def out() -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True))
@@ -102,17 +113,18 @@ def _summaries(docs: DataFrame, width: int) -> DataFrame:
                 shingles = shingle_set((text.as_py() or "").encode(), width)
                 if len(shingles):
                     frequent.add(shingles)
-                    rows.append((k.as_py(), len(shingles), _signature(shingles), _min_keys(shingles), None, None))
+                    codes = (shingles[shingles % np.uint64(part) == 0] >> np.uint64(32)).astype("<u4").tobytes()
+                    rows.append((k.as_py(), len(shingles), _signature(shingles), _min_keys(shingles), None, None, codes))
                 else:
-                    rows.append((k.as_py(), 0, 0, None, None, None))
+                    rows.append((k.as_py(), 0, 0, None, None, None, None))
                 if len(rows) >= 4096:
                     yield out()
         frequent.merge()
         often = frequent.counts > 1
-        rows.append((None, -1, 0, None, frequent.keys[often].astype(_SIGNED), frequent.counts[often]))
+        rows.append((None, -1, 0, None, frequent.keys[often].astype(_SIGNED), frequent.counts[often], None))
         yield out()
 
-    schema = "k long, n long, set long, keys array<long>, often array<long>, times array<long>"
+    schema = "k long, n long, set long, keys array<long>, often array<long>, times array<long>, sieve binary"
     return docs.mapInArrow(run, schema)
 
 
@@ -174,6 +186,43 @@ def _postings(docs: DataFrame, width: int, percent: int, often: np.ndarray, rank
     return docs.mapInArrow(run, "h long, set long, n long, at long")
 
 
+def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b, limit) whose distance may be within the limit by their sieves."""
+    side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias("n" + c), F.col("sieve").alias("s" + c))
+    rows = pairs.select("a", "b", "limit").join(side("a"), "a").join(side("b"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for limit, na, sa, nb, sb in zip(*(batch.column(i) for i in range(2, 7)), strict=True):
+                a, b = (np.frombuffer(s.as_py(), "<u4") for s in (sa, sb))
+                ua, ub = (x[np.diff(x, prepend=np.int64(-1)) != 0] for x in (a, b))
+                common = len(np.intersect1d(ua, ub, assume_unique=True)) + len(a) - len(ua) + len(b) - len(ub)
+                na, nb = na.as_py(), nb.as_py()
+                most = common + min(na - len(a), nb - len(b))
+                keep.append(1 - most / (na + nb - most) <= limit.as_py() + 1e-9)
+            found = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([found.column(0), found.column(1)], ["a", "b"])
+
+    names = ["a", "b", "limit", "na", "sa", "nb", "sb"]
+    return rows.select(*names).mapInArrow(run, "a long, b long")
+
+
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Packed text of each wanted class (column set), from its document of the smallest key."""
+    reps = classes.select("set", "rep").join(wanted.distinct(), "set")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = [pack((t.as_py() or "").encode()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["rep", "text"])
+
+    packed = docs.filter("k is not null").mapInArrow(run, "rep long, text binary")
+    # A key may be given with several texts; the class is known by the set, so the right one is found when unpacked.
+    return packed.join(reps, "rep").dropDuplicates(["rep", "set", "text"]).select("set", "text")
+
+
 def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Exact sizes and intersections for pairs (a, b) of classes: a, b, na, nb, common.
 
@@ -189,10 +238,13 @@ def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.empty(0, np.uint64)
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for a, role, other, text in zip(*(batch.column(i) for i in (0, 2, 3, 4)), strict=True):
-                shingles = shingle_set(text.as_py().encode(), width)
+                shingles = shingle_set(unpack(text.as_py()), width)
+                if _signature(shingles) != other.as_py():
+                    continue  # another text under the same key
                 if not role.as_py():
                     head = shingles
                 else:
@@ -227,12 +279,14 @@ def links(
     """
     stage = staging(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
-    summaries = stage(_summaries(docs, width), "summaries")
+    summaries = stage(_summaries(docs, width, _sieve_part(percent)), "summaries")
     members = summaries.filter("n >= 0").select("k", "n", "set")
     full = summaries.filter("n > 0 and k is not null")
     classes = stage(
-        full.groupBy("set").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes"
+        full.groupBy("set").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sieve").alias("sieve")),
+        "classes",
     )
+    limit = 1 - percent / 100
 
     # Leaders: candidates by min-hash keys, a star around the smallest class of each key.
     keyed = stage(classes.select("set", "n", "rep", F.explode("keys").alias("key")), "keyed")
@@ -241,7 +295,16 @@ def links(
     )
     heads = stage(heads.filter("rows > 1").select("key", "head.a", "head.na", "rows"), "heads")
     star = join_spread(keyed, heads, "key", "rows").filter("a <> set").filter(_fits("na", "n", percent))
-    star = stage(star.select("a", F.col("set").alias("b")).distinct(), "star")
+    star = stage(star.select("a", F.col("set").alias("b")).distinct().withColumn("limit", F.lit(limit)), "star")
+    star = stage(_sieved(star, classes), "star")
+    texts = stage(_texts(docs, classes, star.select(F.col("a").alias("set")).union(star.select("b"))), "texts")
+    met = stage(_overlaps(star, texts, width).filter(_similar(percent)), "met")
+    hung = met.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(F.col("a").alias("lead"), _distance().alias("far"))).alias("h"))
+    leads = classes.select("set", "n").join(hung, "set", "left")
+    leads = stage(
+        leads.select("set", "n", F.coalesce("h.lead", "set").alias("lead"), F.coalesce("h.far", F.lit(0.0)).alias("far")),
+        "leads",
+    )
 
     # Index: lists with at least two classes of compatible size.
     often, rank = _order(summaries)
@@ -252,19 +315,14 @@ def links(
     )
     index = stage(posted.withColumn("_near", near).filter("_near").drop("_near"), "index")
 
-    involved = star.select("a").union(star.select("b")).union(index.select("set")).distinct().withColumnRenamed("a", "set")
-    reps = classes.join(involved, "set").select("rep", "set")
-    texts = stage(docs.withColumnRenamed("k", "rep").join(reps, "rep").dropDuplicates(["rep"]).select("set", "text"), "texts")
-
-    met = stage(_overlaps(star, texts, width).filter(_similar(percent)), "met")
-    hung = met.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(F.col("a").alias("lead"), _distance().alias("far"))).alias("h"))
-    leads = classes.select("set", "n").join(hung, "set", "left")
-    leads = stage(
-        leads.select("set", "n", F.coalesce("h.lead", "set").alias("lead"), F.coalesce("h.far", F.lit(0.0)).alias("far")),
-        "leads",
-    )
-
+    radius = leads.groupBy("lead").agg(F.max("far").alias("radius"))
     pairs = stage(_leader_pairs(index, leads, percent), "pairs")
+    pairs = pairs.join(radius.withColumnsRenamed({"lead": "a", "radius": "ra"}), "a")
+    pairs = pairs.join(radius.withColumnsRenamed({"lead": "b", "radius": "rb"}), "b")
+    pairs = stage(_sieved(pairs.withColumn("limit", limit + F.col("ra") + F.col("rb")), classes), "pairs")
+    # Members of a leader have been fetched already; so have leaders with members.
+    new = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(texts.select("set"), "set", "left_anti")
+    texts = texts.unionByName(stage(_texts(docs, classes, new), "texts"))
     apart = stage(_overlaps(pairs, texts, width).withColumn("far", _distance()), "apart")
     direct = apart.filter(_similar(percent)).select("a", "b")
     inner = _member_pairs(apart.filter(~_similar(percent)), leads, percent)
