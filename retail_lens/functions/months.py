@@ -55,8 +55,8 @@ class Period:
         return Period(add_to_month(self.first, months), add_to_month(self.last, months))
 
     def holds(self, day: Column) -> Column:
-        """Range test on the bare date, so that it reaches the file scan."""
-        return day.between(F.lit(self.first), F.lit(self.last_day))
+        """Range test on the bare date or timestamp, so that it reaches the file scan; the last day counts whole."""
+        return (day >= F.lit(self.first)) & (day < F.lit(add_to_month(self.last, 1)))
 
 
 @dataclass(frozen=True)

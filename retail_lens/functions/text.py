@@ -5,15 +5,19 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Accepted date spellings, tried in this order.
 DATE_FORMATS = ("yyyy-M-d", "d/M/yyyy", "MMM d, yyyy", "d-MMM-yy")
 MONTH_FORMATS = ("MMM-yyyy", "yyyy-M")
 
-# Texts that stand for a missing value.
-MISSING_TOKENS = ("N/A", "n/a", "")
+# Texts that stand for a missing value, as common table readers take them.
+MISSING_TOKENS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 _FIELD_SHAPES = {"yyyy": r"\d{4}", "yy": r"\d{2}", "MMM": "[A-Za-z]{3}", "M": r"\d{1,2}", "d": r"\d{1,2}"}
 _BLANKS = " \t\n\r\f\v"
@@ -103,5 +107,11 @@ def is_missing_token(col: Column, tokens: Sequence[str] = MISSING_TOKENS) -> Col
     return F.coalesce(strip(col).isin(*tokens), F.lit(False))
 
 
+def null_missing(df: DataFrame, tokens: Sequence[str] = MISSING_TOKENS) -> DataFrame:
+    """Null for every missing-value text in every text column, so that rows that differ in it alone are equal."""
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.withColumns({c: blank_to_null(F.col(c), tokens) for c in texts})
+
+
 def blank_to_null(col: Column, tokens: Sequence[str] = MISSING_TOKENS) -> Column:
     return F.when(~is_missing_token(col, tokens), col)

@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lens.functions.ordering import order_bucket
+from retail_lens.functions.ordering import bucketed
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
     """Median of ``value`` per ``keys``; missing values and null keys are left out.
 
     Rows shrink to (keys, value, count) by a combining aggregation first. The middle
-    rank is then looked up twice: among the order-preserving buckets of a group, whose
-    number is bounded, and among the distinct values of the bucket found. No task ever
-    holds the rows, or all distinct values, of a group.
+    rank is then looked up twice: among the buckets of a group, cut at approximate quantiles of
+    its distinct values, and among the values of the bucket found. So a sort holds a small
+    part of the distinct values of a large group.
     """
     keys = list(keys)
     known = df.select(*keys, F.col(value).cast("double").alias("_v"))
@@ -26,7 +26,7 @@ def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
     # Spelled out because the join below implies it for one of its sides: with equal
     # filters on both, the counts are shuffled once and reused.
-    counts = counts.withColumn("_bucket", order_bucket(F.col("_v"))).where(F.col("_bucket").isNotNull())
+    counts = bucketed(counts, keys, "_v").where(F.col("_bucket").isNotNull())
 
     in_group = Window.partitionBy(*keys)
     running = in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)

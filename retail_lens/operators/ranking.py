@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lens.functions.ordering import order_bucket
+from retail_lens.functions.ordering import bucketed
 
 
 def rank_descending(df: DataFrame, value: str, name: str = "rank") -> DataFrame:
     """1 for the largest ``value``; ties share a rank, gaps follow, nulls come last.
 
-    Equal values are counted first. Ranks are then running counts inside an
-    order-preserving bucket plus the size of all buckets above it; only the bucket
+    Equal values are counted first. Ranks are then running counts inside a bucket, cut at
+    approximate quantiles, plus the size of all buckets above it; only the bucket
     sizes, a bounded list, pass through a single task. ``value`` is matched by equality,
     so it has to come from exact (decimal or integer) sums.
     """
     per_value = df.groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    per_value = per_value.withColumn("_bucket", order_bucket(F.col("_v")))
+    per_value = bucketed(per_value, [], "_v")
     above = Window.orderBy(F.desc_nulls_last("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         per_value.groupBy("_bucket")

@@ -33,8 +33,9 @@ def lookup_fill(
 ) -> DataFrame:
     """Fill nulls of ``column`` with the master's value for ``key``; other rows keep theirs.
 
-    The master is reduced to one value per key, so repeated master keys cannot multiply
-    rows; ``stage`` makes its size known before the join is planned.
+    The master is reduced to one value per key, the least, so repeated master keys cannot multiply
+    rows (``conflicting_keys`` counts those with several); ``stage`` makes its size known before the
+    join is planned. Only rows that lack a value and have a key are joined.
     """
     lookup = (
         master.where(F.col(key).isNotNull())
@@ -43,5 +44,12 @@ def lookup_fill(
     )
     if stage is not None:
         lookup = stage(lookup, "lookup")
-    joined = df.join(lookup, key, "left")
-    return joined.withColumn(column, F.coalesce(column, "_found")).select(*df.columns)
+    wanted = F.col(column).isNull() & F.col(key).isNotNull()
+    filled = df.where(wanted).join(lookup, key, "left").withColumn(column, F.col("_found"))
+    return filled.select(*df.columns).unionByName(df.where(~wanted))
+
+
+def conflicting_keys(master: DataFrame, key: str, master_value: str) -> DataFrame:
+    """Keys of the master with more than one value, and how many: key, values."""
+    values = master.where(F.col(key).isNotNull()).groupBy(key).agg(F.count_distinct(master_value).alias("values"))
+    return values.where("values > 1")

@@ -6,12 +6,12 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from retail_lens.functions.ordering import order_bucket
+from retail_lens.functions.ordering import bucketed
 from retail_lens.operators.dedupe import collapse_copies, drop_exact_duplicates
 from retail_lens.operators.interpolate import interpolate
 from retail_lens.operators.medians import attach_median, group_median
 from retail_lens.operators.ranking import rank_descending
-from retail_lens.operators.repair import is_outlier, lookup_fill, quantity_flag, repair_quantity
+from retail_lens.operators.repair import conflicting_keys, is_outlier, lookup_fill, quantity_flag, repair_quantity
 
 
 def random_rows(seed, n=3000):
@@ -48,15 +48,6 @@ def test_attach_median_keeps_every_row(spark):
     assert got == {("a", 1.0, 2.0), ("a", 3.0, 2.0), (None, 5.0, None), ("b", None, None)}
 
 
-def test_order_bucket_is_monotone_and_bounded(spark):
-    rng = random.Random(1)
-    values = sorted([rng.uniform(-1, 1) * 10 ** rng.uniform(-6, 12) for _ in range(5000)] + [0.0, -0.0, 1e12, -1e12])
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    buckets = [r.b for r in df.select("v", order_bucket(F.col("v")).alias("b")).orderBy("v").collect()]
-    assert buckets == sorted(buckets)
-    assert max(abs(b) for b in buckets) < 28000
-
-
 @pytest.mark.parametrize("seed", range(3))
 def test_rank_descending_against_brute_force(spark, seed):
     rng = random.Random(seed)
@@ -106,3 +97,30 @@ def test_lookup_fill(spark):
     master = spark.createDataFrame([("c1", "r1"), ("c1", "r1"), ("c2", "r2")], "c string, rep string")
     got = {r.i: r.r for r in lookup_fill(df, "r", master, "c", "rep").collect()}
     assert got == {1: "r1", 2: "r9", 3: None, 4: None}
+
+
+def test_near_equal_values_spread_over_buckets(spark):
+    n = 200_000
+    for shape in ("id / 1e9", "100 + id / 2e7", "5e12 + id"):
+        df = spark.range(n).selectExpr("'a' AS k", f"CAST({shape} AS DOUBLE) AS v")
+        sizes = bucketed(df, ["k"], "v").groupBy("_bucket").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] <= 2 * n / 256 and sizes[1] >= 200
+        assert group_median(df, ["k"], "v").first()["median"] == df.agg(F.median("v")).first()[0]
+    whole = bucketed(df.select("v").union(spark.sql("SELECT CAST(NULL AS DOUBLE)")), [], "v")
+    assert whole.groupBy("_bucket").count().agg(F.max("count")).first()[0] <= 2 * n / 256
+    assert whole.where("v IS NULL").first()["_bucket"] == -1
+
+
+def test_interpolation_of_odd_rows(spark):
+    rows = [("a", None, None), ("a", "2024-02-01", 20.0), ("a", None, 100.0), (None, "2024-01-01", None), (None, "2024-02-01", 7.0)]
+    rows += [("b", "2024-01-01", 1.0), ("b", "2024-01-01", None), ("b", "2024-03-01", 5.0)]
+    df = spark.createDataFrame(rows, "k string, m string, v double").repartition(3)
+    got = sorted(map(tuple, interpolate(df, ["k"], "m", "v").collect()), key=repr)
+    want = [("a", None, 100.0), ("a", None, 100.0), ("a", "2024-02-01", 20.0), (None, "2024-01-01", None), (None, "2024-02-01", 7.0)]
+    want += [("b", "2024-01-01", 1.0), ("b", "2024-01-01", 3.0), ("b", "2024-03-01", 5.0)]
+    assert got == sorted(want, key=repr)
+
+
+def test_conflicting_keys(spark):
+    master = spark.createDataFrame([("c1", "r1"), ("c1", "r2"), ("c2", "r1"), ("c2", None), (None, "r1")], "c string, r string")
+    assert [tuple(r) for r in conflicting_keys(master, "c", "r").collect()] == [("c1", 2)]
