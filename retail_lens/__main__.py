@@ -6,9 +6,10 @@ import argparse
 from datetime import date
 
 from retail_lens.functions.months import Period, PeriodSpec
+from retail_lens.plans.cleaning import CleaningRules
 from retail_lens.plans.model import Focus
 from retail_lens.plans.pipeline import analyse, clean_all, read_raw
-from retail_lens.session import get_spark, size_shuffles
+from retail_lens.session import get_spark
 
 
 def _period(text: str) -> Period:
@@ -17,10 +18,13 @@ def _period(text: str) -> Period:
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="retail_lens")
+    parser.add_argument("--partitions", type=int, help="shuffle partitions to start from, about one per 256 MB of input")
     steps = parser.add_subparsers(dest="step", required=True)
     clean = steps.add_parser("clean", help="raw CSV files to clean tables and a quality log")
     clean.add_argument("raw")
     clean.add_argument("clean")
+    clean.add_argument("--labels", help="JSON file: {\"regions\": {text: label}, \"channels\": {text: label}}")
+    clean.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
     report = steps.add_parser("analyse", help="clean tables to report CSV files")
     report.add_argument("clean")
     report.add_argument("out")
@@ -32,12 +36,11 @@ def main() -> None:
     report.add_argument("--shock", type=date.fromisoformat, help="first day of the disruption")
     args = parser.parse_args()
 
-    spark = get_spark()
+    spark = get_spark(partitions=args.partitions)
     if args.step == "clean":
-        size_shuffles(spark, args.raw)
-        clean_all(spark, read_raw(spark, args.raw), args.clean)
+        rules = CleaningRules.from_json(spark, args.labels) if args.labels else CleaningRules()
+        clean_all(spark, read_raw(spark, args.raw, args.multi_line), args.clean, rules)
     else:
-        size_shuffles(spark, args.clean)
         spec = PeriodSpec(args.current, args.trend, args.future)
         analyse(
             spark, args.clean, args.out, spec, Focus(args.region, args.category), args.shock or args.current.first

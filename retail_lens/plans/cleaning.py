@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lens.functions.months import month_start
 from retail_lens.functions.numbers import fill_rate, lead_time_days, line_revenue
 from retail_lens.functions.text import (
-    blank_to_null,
-    is_missing_token,
     match_label,
     normalise_key,
+    null_missing,
     parse_dates,
     parse_month_start,
     title_case,
@@ -30,7 +31,7 @@ from retail_lens.operators.repair import (
     repair_quantity,
     repair_sign,
 )
-from retail_lens.session import unstaged
+from retail_lens.session import Staging, unstaged
 from retail_lens.sources.schemas import CLEAN
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -66,13 +67,25 @@ class CleaningRules:
     def channel(self, col: Column) -> Column:
         return match_label(col, self.channels, squeeze=True)
 
+    @classmethod
+    def from_json(cls, spark: SparkSession, path: str) -> CleaningRules:
+        """Rules with the label maps of a JSON file, wherever Spark can read it; a map left out keeps its default."""
+        maps = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+        return cls(**{name: maps[name] for name in ("regions", "channels") if name in maps})
+
 
 def _differs(clean: Column, raw: str) -> Column:
     return ~clean.cast("string").eqNullSafe(F.col(raw))
 
 
+def _unknown(label: Column, raw: str) -> Column:
+    """A text that no label was found in."""
+    return label.isNull() & F.col(raw).isNotNull()
+
+
 def flag_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Clean product columns and ``changed``: whether any of them differs from its text."""
+    raw = null_missing(raw)
     sku, category = normalise_key(F.col("sku")), title_case(F.col("category"))
     price_is_text = F.col("list_price").cast("string").rlike(r"[^0-9.\-]")
     changed = _differs(sku, "sku") | _differs(category, "category") | F.coalesce(price_is_text, F.lit(False))
@@ -88,6 +101,7 @@ def flag_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
 
 
 def flag_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    raw = null_missing(raw)
     key, name = normalise_key(F.col("customer_id")), title_case(F.col("outlet_name"))
     region, channel = rules.region(F.col("region")), rules.channel(F.col("channel"))
     changed = (
@@ -101,12 +115,14 @@ def flag_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
         name.alias("outlet_name"),
         region.alias("region"),
         channel.alias("channel"),
-        blank_to_null(F.col("rep_id")).alias("rep_id"),
+        "rep_id",
         changed.alias("changed"),
+        (_unknown(region, "region") | _unknown(channel, "channel")).alias("unknown_label"),
     )
 
 
 def flag_reps(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+    raw = null_missing(raw)
     name, region = title_case(F.col("rep_name")), rules.region(F.col("region"))
     hired = parse_dates(F.col("hire_date"))
     changed = _differs(name, "rep_name") | _differs(region, "region") | _differs(hired, "hire_date")
@@ -116,6 +132,7 @@ def flag_reps(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFra
         region.alias("region"),
         hired.alias("hire_date"),
         changed.alias("changed"),
+        _unknown(region, "region").alias("unknown_label"),
     )
 
 
@@ -124,17 +141,17 @@ def clean_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
 
 
 def clean_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    return flag_customers(raw, rules).drop("changed")
+    return flag_customers(raw, rules).drop("changed", "unknown_label")
 
 
 def clean_reps(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    return flag_reps(raw, rules).drop("changed")
+    return flag_reps(raw, rules).drop("changed", "unknown_label")
 
 
 def parse_sales(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """Distinct raw sales lines with typed columns and ``copies``; nothing is repaired yet."""
     region, channel = rules.region(F.col("outlet_region")), rules.channel(F.col("channel"))
-    return collapse_copies(raw).select(
+    return collapse_copies(null_missing(raw)).select(
         "order_id",
         parse_dates(F.col("order_date")).alias("order_date"),
         normalise_key(F.col("customer_id")).alias("customer_id"),
@@ -143,55 +160,69 @@ def parse_sales(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
         to_number(F.col("quantity")).alias("signed_quantity"),
         to_number(F.col("unit_price")).alias("unit_price"),
         to_number(F.col("discount_pct")).alias("discount_pct"),
-        blank_to_null(F.col("sales_rep_id")).alias("sales_rep_id"),
+        "sales_rep_id",
         region.alias("region"),
         (_differs(region, "outlet_region") | _differs(channel, "channel")).alias("relabelled"),
+        (_unknown(region, "outlet_region") | _unknown(channel, "channel")).alias("unknown_label"),
         "copies",
     )
 
 
-def flag_sales(
-    raw: DataFrame,
-    customers: DataFrame,
-    rules: CleaningRules = CleaningRules(),
-    stage: Stage = unstaged,
-) -> DataFrame:
-    """Repaired sales lines with one mark per rule; undated lines are still present.
+def mark_sales(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged) -> DataFrame:
+    """Sales lines with repaired quantity and one mark per rule; undated lines are still present.
 
-    With a real ``stage`` the de-duplicated lines are shuffled and written once, and the
-    medians come back as scans of known size, so lines meet them in a broadcast join
-    while they are small and in an adaptively split sort-merge join beyond that.
+    Prices and reps are not filled yet: no mark depends on that. With a real ``stage`` the
+    de-duplicated lines are shuffled and written once, and the medians come back as a scan
+    of known size. Lines without a date, product or channel have no median and go past the join.
     """
     parsed = stage(parse_sales(raw, rules), "sales_parsed").withColumns(
         {"quantity": repair_sign(F.col("signed_quantity")), "month": month_start(F.col("order_date"))}
     )
     dated = parsed.where(F.col("order_date").isNotNull())
-    typical_quantity = stage(group_median(dated, ["sku", "channel"], "quantity", "usual_quantity"), "quantity")
-    typical_price = stage(group_median(dated, ["sku", "month"], "unit_price", "usual_price"), "price")
-
+    usual_quantity = stage(group_median(dated, ["sku", "channel"], "quantity", "usual_quantity"), "quantity")
     quantity, usual = F.col("quantity"), F.col("usual_quantity")
     factor = rules.outlier_factor
-    repaired = (
-        parsed.join(typical_quantity, ["sku", "channel"], "left")
-        .join(typical_price, ["sku", "month"], "left")
-        .withColumns(
-            {
-                "negative_quantity": F.col("signed_quantity") < 0,
-                "outlier": is_outlier(quantity, usual, factor),
-                "missing_quantity": quantity.isNull(),
-                "missing_price": F.col("unit_price").isNull(),
-                "missing_discount": F.col("discount_pct").isNull(),
-                "missing_rep": F.col("sales_rep_id").isNull(),
-                "qty_flag": quantity_flag(quantity, usual, factor),
-                "quantity": repair_quantity(quantity, usual, factor),
-                "unit_price": F.coalesce("unit_price", "usual_price"),
-                "discount_pct": F.coalesce("discount_pct", F.lit(0.0)),
-            }
-        )
-        .withColumn("revenue", line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount_pct")))
-        .drop("signed_quantity", "usual_quantity", "usual_price", "month")
-    )
-    return lookup_fill(repaired, "sales_rep_id", customers, "customer_id", "rep_id", stage)
+    return _join_known(parsed, usual_quantity, ["sku", "channel"]).withColumns(
+        {
+            "negative_quantity": F.col("signed_quantity") < 0,
+            "outlier": is_outlier(quantity, usual, factor),
+            "missing_quantity": quantity.isNull(),
+            "missing_price": F.col("unit_price").isNull(),
+            "missing_discount": F.col("discount_pct").isNull(),
+            "missing_rep": F.col("sales_rep_id").isNull(),
+            "qty_flag": quantity_flag(quantity, usual, factor),
+            "quantity": repair_quantity(quantity, usual, factor),
+            "discount_pct": F.coalesce("discount_pct", F.lit(0.0)),
+        }
+    ).drop("signed_quantity", "usual_quantity")
+
+
+def _join_known(df: DataFrame, found: DataFrame, keys: list[str], wanted: Column | None = None) -> DataFrame:
+    """Left join of the rows with all keys (and that are ``wanted``); the others are added unshuffled."""
+    test = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    test = test if wanted is None else test & wanted
+    added = {f.name: F.lit(None).cast(f.dataType) for f in found.schema.fields if f.name not in keys}
+    return df.where(test).join(found, keys, "left").unionByName(df.where(~test).withColumns(added))
+
+
+def repair_sales(marked: DataFrame, customers: DataFrame, stage: Stage = unstaged) -> DataFrame:
+    """Marked lines with missing prices and reps filled and the revenue; only lines that lack something are joined."""
+    dated = marked.where(F.col("order_date").isNotNull())
+    usual_price = stage(group_median(dated, ["sku", "month"], "unit_price", "usual_price"), "price")
+    priced = _join_known(marked, usual_price, ["sku", "month"], F.col("unit_price").isNull())
+    priced = priced.withColumn("unit_price", F.coalesce("unit_price", "usual_price"))
+    priced = priced.withColumn("revenue", line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount_pct")))
+    return lookup_fill(priced.drop("usual_price", "month"), "sales_rep_id", customers, "customer_id", "rep_id", stage)
+
+
+def flag_sales(
+    raw: DataFrame,
+    customers: DataFrame,
+    rules: CleaningRules = CleaningRules(),
+    stage: Stage = unstaged,
+) -> DataFrame:
+    """Repaired sales lines with one mark per rule; undated lines are still present."""
+    return repair_sales(stage(mark_sales(raw, rules, stage), "sales_marked"), customers, stage)
 
 
 def finish_sales(flagged: DataFrame) -> DataFrame:
@@ -203,13 +234,14 @@ def clean_sales(
     raw: DataFrame,
     customers: DataFrame,
     rules: CleaningRules = CleaningRules(),
-    stage: Stage = unstaged,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Sales fact: de-duplicated, dated, labelled, repaired, with revenue per line.
 
-    ``customers`` is the clean customer master, which names the rep of an outlet.
+    ``customers`` is the clean customer master, which names the rep of an outlet. Intermediate
+    results are staged in the shared folder; ``unstaged`` keeps one lazy plan, which computes them several times.
     """
-    return finish_sales(flag_sales(raw, customers, rules, stage))
+    return finish_sales(flag_sales(raw, customers, rules, stage or Staging(raw.sparkSession)))
 
 
 def sort_sales(sales: DataFrame) -> DataFrame:
@@ -220,6 +252,7 @@ def sort_sales(sales: DataFrame) -> DataFrame:
 
 def parse_targets(raw: DataFrame) -> DataFrame:
     """Typed targets with gaps and ``missing``."""
+    raw = null_missing(raw)
     amount = to_number(F.col("target_amount"))
     return raw.select(
         "rep_id",
@@ -235,14 +268,15 @@ def clean_targets(raw: DataFrame) -> DataFrame:
 
 
 def flag_deliveries(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Clean delivery columns, ``copies``, and per measure whether its text meant "missing"."""
+    """Clean delivery columns, ``copies``, and per measure whether it is missing or its text says so."""
+    region = rules.region(F.col("region"))
     ordered, delivered = to_number(F.col("qty_ordered")), to_number(F.col("qty_delivered"))
     placed, arrived = parse_dates(F.col("order_date")), parse_dates(F.col("delivery_date"))
     measures = ["qty_ordered", "qty_delivered", "stockout_days"]
-    return collapse_copies(raw).select(
+    return collapse_copies(null_missing(raw)).select(
         "delivery_id",
         normalise_key(F.col("sku")).alias("sku"),
-        rules.region(F.col("region")).alias("region"),
+        region.alias("region"),
         placed.alias("order_date"),
         arrived.alias("delivery_date"),
         ordered.alias("qty_ordered"),
@@ -251,7 +285,8 @@ def flag_deliveries(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> D
         lead_time_days(placed, arrived).alias("lead_time_days"),
         fill_rate(delivered, ordered).alias("fill_rate"),
         "copies",
-        *[is_missing_token(F.col(name)).alias(f"token_{name}") for name in measures],
+        _unknown(region, "region").alias("unknown_label"),
+        *[F.col(name).isNull().alias(f"token_{name}") for name in measures],
     )
 
 

@@ -16,8 +16,8 @@ from retail_lens.sources.files import scan_csv_text, write_by_month, write_csv,
 from retail_lens.sources.schemas import QUALITY_LOG, RAW
 
 
-def read_raw(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: scan_csv_text(spark, f"{folder}/{name}.csv", schema.names) for name, schema in RAW.items()}
+def read_raw(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, DataFrame]:
+    return {name: scan_csv_text(spark, f"{folder}/{name}.csv", schema.names, multi_line) for name, schema in RAW.items()}
 
 
 def clean_all(
@@ -25,26 +25,33 @@ def clean_all(
 ) -> None:
     """Write the clean tables and the quality log under ``folder``, replacing earlier ones.
 
-    Flagged rows are staged, so a clean table and its log come from the same computation.
+    Flagged rows are staged, so a clean table and its log come from the same computation; the
+    sales log is counted from the marked lines, before prices and reps are filled. Staged tables are
+    dropped at the end, also after a failure.
     """
     stage = Staging(spark)
-    customers = stage(cleaning.flag_customers(raw["customers_raw"], rules), "customers")
-    flagged = {
-        "products": stage(cleaning.flag_products(raw["products_raw"], rules), "products"),
-        "customers": customers,
-        "sales_reps": stage(cleaning.flag_reps(raw["sales_reps_raw"], rules), "reps"),
-        "sales": stage(cleaning.flag_sales(raw["sales_transactions_raw"], customers, rules, stage), "sales"),
-        "targets": cleaning.parse_targets(raw["sales_targets_raw"]),
-        "deliveries": stage(cleaning.flag_deliveries(raw["deliveries_raw"], rules), "deliveries"),
-    }
-    write_table(flagged["products"].drop("changed"), f"{folder}/dim_products")
-    write_table(flagged["customers"].drop("changed"), f"{folder}/dim_customers")
-    write_table(flagged["sales_reps"].drop("changed"), f"{folder}/dim_reps")
-    write_table(cleaning.clean_targets(raw["sales_targets_raw"]), f"{folder}/fact_targets")
-    write_by_month(cleaning.finish_sales(flagged["sales"]), f"{folder}/fact_sales")
-    write_by_month(cleaning.finish_deliveries(flagged["deliveries"]), f"{folder}/fact_deliveries")
-    write_table(quality.quality_log(flagged), f"{folder}/{QUALITY_LOG}")
-    stage.drop()
+    try:
+        customers = stage(cleaning.flag_customers(raw["customers_raw"], rules), "customers")
+        marked = stage(cleaning.mark_sales(raw["sales_transactions_raw"], rules, stage), "sales_marked")
+        flagged = {
+            "products": stage(cleaning.flag_products(raw["products_raw"], rules), "products"),
+            "customers": customers,
+            "sales_reps": stage(cleaning.flag_reps(raw["sales_reps_raw"], rules), "reps"),
+            "sales": marked,
+            "targets": cleaning.parse_targets(raw["sales_targets_raw"]),
+            "deliveries": stage(cleaning.flag_deliveries(raw["deliveries_raw"], rules), "deliveries"),
+        }
+        marks = ["changed", "unknown_label"]
+        write_table(flagged["products"].drop(*marks), f"{folder}/dim_products")
+        write_table(customers.drop(*marks), f"{folder}/dim_customers")
+        write_table(flagged["sales_reps"].drop(*marks), f"{folder}/dim_reps")
+        write_table(cleaning.clean_targets(raw["sales_targets_raw"]), f"{folder}/fact_targets")
+        sales = cleaning.finish_sales(cleaning.repair_sales(marked, customers, stage))
+        write_by_month(sales, f"{folder}/fact_sales")
+        write_by_month(cleaning.finish_deliveries(flagged["deliveries"]), f"{folder}/fact_deliveries")
+        write_table(quality.quality_log(flagged), f"{folder}/{QUALITY_LOG}")
+    finally:
+        stage.drop()
 
 
 def reports(
@@ -65,15 +72,20 @@ def reports(
         "growth_gap": growth.growth_gap(sales, products, spec),
         "lost_revenue": growth.lost_revenue(sales, products, spec, focus),
         "monthly_revenue": growth.monthly_revenue_by_region(sales),
+        "monthly_change": growth.mom_yoy_lag(sales, products, focus),
         "focus_index": growth.focus_index(sales, products, focus),
         "supply_comparison": supply.supply_comparison(deliveries, products, spec.current, focus),
+        "supply_by_region_category": supply.supply_by_region_category(deliveries, products, shock),
         "rep_attainment": attainment.rep_attainment(targets, sales, reps, spec),
+        "rep_attainment_ranked": attainment.rep_attainment_ranked(targets, sales, reps, spec, stage),
         "region_attainment": attainment.region_attainment(targets, sales, reps, spec.current),
         "forecast_detail": detail,
         "forecast_by_region": forecast.forecast_bottom_up(detail, spec.future),
+        "forecast_top_down": forecast.forecast_top_down(sales, spec),
         "forecast_month_totals": forecast.forecast_month_totals(detail),
         "backtest_mape": forecast.backtest_mape(detail, focus),
         "safety_stock": inventory.stock_plan(sales, deliveries, products, focus, year_before, shock),
+        "safety_stock_inputs": inventory.stock_inputs(sales, deliveries, products, focus, year_before, shock),
     }
 
 
@@ -85,6 +97,8 @@ def _year_until(spec: PeriodSpec) -> Period:
 def analyse(spark: SparkSession, clean: str, out: str, spec: PeriodSpec, focus: Focus, shock: date) -> None:
     """Write every report as CSV under ``out``."""
     stage = Staging(spark)
-    for name, df in reports(load_clean(spark, clean), spec, focus, shock, stage).items():
-        write_csv(df, f"{out}/{name}")
-    stage.drop()
+    try:
+        for name, df in reports(load_clean(spark, clean), spec, focus, shock, stage).items():
+            write_csv(df, f"{out}/{name}")
+    finally:
+        stage.drop()

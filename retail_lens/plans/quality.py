@@ -11,27 +11,34 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# rule -> (issue, action); the rule names a count made below.
-PRODUCT_RULES = {"changed": ("code case and spaces, category case, price kept as text", "standardised")}
-CUSTOMER_RULES = {"changed": ("region and channel spellings, name case and spaces", "mapped to standard values")}
-REP_RULES = {"changed": ("name case, region spellings, mixed date formats", "standardised")}
+# rule -> (issue, action); the rule is the stable code of a count made below.
+PRODUCT_RULES = {"changed": ("columns not written in their standard form", "rewritten")}
+_UNKNOWN = {"unknown_label": ("text in which no known label was found", "label left empty")}
+CUSTOMER_RULES = {
+    "changed": ("columns not written in their standard form", "rewritten"),
+    **_UNKNOWN,
+    "conflicting_rep": ("outlet listed with several reps", "the first in order is used"),
+}
+REP_RULES = {"changed": ("columns not written in their standard form", "rewritten"), **_UNKNOWN}
 SALES_RULES = {
-    "duplicates": ("exact duplicate rows", "dropped"),
-    "undated": ("missing or invalid order date", "dropped, cannot be placed in time"),
-    "relabelled": ("region and channel spellings", "mapped to standard values"),
-    "negative_quantity": ("negative quantity", "sign removed"),
-    "outlier": ("quantity far above the median of its product and channel", "replaced by the median, flagged"),
-    "missing_quantity": ("missing quantity", "median of its product and channel, flagged"),
-    "missing_price": ("missing unit price", "median price of its product and month"),
-    "missing_discount": ("missing discount", "taken as 0"),
-    "missing_rep": ("missing sales rep", "looked up in the customer master"),
+    "duplicates": ("row occurs again word for word", "one kept"),
+    "undated": ("no date can be read", "left out of the fact"),
+    "relabelled": ("label not written in its standard form", "rewritten"),
+    **_UNKNOWN,
+    "negative_quantity": ("quantity below zero", "taken without its sign"),
+    "outlier": ("quantity out of proportion to its product and channel", "median instead, flagged"),
+    "missing_quantity": ("no quantity", "median instead, flagged"),
+    "missing_price": ("no price", "median of product and month instead"),
+    "missing_discount": ("no discount", "none assumed"),
+    "missing_rep": ("no rep", "rep of the outlet"),
 }
-TARGET_RULES = {"missing": ("missing target amount", "interpolated between neighbouring months")}
+TARGET_RULES = {"missing": ("no target amount", "laid on the line between the neighbouring months")}
 DELIVERY_RULES = {
-    "duplicates": ("exact duplicate rows", "dropped"),
-    "token_qty_ordered": ("missing-value text in qty_ordered", "set to null"),
-    "token_qty_delivered": ("missing-value text in qty_delivered", "set to null"),
-    "token_stockout_days": ("missing-value text in stockout_days", "set to null"),
+    "duplicates": ("row occurs again word for word", "one kept"),
+    **_UNKNOWN,
+    "token_qty_ordered": ("no quantity ordered", "left empty"),
+    "token_qty_delivered": ("no quantity delivered", "left empty"),
+    "token_stockout_days": ("no stock-out days", "left empty"),
 }
 
 RULES = {
@@ -53,6 +60,11 @@ def _counts(table: str) -> dict[str, Column]:
     for rule in RULES[table]:
         if rule == "duplicates":
             counts[rule] = _copies_dropped()
+        elif rule == "conflicting_rep":
+            keys = F.struct("customer_id", "rep_id")
+            pairs = F.count_distinct(F.when(F.col("customer_id").isNotNull() & F.col("rep_id").isNotNull(), keys))
+            with_rep = F.count_distinct(F.when(F.col("rep_id").isNotNull(), F.col("customer_id")))
+            counts[rule] = pairs - with_rep
         elif rule == "undated":
             counts[rule] = F.count_if(F.col("order_date").isNull())
         elif table == "sales":
@@ -77,6 +89,7 @@ def table_log(table: str, flagged: DataFrame) -> DataFrame:
     entries = F.array(
         *[
             F.struct(
+                F.lit(rule).alias("rule"),
                 F.lit(issue).alias("issue"),
                 F.col(rule).cast("long").alias("rows_affected"),
                 F.lit(action).alias("action"),
@@ -85,7 +98,7 @@ def table_log(table: str, flagged: DataFrame) -> DataFrame:
         ]
     )
     return counted.select(F.lit(table).alias("table"), "table_rows", F.explode(entries).alias("e")).select(
-        "table", "e.issue", "e.rows_affected", "e.action", "table_rows"
+        "table", "e.rule", "e.issue", "e.rows_affected", "e.action", "table_rows"
     )
 
 

@@ -8,11 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(app: str = "retail_lens", master: str | None = None, **conf: str) -> SparkSession:
+def get_spark(
+    app: str = "retail_lens", master: str | None = None, partitions: int | None = None, **conf: str
+) -> SparkSession:
     """Session with the settings the plans are written for.
 
     Adaptive execution sizes the shuffles and splits skewed join partitions at run
-    time, also where the split costs one more exchange downstream.
+    time, also where the split costs one more exchange downstream. It merges small
+    partitions but does not split those of an aggregation, so for very large inputs
+    ``partitions``, the number it starts from, should be about the input size over 256 MB.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -23,6 +27,8 @@ def get_spark(app: str = "retail_lens", master: str | None = None, **conf: str)
     )
     if master:
         builder = builder.master(master)
+    if partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
@@ -33,21 +39,6 @@ def _file_system(spark: SparkSession, folder: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def size_shuffles(spark: SparkSession, folder: str, partition_bytes: int = 256 << 20, most: int = 50_000) -> int:
-    """Raise the number of shuffle partitions to what the files under ``folder`` call for.
-
-    The default number suits some tens of gigabytes; far beyond, every partition would
-    spill many times over. Adaptive execution merges partitions that turn out small, so
-    the number is only ever raised.
-    """
-    path, files = _file_system(spark, folder)
-    wanted = min(files.getContentSummary(path).getLength() // partition_bytes, most)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -76,12 +67,14 @@ class Staging:
 
     A staged frame is computed a single time however often it is read, survives the
     loss of executors, and has a size Spark knows from its files, so the next join
-    broadcasts it only when it is under ``spark.sql.autoBroadcastJoinThreshold``.
+    broadcasts it only when it is under ``spark.sql.autoBroadcastJoinThreshold``. What is
+    not dropped before is deleted when the application ends.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.root = f"{folder or shared_folder(spark)}/retail_lens/{uuid.uuid4().hex}"
+        remove_at_exit(spark, self.root)
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:8]}"

@@ -4,28 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from retail_lens.sources.schemas import text_schema
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """Typed CSV scan with a header row; dates are parsed by ``date_format``."""
-    return spark.read.schema(schema).option("header", True).option("dateFormat", date_format).csv(path)
+# Quotes as spreadsheets and data tools write them: a quote inside a field is doubled.
+_QUOTES = {"header": True, "quote": '"', "escape": '"'}
+CORRUPT = "_corrupt_record"
 
 
-def scan_csv_text(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV scan that keeps every column as the text found in the file."""
-    return spark.read.schema(text_schema(*columns)).option("header", True).csv(path)
+def _scan(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """All columns of the file's own header as text."""
+    return spark.read.options(**_QUOTES, inferSchema=False, multiLine=multi_line).csv(path)
+
+
+def scan_csv_text(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """CSV scan that keeps every column as the text found in the file.
+
+    Columns are found by the header, in any order; a missing one is an error, others are not
+    read. ``multi_line`` allows line breaks in quoted fields, at the price that a file is read by one task.
+    """
+    return _scan(spark, path, multi_line).select(*[F.col(f"`{c}`") for c in columns])
+
+
+def scan_csv(
+    spark: SparkSession, path: str, schema: StructType, date_format: str = "yyyy-MM-dd", multi_line: bool = False
+) -> DataFrame:
+    """Typed CSV scan by header; dates are parsed by ``date_format``, what does not fit a type is null."""
+
+    def typed(field: StructField) -> Column:
+        text = F.col(f"`{field.name}`")
+        value = F.try_to_date(text, date_format) if isinstance(field.dataType, DateType) else text.try_cast(field.dataType)
+        return value.alias(field.name)
+
+    return scan_csv_text(spark, path, schema.names, multi_line).select(*[typed(f) for f in schema.fields])
+
+
+def malformed_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Number of rows with more or fewer fields than the header: malformed_rows."""
+    names = _scan(spark, path, multi_line).columns
+    wanted = text_schema(*names, CORRUPT)
+    rows = spark.read.schema(wanted).options(
+        **_QUOTES, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+    )
+    # The length, never negative, has the scan parse the fields: the mark alone would not be computed.
+    parsed = F.length(F.concat_ws("", *[f"`{n}`" for n in names])) >= 0
+    return rows.csv(path).agg(F.count_if(F.col(CORRUPT).isNotNull() & parsed).alias("malformed_rows"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace ``path`` with the rows of ``df`` in their order, dates as ISO text, blanks kept."""
+    """Replace ``path`` with the rows of ``df`` in their order, dates as ISO text, blanks kept, quotes doubled."""
     (
         df.write.mode("overwrite")
-        .option("header", True)
+        .options(**_QUOTES)
         .option("dateFormat", "yyyy-MM-dd")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

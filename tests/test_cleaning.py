@@ -4,14 +4,15 @@ import os
 from datetime import date
 from decimal import Decimal
 
+import duckdb
 import pytest
 
 from retail_lens.functions.months import Period, PeriodSpec, during
 from retail_lens.plans import cleaning, pipeline, quality
 from retail_lens.plans.model import Focus
-from retail_lens.session import Staging
+from retail_lens.session import Staging, unstaged
 from retail_lens.sources.catalog import load_clean, load_clean_csv, register_views, row_counts
-from retail_lens.sources.files import scan_csv_text, write_csv
+from retail_lens.sources.files import malformed_rows, scan_csv_text, write_csv
 from retail_lens.sources.schemas import CLEAN, RAW
 
 CUSTOMERS = [
@@ -78,7 +79,7 @@ def test_clean_dimensions(raw):
 @pytest.mark.parametrize("staged", [False, True])
 def test_clean_sales(spark, raw, staged):
     customers = cleaning.clean_customers(raw["customers_raw"])
-    stage = {"stage": Staging(spark)} if staged else {}
+    stage = {"stage": Staging(spark) if staged else unstaged}
     rows = {r.order_id: r for r in cleaning.clean_sales(raw["sales_transactions_raw"], customers, **stage).collect()}
     assert set(rows) == {"S1", "S2", "S3", "S4", "S6", "S7"}
     assert rows["S1"].revenue == Decimal("76.00")
@@ -104,17 +105,17 @@ def test_quality_log(raw):
     log = quality.quality_log(
         {
             "customers": customers,
-            "sales": cleaning.flag_sales(raw["sales_transactions_raw"], customers),
+            "sales": cleaning.mark_sales(raw["sales_transactions_raw"]),
             "targets": cleaning.parse_targets(raw["sales_targets_raw"]),
             "deliveries": cleaning.flag_deliveries(raw["deliveries_raw"]),
         }
     )
-    counts = {(r.table, r.issue): r.rows_affected for r in log.collect()}
-    rules = quality.SALES_RULES
-    assert {rule: counts.get(("sales", issue), 0) for rule, (issue, _) in rules.items()} == {
+    counts = {(r.table, r.rule): r.rows_affected for r in log.collect()}
+    assert {rule: counts.get(("sales", rule), 0) for rule in quality.SALES_RULES} == {
         "duplicates": 1,
         "undated": 1,
         "relabelled": 3,
+        "unknown_label": 1,
         "negative_quantity": 1,
         "outlier": 1,
         "missing_quantity": 1,
@@ -122,10 +123,10 @@ def test_quality_log(raw):
         "missing_discount": 1,
         "missing_rep": 3,
     }
-    assert counts["targets", "missing target amount"] == 2
-    assert counts["deliveries", "exact duplicate rows"] == 1
-    assert counts["deliveries", "missing-value text in stockout_days"] == 1
-    assert ("deliveries", "missing-value text in qty_ordered") not in counts
+    assert counts["targets", "missing"] == 2
+    assert counts["deliveries", "duplicates"] == 1
+    assert counts["deliveries", "token_stockout_days"] == 1
+    assert ("deliveries", "token_qty_ordered") not in counts
     summary = quality.quality_summary({"sales": cleaning.parse_sales(raw["sales_transactions_raw"])}).first()
     assert (summary.rows_before, summary.rows_after) == (8, 6)
 
@@ -169,7 +170,7 @@ def test_end_to_end(spark, raw, tmp_path):
         "SELECT date_format(order_date, 'yyyy-MM') AS ym, SUM(revenue) AS revenue FROM fact_sales GROUP BY ym ORDER BY ym"
     ).collect()
     assert [r.ym for r in by_month] == ["2026-01", "2026-02"]
-    assert spark.read.parquet(f"{clean}/data_quality_log").where("table = 'sales'").count() == 9
+    assert spark.read.parquet(f"{clean}/data_quality_log").where("table = 'sales'").count() == 10
 
     spec = PeriodSpec(Period.of("2026-02"), Period.of("2026-01"), Period.of("2026-03"))
     pipeline.analyse(spark, clean, out, spec, Focus("Ashanti", "Beverages"), date(2026, 2, 1))
@@ -179,3 +180,38 @@ def test_end_to_end(spark, raw, tmp_path):
         write_csv(df, str(tmp_path / f"csv/{name}.csv"))
     from_csv = load_clean_csv(spark, str(tmp_path / "csv"))
     assert from_csv["fact_targets"].exceptAll(tables["fact_targets"]).count() == 0
+
+
+def test_quality_log_joins_no_price_and_no_master(raw):
+    plan = quality.quality_log({"sales": cleaning.mark_sales(raw["sales_transactions_raw"])})._jdf.queryExecution().toString()
+    assert "usual_quantity" in plan and "usual_price" not in plan and "_found" not in plan
+
+
+def test_missing_texts_are_nulls_before_copies_are_counted(spark):
+    rows = [("D1", "SKU1", "Ashanti", "2026-01-01", "2026-01-02", "1", text, "0") for text in ("N/A", "", None, " null ", "#N/A")]
+    flagged = cleaning.flag_deliveries(spark.createDataFrame(rows, RAW["deliveries_raw"])).collect()
+    assert [(r.copies, r.token_qty_delivered, r.qty_delivered) for r in flagged] == [(5, True, None)]
+
+
+def test_labels_from_a_file(spark, tmp_path):
+    (tmp_path / "labels.json").write_text('{"regions": {"north": "North"}}')
+    rules = cleaning.CleaningRules.from_json(spark, str(tmp_path / "labels.json"))
+    assert rules.regions == {"north": "North"} and rules.channels == cleaning.CHANNEL_LABELS
+    df = spark.createDataFrame([("C1", "a", "Far North", "kiosk", "R1"), ("C2", "a", "South", "kiosk", "R1"), ("C2", "a", "north", "shop", "R2")], RAW["customers_raw"])
+    log = {r.rule: r.rows_affected for r in quality.quality_log({"customers": cleaning.flag_customers(df, rules)}).collect()}
+    assert log["unknown_label"] == 2 and log["conflicting_rep"] == 1
+
+
+def test_csv_by_header_with_quotes_and_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "p.csv")
+    df = spark.createDataFrame([('6" tube, blue', "a", 1.5), ("two\nlines", "b", None)], "name string, sku string, price double")
+    write_csv(df, path)
+    back = scan_csv_text(spark, path, ["sku", "name"], multi_line=True)
+    assert sorted(map(tuple, back.collect())) == [("a", '6" tube, blue'), ("b", "two\nlines")]
+    con = duckdb.connect()
+    read = con.execute(f"SELECT sku, name FROM read_csv('{path}/*.csv', header=true, quote='\"', escape='\"') ORDER BY 1").fetchall()
+    assert read == [("a", '6" tube, blue'), ("b", "two\nlines")]
+    with pytest.raises(Exception, match="missing_column"):
+        scan_csv_text(spark, path, ["missing_column"], multi_line=True)
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\n3\n4,5,6\n7,8\n")
+    assert malformed_rows(spark, str(tmp_path / "bad.csv")).first()[0] == 2

@@ -1,18 +1,14 @@
 import os
 
-from retail_lens.session import Staging, shared_folder, size_shuffles
+from retail_lens.session import Staging, shared_folder
 
 
-def test_shuffle_partitions_are_only_raised(spark, tmp_path):
-    (tmp_path / "data.bin").write_bytes(b"x" * 6000)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, str(tmp_path), partition_bytes=10**6) == int(before)
-        assert size_shuffles(spark, str(tmp_path), partition_bytes=1000) == 6
-        assert size_shuffles(spark, str(tmp_path), partition_bytes=10, most=40) == 40
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_readers_change_no_setting(spark):
+    from workload.inputs import Inputs
+
+    before = dict(spark.conf.getAll)
+    Inputs(spark, "/root/testdata/sf0.001").sales()
+    assert dict(spark.conf.getAll) == before
 
 
 def test_staged_frame_is_written_once_and_can_be_dropped(spark):
