@@ -8,12 +8,13 @@ as 0 in a difference unless both sides are absent.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, during, month_start, shift_month
+from retail_lens.functions.months import Period, add_to_month, during, month_start, shift_month
 from retail_lens.functions.numbers import ratio
 from retail_lens.plans.model import Star, monthly, period_sums, sums_by
 
@@ -28,12 +29,14 @@ def dim_region(customers: DataFrame) -> DataFrame:
 
 
 def core_totals(star: Star, by: Sequence[str] = ()) -> DataFrame:
-    """Revenue and units."""
+    """Revenue and units; ``by`` may name the month, quarter or year."""
     sums = {"revenue": F.col("revenue"), "units": F.col("quantity")}
     if not by:
         return star.sales.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    attributes = [c for c in by if c not in star.sales.columns]
-    return sums_by(star.sales, by, sums, star.products if attributes else None)
+    month = month_start(F.col("order_date"))
+    sales = star.sales.withColumns({c: GRAINS[c](month) for c in by if c in GRAINS})
+    attributes = [c for c in by if c not in sales.columns]
+    return sums_by(sales, by, sums, star.products if attributes else None)
 
 
 def gross_margin(star: Star, by: Sequence[str]) -> DataFrame:
@@ -44,12 +47,12 @@ def gross_margin(star: Star, by: Sequence[str]) -> DataFrame:
     """
     keys = [c for c in by if c in star.sales.columns and c != "sku"]
     totals = star.sales.groupBy(*keys, "sku").agg(
-        F.sum("revenue").alias("revenue"), F.sum(F.col("quantity").cast("decimal(18,2)")).alias("units")
+        F.sum("revenue").alias("revenue"), F.sum(F.col("quantity").cast("double")).alias("units")
     )
     attributes = [c for c in by if c not in star.sales.columns]
     costed = totals.join(star.products.select("sku", "unit_cost", *attributes), "sku", "left")
-    cost = F.col("units") * F.coalesce(F.col("unit_cost"), F.lit(0)).cast("decimal(14,4)")
-    margin = F.sum(F.col("revenue") - cost).cast("double")
+    cost = F.col("units") * F.coalesce(F.col("unit_cost"), F.lit(0)).cast("double")
+    margin = F.sum("revenue").cast("double") - F.sum(cost)
     return (
         costed.groupBy(*by)
         .agg(margin.alias("gross_margin"), F.sum("revenue").alias("revenue"))
@@ -57,9 +60,19 @@ def gross_margin(star: Star, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _monthly_revenue(star: Star, by: Sequence[str]) -> DataFrame:
+def _monthly_revenue(star: Star, by: Sequence[str], periods: list[Period]) -> DataFrame:
+    """Revenue per slice and month of the periods; the scan is bounded by them."""
     attributes = [c for c in by if c not in star.sales.columns]
-    return monthly(star.sales, by, star.products if attributes else None).select(*by, "month", "revenue")
+    sales = during(star.sales, periods)
+    return monthly(sales, by, star.products if attributes else None).select(*by, "month", "revenue")
+
+
+#: Columns of the calendar that a measure can be sliced by instead of the month.
+GRAINS = {
+    "month": lambda month: month,
+    "quarter": lambda month: F.concat(F.lit("Q"), F.quarter(month), F.lit(" "), F.year(month)),
+    "year": lambda month: F.year(month),
+}
 
 
 def _spread(
@@ -68,13 +81,14 @@ def _spread(
     shifts: dict[str, list[int]],
     calendar: Period,
     constants: Sequence[str] = (),
+    grain: str | None = "month",
 ) -> DataFrame:
     """Per column, the sum of revenue moved on by the given numbers of months.
 
     Every month is sent to each month it contributes to and summed there, which needs one
     shuffle and no self-join, and also yields months without sales of their own. Months
-    outside the calendar are left out. ``constants`` are columns that are equal throughout
-    a slice and are kept.
+    outside the calendar are left out. ``grain`` sums the months of a quarter or year, or with
+    None of the whole calendar. ``constants`` are columns that are equal throughout a slice and are kept.
     """
     copies = [
         F.struct(
@@ -83,31 +97,55 @@ def _spread(
         )
         for shift in sorted({shift for s in shifts.values() for shift in s})
     ]
-    return (
+    moved = (
         months.select(*by, *constants, F.explode(F.array(*copies)).alias("c"))
         .select(*by, *constants, "c.*")
         .where(F.col("month").between(F.lit(calendar.first), F.lit(calendar.last)))
-        .groupBy(*by, "month")
-        .agg(*[F.sum(name).alias(name) for name in shifts], *[F.max(name).alias(name) for name in constants])
+    )
+    at = [] if grain is None else [GRAINS[grain](F.col("month")).alias(grain)]
+    return moved.groupBy(*by, *at).agg(
+        *[F.sum(name).alias(name) for name in shifts], *[F.max(name).alias(name) for name in constants]
     )
 
 
-def revenue_py(star: Star, by: Sequence[str], calendar: Period) -> DataFrame:
-    """Revenue of each month and of the same month a year before, null where there was none."""
-    months = _monthly_revenue(star, by)
-    return _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar)
+def _reach(calendar: Period, back: int, *more: Period) -> list[Period]:
+    """Months that a measure over the calendar reads: ``back`` months before it to its end, and other periods."""
+    return [Period(add_to_month(calendar.first, -back), calendar.last), *more]
 
 
-def revenue_yoy(star: Star, by: Sequence[str], calendar: Period) -> DataFrame:
+def revenue_py(star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month") -> DataFrame:
+    """Revenue of each month (quarter, year, all) and a year before, null where there was none."""
+    months = _monthly_revenue(star, by, _reach(calendar, 12))
+    return _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, grain=grain)
+
+
+def revenue_yoy(star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month") -> DataFrame:
     """Change against the year before as a fraction."""
     change = ratio(_or_zero("revenue") - _or_zero("revenue_py"), F.col("revenue_py"))
-    return revenue_py(star, by, calendar).withColumn("revenue_yoy", change)
+    return revenue_py(star, by, calendar, grain).withColumn("revenue_yoy", change)
 
 
-def rolling_revenue(star: Star, by: Sequence[str], calendar: Period, months: int = 3) -> DataFrame:
-    """Revenue of each month together with the months before it, by the calendar."""
-    totals = _monthly_revenue(star, by)
-    return _spread(totals, by, {"rolling_revenue": list(range(months))}, calendar)
+def rolling_revenue(
+    star: Star, by: Sequence[str], calendar: Period, months: int = 3, grain: str | None = "month"
+) -> DataFrame:
+    """Revenue of each month together with the months before it, by the calendar.
+
+    For a quarter, a year or the whole calendar these are the months up to its last one.
+    """
+    totals = _monthly_revenue(star, by, _reach(calendar, months - 1))
+    if grain == "month":
+        return _spread(totals, by, {"rolling_revenue": list(range(months))}, calendar)
+    ends = _month_ends(calendar, grain)
+    rolled = _spread(totals, by, {"rolling_revenue": list(range(months))}, calendar).where(F.col("month").isin(ends))
+    at = [] if grain is None else [GRAINS[grain](F.col("month")).alias(grain)]
+    return rolled.select(*by, *at, "rolling_revenue")
+
+
+def _month_ends(calendar: Period, grain: str | None) -> list[date]:
+    """The last month of each quarter or year of the calendar, or of the calendar."""
+    size = {"quarter": 3, "year": 12}.get(grain, 0)
+    months = calendar.months()
+    return [m for m in months if m == months[-1] or (size and m.month % size == 0)]
 
 
 def growth_factor(star: Star, by: Sequence[str], trend: Period) -> DataFrame:
@@ -122,33 +160,33 @@ def growth_factor(star: Star, by: Sequence[str], trend: Period) -> DataFrame:
     return sums.select(*by, ratio(F.col("now"), F.col("then")).alias("growth_factor"))
 
 
-def gap_vs_trend(star: Star, by: Sequence[str], calendar: Period, trend: Period) -> DataFrame:
+def gap_vs_trend(
+    star: Star, by: Sequence[str], calendar: Period, trend: Period, grain: str | None = "month"
+) -> DataFrame:
     """Revenue, last year's revenue grown by the trend, and the difference.
 
     Growth is taken from the same monthly totals, all of them whatever the calendar, so
     the facts are read once. A slice has one row per month by then.
     """
-    months = _monthly_revenue(star, by)
+    months = _monthly_revenue(star, by, _reach(calendar, 12, trend, trend.shifted(-12)))
     in_slice = Window.partitionBy(*by)
     factor = ratio(_during(trend).over(in_slice), _during(trend.shifted(-12)).over(in_slice))
     months = months.withColumn("growth_factor", factor)
     expected = F.col("revenue_py").cast("double") * F.col("growth_factor")
-    spread = _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, ["growth_factor"])
+    spread = _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, ["growth_factor"], grain)
     gap = F.when(
         F.col("revenue").isNotNull() | F.col("expected").isNotNull(),
         _or_zero("revenue").cast("double") - _or_zero("expected"),
     )
-    return (
-        spread.withColumn("expected", expected)
-        .select(*by, "month", "revenue", "expected", gap.alias("gap"))
-    )
+    at = [] if grain is None else [grain]
+    return spread.withColumn("expected", expected).select(*by, *at, "revenue", "expected", gap.alias("gap"))
 
 
 def forecast_measure(star: Star, by: Sequence[str], calendar: Period, trend: Period, future: Period) -> DataFrame:
     """The expected revenue of months still to come."""
+    ahead = Period(max(calendar.first, future.first), min(calendar.last, future.last))
     return (
-        gap_vs_trend(star, by, calendar, trend)
-        .where(F.col("month").between(F.lit(future.first), F.lit(future.last)))
+        gap_vs_trend(star, by, ahead, trend)
         .where(F.col("expected").isNotNull())
         .select(*by, "month", F.col("expected").alias("forecast"))
     )
@@ -163,21 +201,29 @@ def _or_zero(name: str) -> Column:
 
 
 def attainment(star: Star, by: Sequence[str] = ("rep_id", "month")) -> DataFrame:
-    """Revenue, target and revenue over target, sliced by rep and month or either.
+    """Revenue, target and revenue over target, sliced by rep, by attributes of the rep, by month, quarter or year.
 
-    Both facts are summed on their own and stacked, never joined line by line.
+    Both facts are summed on their own and stacked, never joined line by line; attributes
+    are looked up for the sums per rep. Without ``by`` there is one row.
     """
+    times = [c for c in by if c in GRAINS]
+    attributes = [c for c in by if c not in GRAINS and c != "rep_id"]
     sold = star.sales.select(
         F.col("sales_rep_id").alias("rep_id"), month_start(F.col("order_date")).alias("month"), "revenue"
     )
     aimed = star.targets.select(
         "rep_id", F.col("month_start").alias("month"), F.col("target_amount").cast("decimal(20,4)").alias("target")
     )
-    parts = [
-        sold.groupBy(*by).agg(F.sum("revenue").alias("revenue")),
-        aimed.groupBy(*by).agg(F.sum("target").alias("target")),
-    ]
-    return _stacked(parts, by, ["revenue", "target"]).withColumn(
+
+    def summed(df: DataFrame, name: str) -> DataFrame:
+        at = [GRAINS[c](F.col("month")).alias(c) for c in times]
+        if not attributes:
+            return df.groupBy(*[F.col("rep_id")] * ("rep_id" in by), *at).agg(F.sum(name).alias(name))
+        per_rep = df.groupBy("rep_id", *at).agg(F.sum(name).alias(name))
+        named = per_rep.join(star.reps.select("rep_id", *attributes), "rep_id", "left")
+        return named.groupBy(*by).agg(F.sum(name).alias(name))
+
+    return _stacked([summed(sold, "revenue"), summed(aimed, "target")], by, ["revenue", "target"]).withColumn(
         "attainment", ratio(F.col("revenue"), F.col("target"))
     )
 
@@ -207,7 +253,8 @@ def drill_across(star: Star, by: Sequence[str] = ("month",)) -> DataFrame:
     """Sales and deliveries side by side on conformed columns, and targets by month.
 
     Targets belong to reps: a region or category slice does not filter them, so each
-    slice shows the target of the whole month.
+    slice shows the target of the whole month, or of all months where there is no month in
+    ``by``. A month with targets only has a row, whose other columns in ``by`` are null.
     """
     sales = star.sales.withColumn("month", month_start(F.col("order_date")))
     deliveries = star.deliveries.withColumn("month", month_start(F.col("order_date")))
@@ -218,18 +265,19 @@ def drill_across(star: Star, by: Sequence[str] = ("month",)) -> DataFrame:
         deliveries,
         by,
         {
-            "delivered": F.col("qty_delivered").cast("decimal(18,2)"),
-            "ordered": F.col("qty_ordered").cast("decimal(18,2)"),
+            "delivered": F.col("qty_delivered").cast("double"),
+            "ordered": F.col("qty_ordered").cast("double"),
         },
         _products_for(star, deliveries, by),
     )
     table = _stacked([sold, moved], by, ["revenue", "units", "delivered", "ordered"])
-    aimed = star.targets.groupBy(F.col("month_start").alias("month")).agg(
-        F.sum(F.col("target_amount").cast("decimal(20,4)")).alias("target")
-    )
+    aimed = star.targets.select(F.col("month_start").alias("month"), F.col("target_amount").cast("decimal(20,4)").alias("t"))
     if "month" in by:
-        table = table.join(aimed, "month", "left")
-    return table.withColumn("fill_rate", ratio(F.col("delivered"), F.col("ordered"))).drop("delivered", "ordered")
+        table = table.join(aimed.groupBy("month").agg(F.sum("t").alias("target")), "month", "full")
+    else:
+        table = table.withColumn("target", aimed.agg(F.sum("t")).scalar())
+    rate = ratio(F.col("delivered"), F.col("ordered"))
+    return table.select(*by, "revenue", "units", "target", rate.alias("fill_rate"))
 
 
 def _products_for(star: Star, fact: DataFrame, by: Sequence[str]) -> DataFrame | None:

@@ -62,6 +62,24 @@ class Star:
         )
 
 
+    def of_rep_region(self, region: str) -> Star:
+        """Region of the rep: reaches sales and targets, which both carry the rep; deliveries stay whole."""
+        reps = self.reps.where(F.col("region") == region)
+        ids = reps.select(F.col("rep_id").alias("sales_rep_id"))
+        return replace(
+            self,
+            reps=reps,
+            sales=self.sales.join(ids, "sales_rep_id", "left_semi"),
+            targets=self.targets and self.targets.join(reps.select("rep_id"), "rep_id", "left_semi"),
+        )
+
+    def of_channel(self, channel: str) -> Star:
+        """Outlet filter: reaches sales by the customer key."""
+        customers = self.customers.where(F.col("channel") == channel)
+        keys = customers.select("customer_id")
+        return replace(self, customers=customers, sales=self.sales.join(keys, "customer_id", "left_semi"))
+
+
 def keep_products(fact: DataFrame, products: DataFrame) -> DataFrame:
     return fact.join(products.select("sku"), "sku", "left_semi")
 

@@ -23,9 +23,9 @@ def _parts() -> dict[str, Column]:
     """Sum and count of every measure; means of means would weigh products wrongly."""
     parts = {}
     for column in MEASURES.values():
-        fixed = F.col(column).cast("decimal(12,3)")
-        parts[f"{column}_sum"] = fixed
-        parts[f"{column}_n"] = F.when(fixed.isNotNull(), 1)
+        value = F.col(column).cast("double")
+        parts[f"{column}_sum"] = value
+        parts[f"{column}_n"] = F.when(value.isNotNull(), 1)
     return parts
 
 
@@ -62,8 +62,8 @@ def supply_by_region_category(deliveries: DataFrame, products: DataFrame, first_
 def supply_measures(deliveries: DataFrame, products: DataFrame, by: Sequence[str]) -> DataFrame:
     """Mean lead time and stock-out days, and the fill rate as a ratio of sums."""
     parts = _parts() | {
-        "delivered": F.col("qty_delivered").cast("decimal(18,2)"),
-        "ordered": F.col("qty_ordered").cast("decimal(18,2)"),
+        "delivered": F.col("qty_delivered").cast("double"),
+        "ordered": F.col("qty_ordered").cast("double"),
     }
     return sums_by(deliveries, by, parts, products).select(
         *by,
@@ -77,6 +77,6 @@ def fill_rate_ratio(deliveries: DataFrame, by: Sequence[str]) -> DataFrame:
     """Delivered over ordered, which weighs lines by size unlike the mean of line rates."""
     return deliveries.groupBy(*by).agg(
         ratio(
-            F.sum(F.col("qty_delivered").cast("decimal(18,2)")), F.sum(F.col("qty_ordered").cast("decimal(18,2)"))
+            F.sum(F.col("qty_delivered").cast("double")), F.sum(F.col("qty_ordered").cast("double"))
         ).alias("fill_rate")
     )

@@ -40,7 +40,7 @@ LINE = {
     "revenue": "CAST(CAST(l_extendedprice AS DECIMAL(18,2))"
     " * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))",
 }
-OUTLET = {"region": "r_name", "channel": "c_mktsegment"}
+OUTLET = {"customer_id": "c_custkey", "region": "r_name", "channel": "c_mktsegment"}
 
 PRODUCT = {
     "sku": "p_partkey",
@@ -73,10 +73,21 @@ DELIVERY = {
 TARGET_MONTHS = 24
 TARGET = "CAST(300000 + (s_suppkey * 7919 + idx * 104729) % 140000 AS BIGINT)"
 TARGET_GAP = "(s_suppkey * 31 + idx) % 61 = 0"
+#: Targets without a rep, without a month, and with the month of the target before.
+TARGET_NOBODY = "(s_suppkey + idx * 5) % 83 = 7"
+TARGET_UNDATED = "(s_suppkey * 3 + idx) % 71 = 9"
+TARGET_AGAIN = "(s_suppkey + idx * 11) % 67 = 3"
 
 # ---- untidy tables ----------------------------------------------------------------
 
-_K = "(l_orderkey * 7 + l_linenumber)"
+
+def picked(key: str, salt: int, first: int, count: int) -> str:
+    """A scattered selection of ``count`` in a thousand keys; equal salts with disjoint ranges do not overlap."""
+    spread = f"((CAST({key} AS BIGINT) * 2654435761 + {salt * 40503}) % 4294967296)"
+    return f"CAST(FLOOR({spread} / 65536.0) AS BIGINT) % 1000 BETWEEN {first} AND {first + count - 1}"
+
+
+_K = "(l_orderkey * 8 + l_linenumber)"
 _Q = "CAST(CAST(l_quantity AS INT) AS STRING)"
 _Q100 = "CAST(CAST(l_quantity AS INT) * 100 AS STRING)"
 _CENTS = "CAST(FLOOR(CAST(ROUND(l_extendedprice * 100) AS BIGINT) / CAST(l_quantity AS INT)) AS BIGINT)"
@@ -94,41 +105,52 @@ def _cents_text(cents: str) -> str:
 def untidy_date(day: str, key: str, dialect: str) -> str:
     fmt = {name: text.replace("{d}", day) for name, text in DIALECTS[dialect].items()}
     return (
-        f"CASE WHEN {key} % 211 = 0 THEN 'N/A' WHEN {key} % 10 < 6 THEN {fmt['iso']}"
-        f" WHEN {key} % 10 < 8 THEN {fmt['slash']} WHEN {key} % 10 = 8 THEN {fmt['words']}"
+        f"CASE WHEN {picked(key, 1, 0, 6)} THEN 'NULL' WHEN {picked(key, 1, 6, 500)} THEN {fmt['iso']}"
+        f" WHEN {picked(key, 1, 506, 250)} THEN {fmt['slash']} WHEN {picked(key, 1, 756, 120)} THEN {fmt['words']}"
         f" ELSE {fmt['short']} END"
     )
 
 
 def untidy_region(region: str, key: str) -> str:
     return (
-        f"CASE {key} % 8 WHEN 0 THEN upper({region}) WHEN 1 THEN lower({region}) || ' region'"
-        f" WHEN 2 THEN '  ' || {region} || ' ' ELSE {region} END"
+        f"CASE WHEN {picked(key, 2, 0, 90)} THEN upper({region}) WHEN {picked(key, 2, 90, 120)}"
+        f" THEN 'sales area ' || lower({region}) WHEN {picked(key, 2, 210, 80)} THEN {region} || '  '"
+        f" WHEN {picked(key, 2, 290, 7)} THEN 'elsewhere' WHEN {picked(key, 2, 297, 5)} THEN 'nan' ELSE {region} END"
     )
 
 
 def untidy_channel(channel: str, key: str) -> str:
     return (
-        f"CASE {key} % 7 WHEN 0 THEN lower({channel})"
-        f" WHEN 1 THEN substr({channel}, 1, 4) || ' ' || substr({channel}, 5) ELSE {channel} END"
+        f"CASE WHEN {picked(key, 3, 0, 160)} THEN lower({channel}) WHEN {picked(key, 3, 160, 110)}"
+        f" THEN substr({channel}, 1, 3) || ' ' || substr({channel}, 4) ELSE {channel} END"
     )
 
 
 def untidy_sku(sku: str, key: str) -> str:
-    return f"CASE WHEN {key} % 10 = 6 THEN lower({sku}) WHEN {key} % 10 = 7 THEN {sku} || ' ' ELSE {sku} END"
+    return (
+        f"CASE WHEN {picked(key, 4, 0, 70)} THEN lower({sku}) WHEN {picked(key, 4, 70, 60)} THEN '  ' || {sku}"
+        f" ELSE {sku} END"
+    )
 
 
 QUANTITY_TEXT = (
-    f"CASE WHEN {_K} % 25 = 0 THEN NULL WHEN {_K} % 50 = 1 THEN {_Q} || ' ctn'"
-    f" WHEN {_K} % 100 = 2 THEN '-' || {_Q} WHEN {_K} % 1000 = 3 THEN {_Q100} ELSE {_Q} END"
+    f"CASE WHEN {picked(_K, 5, 0, 15)} THEN NULL WHEN {picked(_K, 5, 15, 10)} THEN 'N/A'"
+    f" WHEN {picked(_K, 5, 25, 30)} THEN {_Q} || ' pcs' WHEN {picked(_K, 5, 55, 14)} THEN '-' || {_Q}"
+    f" WHEN {picked(_K, 5, 69, 3)} THEN {_Q100} ELSE {_Q} END"
 )
 PRICE_TEXT = (
-    f"CASE WHEN {_K} % 17 = 0 THEN 'GHS ' || {_cents_text(_CENTS)} WHEN {_K} % 33 = 5 THEN NULL"
+    f"CASE WHEN {picked(_K, 6, 0, 80)} THEN 'EUR ' || {_cents_text(_CENTS)} WHEN {picked(_K, 6, 80, 22)} THEN NULL"
     f" ELSE {_cents_text(_CENTS)} END"
 )
-DISCOUNT_TEXT = f"CASE WHEN {_K} % 10 = 4 THEN {_D} || '%' WHEN {_K} % 33 = 7 THEN NULL ELSE {_D} END"
+DISCOUNT_TEXT = (
+    f"CASE WHEN {picked(_K, 7, 0, 140)} THEN {_D} || ' %' WHEN {picked(_K, 7, 140, 18)} THEN NULL"
+    f" WHEN {picked(_K, 7, 158, 9)} THEN '' ELSE {_D} END"
+)
 SKU_TEXT = untidy_sku(_SKU, _K)
-REP_TEXT = f"CASE WHEN {_K} % 50 = 9 THEN NULL ELSE 'R' || CAST(l_suppkey AS STRING) END"
+REP_TEXT = (
+    f"CASE WHEN {picked(_K, 8, 0, 12)} THEN NULL WHEN {picked(_K, 8, 12, 12)} THEN 'None'"
+    " ELSE 'R' || CAST(l_suppkey AS STRING) END"
+)
 ORDER_TEXT = "'SO-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)"
 
 
@@ -148,14 +170,14 @@ def line_texts(dialect: str) -> dict[str, str]:
 def sales_texts(dialect: str) -> dict[str, str]:
     customer = "'C' || CAST(c_custkey AS STRING)"
     return line_texts(dialect) | {
-        "customer_id": f"CASE WHEN l_orderkey % 20 = 3 THEN ' ' || lower({customer}) || ' ' ELSE {customer} END",
+        "customer_id": f"CASE WHEN {picked('l_orderkey', 9, 0, 60)} THEN lower({customer}) || ' ' ELSE {customer} END",
         "outlet_region": untidy_region("r_name", "l_orderkey"),
         "channel": untidy_channel("c_mktsegment", "l_orderkey"),
     }
 
 
-SALES_COPIED = "l_orderkey % 50 = 0"
-DELIVERIES_COPIED = "l_orderkey % 80 = 0"
+SALES_COPIED = picked("l_orderkey", 10, 0, 25)
+DELIVERIES_COPIED = picked("l_orderkey", 11, 0, 15)
 
 
 def delivery_texts(dialect: str) -> dict[str, str]:
@@ -175,8 +197,9 @@ def target_texts(dialect: str) -> dict[str, str]:
     formats = DIALECTS[dialect]
     word, iso = (formats[name].replace("{d}", "month_start") for name in ("month_word", "month_iso"))
     amount = formats["thousands"].replace("{x}", TARGET).replace("{{", "{").replace("}}", "}")
+    word, iso = f"CASE WHEN {TARGET_UNDATED} THEN 'N/A' ELSE {word} END", iso
     return {
-        "rep_id": "'R' || CAST(s_suppkey AS STRING)",
+        "rep_id": f"CASE WHEN {TARGET_NOBODY} THEN 'NULL' ELSE 'R' || CAST(s_suppkey AS STRING) END",
         "month": f"CASE WHEN idx % 5 = 0 THEN {iso} ELSE {word} END",
         "target_amount": f"CASE WHEN {TARGET_GAP} THEN '' ELSE {amount} END",
     }
@@ -188,9 +211,9 @@ def product_texts() -> dict[str, str]:
     return {
         "sku": untidy_sku("'P' || CAST(p_partkey AS STRING)", "p_partkey"),
         "product_name": "p_name",
-        "category": "CASE p_partkey % 3 WHEN 0 THEN lower(p_type) WHEN 1 THEN p_type"
-        " ELSE substr(p_type, 1, 1) || lower(substr(p_type, 2)) END",
-        "list_price": f"CASE WHEN p_partkey % 4 = 0 THEN 'GHS ' || {price} ELSE {price} END",
+        "category": f"CASE WHEN {picked('p_partkey', 13, 0, 300)} THEN lower(p_type)"
+        f" WHEN {picked('p_partkey', 13, 300, 150)} THEN p_type || ' ' ELSE p_type END",
+        "list_price": f"CASE WHEN {picked('p_partkey', 12, 0, 200)} THEN 'EUR ' || {price} ELSE {price} END",
         "unit_cost": cost,
         "pack_size": "CAST(p_size AS STRING)",
     }
@@ -199,23 +222,27 @@ def product_texts() -> dict[str, str]:
 def customer_texts() -> dict[str, str]:
     name = "c_name || '''s store'"
     return {
-        "customer_id": "CASE WHEN c_custkey % 20 = 3 THEN ' c' || CAST(c_custkey AS STRING)"
+        "customer_id": f"CASE WHEN {picked('c_custkey', 14, 0, 50)} THEN 'c' || CAST(c_custkey AS STRING) || ' '"
         " ELSE 'C' || CAST(c_custkey AS STRING) END",
-        "outlet_name": f"CASE WHEN c_custkey % 9 = 0 THEN upper({name})"
-        f" WHEN c_custkey % 11 = 0 THEN '  ' || {name} || '  ' ELSE {name} END",
+        "outlet_name": f"CASE WHEN {picked('c_custkey', 15, 0, 100)} THEN lower({name})"
+        f" WHEN {picked('c_custkey', 15, 100, 70)} THEN {name} || '   ' ELSE {name} END",
         "region": untidy_region("r_name", "c_custkey"),
         "channel": untidy_channel("c_mktsegment", "c_custkey"),
-        "rep_id": "'R' || CAST(c_custkey % 100 AS STRING)",
+        "rep_id": f"CASE WHEN {picked('c_custkey', 16, 0, 20)} THEN 'null' ELSE 'R' || CAST(c_custkey % 100 AS STRING) END",
     }
 
 
+#: An outlet name with quotes, a comma and a line break.
+QUOTED_NAME = "outlet_name || ' \"the 6\", blue' || chr(10) || 'annex'"
+
+
 def rep_texts(dialect: str) -> dict[str, str]:
     name = "replace(s_name, '#', ' ')"
     hired = "(DATE '2019-01-01' + CAST(s_suppkey * 37 % 1800 AS INT))"
     return {
         "rep_id": "'R' || CAST(s_suppkey AS STRING)",
-        "rep_name": f"CASE WHEN s_suppkey % 4 = 0 THEN upper({name})"
-        f" WHEN s_suppkey % 5 = 0 THEN ' ' || lower({name}) ELSE {name} END",
+        "rep_name": f"CASE WHEN {picked('s_suppkey', 17, 0, 180)} THEN lower({name}) || ' '"
+        f" WHEN {picked('s_suppkey', 17, 180, 140)} THEN upper({name}) ELSE {name} END",
         "region": untidy_region("r_name", "s_suppkey"),
         "hire_date": untidy_date(hired, "s_suppkey", dialect),
     }

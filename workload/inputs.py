@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from retail_lens.functions.numbers import fill_rate, lead_time_days
 from retail_lens.plans.model import Star
-from retail_lens.session import size_shuffles
 from workload import expressions as x
 
 
@@ -23,7 +22,6 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        size_shuffles(spark, folder)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -43,9 +41,8 @@ class Inputs:
         )
 
     def _order_lines(self) -> DataFrame:
-        """Lines with their order. Both sides grow with the business, so neither is broadcast."""
-        orders = self._orders().hint("merge")
-        return self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        """Lines with their order; whether it is small enough to be broadcast is left to Spark's threshold."""
+        return self.table("lineitem").join(self._orders(), F.col("l_orderkey") == F.col("o_orderkey"))
 
     # ---- clean ----
 
@@ -79,12 +76,16 @@ class Inputs:
 
     def gappy_targets(self) -> DataFrame:
         amount = f"CASE WHEN {x.TARGET_GAP} THEN NULL ELSE CAST({x.TARGET} AS DOUBLE) END"
-        return _select(self._rep_months(), {"rep_id": "s_suppkey", "target_amount": amount}, "month_start")
+        rep = f"CASE WHEN {x.TARGET_NOBODY} THEN NULL ELSE s_suppkey END"
+        month = (
+            f"CASE WHEN {x.TARGET_UNDATED} THEN NULL WHEN {x.TARGET_AGAIN} THEN add_months(month_start, -1)"
+            " ELSE month_start END"
+        )
+        return _select(self._rep_months(), {"rep_id": rep, "target_amount": amount, "month_start": month})
 
     def dated_deliveries(self) -> DataFrame:
         """Deliveries without a region."""
-        orders = self.table("orders").hint("merge")
-        joined = self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        joined = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         return self._measured(_select(joined, x.DELIVERY))
 
     def deliveries(self) -> DataFrame:
@@ -103,7 +104,13 @@ class Inputs:
         return Star(sales=self.sales(), products=self.products())
 
     def full_star(self) -> Star:
-        return replace(self.sales_star(), deliveries=self.deliveries(), targets=self.targets())
+        return replace(
+            self.sales_star(),
+            deliveries=self.deliveries(),
+            targets=self.targets(),
+            reps=self.reps(),
+            customers=self.customers(),
+        )
 
     # ---- untidy ----
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from retail_lens.functions.text import MISSING_TOKENS
+from retail_lens.plans.quality import RULES as LOG_RULES
 from workload import expressions as x
 
 S = x.select_list
@@ -86,6 +88,15 @@ RAW_REPS = f"""raw_reps AS (
 )"""
 
 
+def present(text: str) -> str:
+    """Null for a missing-value text."""
+    return f"(CASE WHEN trim({text}) IN ({', '.join(repr(t) for t in MISSING_TOKENS)}) THEN NULL ELSE {text} END)"
+
+
+def all_present(columns) -> str:
+    return ", ".join(f"{present(c)} AS {c}" for c in columns)
+
+
 def parsed_date(text: str) -> str:
     formats = ["%Y-%m-%d", "%d/%m/%Y", "%b %d, %Y", "%d-%b-%y"]
     return "CAST(coalesce(" + ", ".join(f"try_strptime(trim({text}), '{f}')" for f in formats) + ") AS DATE)"
@@ -121,14 +132,17 @@ def title(text: str) -> str:
 
 
 PARSED_SALES = f"""{RAW_SALES},
-distinct_sales AS (SELECT *, count(*) AS copies FROM raw_sales GROUP BY ALL),
+distinct_sales AS (
+  SELECT {all_present(x.sales_texts("duckdb"))}, count(*) AS copies FROM raw_sales GROUP BY ALL
+),
 all_parsed AS (
   SELECT order_id, {parsed_date("order_date")} AS order_date, {key("customer_id")} AS customer_id,
          {channel_label("channel")} AS channel, {key("sku")} AS sku, {number("quantity")} AS signed_quantity,
          {number("unit_price")} AS unit_price, {number("discount_pct")} AS discount_pct, sales_rep_id,
          {region_label("outlet_region")} AS region, copies,
          {region_label("outlet_region")} IS DISTINCT FROM outlet_region
-           OR {channel_label("channel")} IS DISTINCT FROM channel AS relabelled
+           OR {channel_label("channel")} IS DISTINCT FROM channel AS relabelled,
+         ({region_label("outlet_region")} IS NULL AND outlet_region IS NOT NULL) AS unknown_label
   FROM distinct_sales
 ),
 parsed AS (
@@ -140,7 +154,7 @@ usual_price AS (SELECT sku, month, median(unit_price) AS usual_price FROM parsed
 CLEAN_CUSTOMERS_ONLY = f"""{RAW_CUSTOMERS_ONLY},
 clean_customers AS (
   SELECT {key("customer_id")} AS customer_id, {title("outlet_name")} AS outlet_name,
-         {region_label("region")} AS region, {channel_label("channel")} AS channel, rep_id
+         {region_label("region")} AS region, {channel_label("channel")} AS channel, {present("rep_id")} AS rep_id
   FROM raw_customers
 )"""
 _REPAIRED = """CASE WHEN quantity > 10 * usual THEN usual ELSE coalesce(quantity, usual) END"""
@@ -150,7 +164,7 @@ repaired AS (
   SELECT p.order_id, p.order_date, p.customer_id, p.channel, p.sku, {_REPAIRED} AS quantity,
          coalesce(unit_price, usual_price) AS unit_price, coalesce(discount_pct, 0.0) AS discount_pct,
          coalesce(sales_rep_id, c.rep_id) AS sales_rep_id, p.region, {_FLAG} AS qty_flag,
-         relabelled, signed_quantity < 0 AS negative_quantity, quantity IS NULL AS missing_quantity,
+         relabelled, unknown_label, signed_quantity < 0 AS negative_quantity, quantity IS NULL AS missing_quantity,
          unit_price IS NULL AS missing_price, discount_pct IS NULL AS missing_discount,
          sales_rep_id IS NULL AS missing_rep
   FROM parsed p
@@ -169,7 +183,7 @@ def interpolated(source: str) -> str:
     """Positional linear interpolation by self-joining each gap to its known neighbours."""
     return f"""
 placed_targets AS (
-  SELECT *, row_number() OVER (PARTITION BY rep_id ORDER BY month_start) AS pos FROM {source}
+  SELECT *, row_number() OVER (PARTITION BY rep_id ORDER BY month_start NULLS LAST, target_amount NULLS LAST) AS pos FROM {source}
 ),
 neighbours AS (
   SELECT t.rep_id, t.month_start, t.target_amount, t.pos,
@@ -207,7 +221,7 @@ ORACLE: dict[str, str] = {}
 
 # ---- sources ----------------------------------------------------------------------
 
-ORACLE["csv_scan_text"] = f"WITH {RAW_CUSTOMERS} SELECT * FROM raw_customers"
+ORACLE["csv_scan_text"] = f"WITH {RAW_CUSTOMERS} SELECT * REPLACE ({x.QUOTED_NAME} AS outlet_name) FROM raw_customers"
 ORACLE["csv_scan_typed"] = f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, {iso("o_orderdate")} AS order_date, o_totalprice AS amount
 FROM orders"""
@@ -217,11 +231,12 @@ SELECT delivery_id, qty_delivered = 'N/A' AS was_token, nullif(qty_delivered, 'N
        nullif(stockout_days, 'n/a') AS stockout_days
 FROM (SELECT DISTINCT * FROM raw_deliveries)"""
 ORACLE["catalog_row_counts"] = f"""
-WITH {SALES}, {PRODUCTS}, {REPS}, {TARGETS}
+WITH {SALES}, {DELIVERIES_ONLY}, {PRODUCTS}, {REPS}, {TARGETS}
 SELECT 'fact_sales' AS "table", count(*) AS row_count FROM sales
 UNION ALL SELECT 'fact_targets', count(*) FROM targets
 UNION ALL SELECT 'dim_products', count(*) FROM products
 UNION ALL SELECT 'dim_customers', count(*) FROM outlets
+UNION ALL SELECT 'fact_deliveries', count(*) FROM deliveries
 UNION ALL SELECT 'dim_reps', count(*) FROM reps"""
 
 # ---- cleaning: columns ------------------------------------------------------------
@@ -269,7 +284,8 @@ SELECT strftime(order_date, '%Y-%m-01') AS month, count(*) AS lines FROM lines G
 
 # ---- cleaning: tables -------------------------------------------------------------
 
-ORACLE["drop_exact_duplicates"] = f"WITH {RAW_SALES} SELECT DISTINCT * FROM raw_sales"
+ORACLE["drop_exact_duplicates"] = f"""
+WITH {RAW_SALES} SELECT DISTINCT {all_present(x.sales_texts("duckdb"))} FROM raw_sales"""
 ORACLE["drop_invalid_dates"] = f"""
 WITH {RAW_LINES},
 d AS (SELECT order_id, {parsed_date("order_date")} AS order_date FROM raw_lines)
@@ -291,7 +307,7 @@ FROM parsed LEFT JOIN usual_price USING (sku, month)"""
 ORACLE["lookup_fill"] = f"""
 WITH {RAW_SALES}, {CLEAN_CUSTOMERS_ONLY}
 SELECT s.order_id, {key("s.customer_id")} AS customer_id, coalesce(s.sales_rep_id, c.rep_id) AS sales_rep_id
-FROM (SELECT DISTINCT * FROM raw_sales) s LEFT JOIN clean_customers c ON c.customer_id = {key("s.customer_id")}"""
+FROM (SELECT DISTINCT {all_present(x.sales_texts("duckdb"))} FROM raw_sales) s LEFT JOIN clean_customers c ON c.customer_id = {key("s.customer_id")}"""
 ORACLE["sorted_sales"] = f"""
 WITH {LINES}
 SELECT order_id, CAST(line_no AS BIGINT) AS line_no, {iso("order_date")} AS order_date, sku, quantity,
@@ -300,7 +316,9 @@ FROM lines ORDER BY order_date, order_id"""
 ORACLE["interpolate_targets"] = f"""
 WITH {REP_MONTHS},
 gappy AS (
-  SELECT s_suppkey AS rep_id, month_start, CASE WHEN {x.TARGET_GAP} THEN NULL ELSE {dbl(x.TARGET)} END AS target_amount
+  SELECT CASE WHEN {x.TARGET_NOBODY} THEN NULL ELSE s_suppkey END AS rep_id,
+         CAST(CASE WHEN {x.TARGET_UNDATED} THEN NULL WHEN {x.TARGET_AGAIN} THEN month_start - INTERVAL 1 MONTH
+              ELSE month_start END AS DATE) AS month_start, CASE WHEN {x.TARGET_GAP} THEN NULL ELSE {dbl(x.TARGET)} END AS target_amount
   FROM rep_months
 ), {interpolated("gappy")}
 SELECT rep_id, {iso("month_start")} AS month_start, {up("target_amount", 4)} AS target_amount FROM filled"""
@@ -313,7 +331,7 @@ FROM repaired"""
 ORACLE["clean_targets"] = f"""
 WITH {RAW_TARGETS},
 typed AS (
-  SELECT rep_id, {parsed_month("month")} AS month_start, {number("target_amount")} AS target_amount FROM raw_targets
+  SELECT {present("rep_id")} AS rep_id, {parsed_month("month")} AS month_start, {number("target_amount")} AS target_amount FROM raw_targets
 ), {interpolated("typed")}
 SELECT rep_id, {up("target_amount", 4)} AS target_amount, {iso("month_start")} AS month_start FROM filled"""
 ORACLE["clean_deliveries"] = f"""
@@ -335,61 +353,63 @@ SELECT rep_id, {title("rep_name")} AS rep_name, {region_label("region")} AS regi
 FROM raw_reps"""
 
 _LOG_CTES = f"""{REPAIRED_SALES}, {RAW_DELIVERIES_ONLY}, {RAW_PRODUCTS}, {RAW_REPS}, {RAW_TARGETS},
-distinct_deliveries AS (SELECT *, count(*) AS copies FROM raw_deliveries GROUP BY ALL),
-log AS (
-  SELECT 'products' AS "table", 'code case and spaces, category case, price kept as text' AS issue,
+distinct_deliveries AS (
+  SELECT {all_present(x.delivery_texts("duckdb"))}, count(*) AS copies FROM raw_deliveries GROUP BY ALL
+),
+log("table", rule, rows_affected, table_rows) AS (
+  SELECT 'products', 'changed',
          count(*) FILTER (WHERE {key("sku")} <> sku OR {title("category")} <> category
-                            OR regexp_matches(list_price, '[^0-9.\\-]')) AS rows_affected,
-         'standardised' AS action, count(*) AS table_rows FROM raw_products
+                            OR regexp_matches(list_price, '[^0-9.\\-]')), count(*) FROM raw_products
   UNION ALL
-  SELECT 'customers', 'region and channel spellings, name case and spaces',
+  SELECT 'customers', 'changed',
          count(*) FILTER (WHERE {key("customer_id")} <> customer_id OR {title("outlet_name")} <> outlet_name
-                            OR {region_label("region")} <> region OR {channel_label("channel")} <> channel),
-         'mapped to standard values', count(*) FROM raw_customers
-  UNION ALL
-  SELECT 'sales_reps', 'name case, region spellings, mixed date formats',
-         count(*) FILTER (WHERE {title("rep_name")} <> rep_name OR {region_label("region")} <> region
-                            OR {iso(parsed_date("hire_date"))} IS DISTINCT FROM hire_date),
-         'standardised', count(*) FROM raw_reps
-  UNION ALL
-  SELECT 'sales', 'exact duplicate rows', CAST(sum(copies - 1) AS BIGINT), 'dropped', count(order_date)
-  FROM all_parsed
+                            OR {region_label("region")} IS DISTINCT FROM {present("region")}
+                            OR {channel_label("channel")} <> channel), count(*) FROM raw_customers
   UNION ALL
-  SELECT 'sales', 'missing or invalid order date', count(*) FILTER (WHERE order_date IS NULL),
-         'dropped, cannot be placed in time', count(order_date) FROM all_parsed
-  UNION ALL
-  SELECT 'sales', 'region and channel spellings', count(*) FILTER (WHERE relabelled), 'mapped to standard values',
-         count(*) FROM repaired
-  UNION ALL
-  SELECT 'sales', 'negative quantity', count(*) FILTER (WHERE negative_quantity), 'sign removed', count(*) FROM repaired
+  SELECT 'customers', 'unknown_label',
+         count(*) FILTER (WHERE {region_label("region")} IS NULL AND {present("region")} IS NOT NULL), count(*)
+  FROM raw_customers
   UNION ALL
-  SELECT 'sales', 'quantity far above the median of its product and channel',
-         count(*) FILTER (WHERE qty_flag = 'outlier_fixed'), 'replaced by the median, flagged', count(*) FROM repaired
+  SELECT 'sales_reps', 'changed',
+         count(*) FILTER (WHERE {title("rep_name")} <> rep_name
+                            OR {region_label("region")} IS DISTINCT FROM {present("region")}
+                            OR {iso(parsed_date("hire_date"))} IS DISTINCT FROM {present("hire_date")}), count(*)
+  FROM raw_reps
   UNION ALL
-  SELECT 'sales', 'missing quantity', count(*) FILTER (WHERE missing_quantity),
-         'median of its product and channel, flagged', count(*) FROM repaired
+  SELECT 'sales_reps', 'unknown_label',
+         count(*) FILTER (WHERE {region_label("region")} IS NULL AND {present("region")} IS NOT NULL), count(*)
+  FROM raw_reps
   UNION ALL
-  SELECT 'sales', 'missing unit price', count(*) FILTER (WHERE missing_price), 'median price of its product and month',
-         count(*) FROM repaired
+  SELECT 'sales', 'duplicates', CAST(sum(copies - 1) AS BIGINT), count(order_date) FROM all_parsed
   UNION ALL
-  SELECT 'sales', 'missing discount', count(*) FILTER (WHERE missing_discount), 'taken as 0', count(*) FROM repaired
+  SELECT 'sales', 'undated', count(*) FILTER (WHERE order_date IS NULL), count(order_date) FROM all_parsed
   UNION ALL
-  SELECT 'sales', 'missing sales rep', count(*) FILTER (WHERE missing_rep), 'looked up in the customer master',
-         count(*) FROM repaired
+  SELECT 'sales', unnest(['relabelled', 'unknown_label', 'negative_quantity', 'outlier', 'missing_quantity',
+                          'missing_price', 'missing_discount', 'missing_rep']),
+         unnest([count(*) FILTER (WHERE relabelled), count(*) FILTER (WHERE unknown_label),
+                 count(*) FILTER (WHERE negative_quantity), count(*) FILTER (WHERE qty_flag = 'outlier_fixed'),
+                 count(*) FILTER (WHERE missing_quantity), count(*) FILTER (WHERE missing_price),
+                 count(*) FILTER (WHERE missing_discount), count(*) FILTER (WHERE missing_rep)]), count(*)
+  FROM repaired
   UNION ALL
-  SELECT 'targets', 'missing target amount', count(*) FILTER (WHERE target_amount = ''),
-         'interpolated between neighbouring months', count(*) FROM raw_targets
+  SELECT 'targets', 'missing', count(*) FILTER (WHERE target_amount = ''), count(*) FROM raw_targets
   UNION ALL
-  SELECT 'deliveries', 'exact duplicate rows', CAST(sum(copies - 1) AS BIGINT), 'dropped', count(*)
+  SELECT 'deliveries', unnest(['duplicates', 'unknown_label', 'token_qty_delivered', 'token_stockout_days']),
+         unnest([CAST(sum(copies - 1) AS BIGINT),
+                 count(*) FILTER (WHERE {region_label("region")} IS NULL AND region IS NOT NULL),
+                 count(*) FILTER (WHERE qty_delivered IS NULL), count(*) FILTER (WHERE stockout_days IS NULL)]),
+         count(*)
   FROM distinct_deliveries
-  UNION ALL
-  SELECT 'deliveries', 'missing-value text in qty_delivered', count(*) FILTER (WHERE qty_delivered = 'N/A'),
-         'set to null', count(*) FROM distinct_deliveries
-  UNION ALL
-  SELECT 'deliveries', 'missing-value text in stockout_days', count(*) FILTER (WHERE stockout_days = 'n/a'),
-         'set to null', count(*) FROM distinct_deliveries
 )"""
-ORACLE["quality_log"] = f"WITH {_LOG_CTES} SELECT * FROM log WHERE rows_affected > 0"
+_LOG_TEXTS = ", ".join(
+    f"('{table}', '{rule}', '{issue}', '{action}')"
+    for table, rules in LOG_RULES.items()
+    for rule, (issue, action) in rules.items()
+)
+ORACLE["quality_log"] = f"""
+WITH {_LOG_CTES}
+SELECT * FROM log JOIN (VALUES {_LOG_TEXTS}) t("table", rule, issue, action) USING ("table", rule)
+WHERE rows_affected > 0"""
 ORACLE["quality_summary"] = f"""
 WITH {PARSED_SALES}, {RAW_DELIVERIES_ONLY}
 SELECT 'sales' AS "table", (SELECT count(*) FROM raw_sales) AS rows_before, (SELECT count(*) FROM parsed) AS rows_after
@@ -798,4 +818,47 @@ aimed AS (SELECT month_start AS month, sum(target_amount) AS target FROM targets
 both_facts AS (SELECT month, region, revenue, units, fill_rate FROM sold FULL JOIN moved USING (month, region))
 SELECT {iso("month")} AS month, region, {dbl("revenue")} AS revenue, units, {dbl("target")} AS target,
        {up("fill_rate", 4)} AS fill_rate
-FROM both_facts LEFT JOIN aimed USING (month)"""
+FROM both_facts FULL JOIN aimed USING (month)"""
+_MONTHS = f"""{SALES},
+m AS (SELECT region, CAST(date_trunc('month', order_date) AS DATE) AS month, sum(revenue) AS revenue FROM sales GROUP BY ALL),
+cal AS (SELECT CAST(unnest(range(DATE '1999-01-01', DATE '2001-01-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+slices AS (SELECT DISTINCT region FROM m),
+py AS (
+  SELECT region, month, a.revenue, b.revenue AS revenue_py
+  FROM slices CROSS JOIN cal LEFT JOIN m a USING (region, month)
+  LEFT JOIN (SELECT region, CAST(month + INTERVAL 1 YEAR AS DATE) AS month, revenue FROM m) b USING (region, month)
+)"""
+_QUARTER = "'Q' || quarter(month) || ' ' || year(month)"
+ORACLE["revenue_py_by_quarter"] = f"""
+WITH {_MONTHS}
+SELECT region, {_QUARTER} AS quarter, {dbl("sum(revenue)")} AS revenue, {dbl("sum(revenue_py)")} AS revenue_py
+FROM py GROUP BY 1, 2 HAVING count(revenue) + count(revenue_py) > 0"""
+ORACLE["revenue_yoy_by_year"] = f"""
+WITH {_MONTHS}
+SELECT region, year(month) AS year, {dbl("sum(revenue)")} AS revenue, {dbl("sum(revenue_py)")} AS revenue_py,
+       {up(ratio("coalesce(sum(revenue), 0) - coalesce(sum(revenue_py), 0)", "sum(revenue_py)"), 4)} AS revenue_yoy
+FROM py GROUP BY 1, 2 HAVING count(revenue) + count(revenue_py) > 0"""
+ORACLE["revenue_yoy_total"] = f"""
+WITH {_MONTHS}
+SELECT region, {dbl("sum(revenue)")} AS revenue, {dbl("sum(revenue_py)")} AS revenue_py,
+       {up(ratio("coalesce(sum(revenue), 0) - coalesce(sum(revenue_py), 0)", "sum(revenue_py)"), 4)} AS revenue_yoy
+FROM py GROUP BY 1 HAVING count(revenue) + count(revenue_py) > 0"""
+ORACLE["rolling_3m_by_quarter"] = f"""
+WITH {_MONTHS},
+ends AS (SELECT month AS last FROM cal WHERE month(month) % 3 = 0)
+SELECT region, {_QUARTER.replace("month", "last")} AS quarter, {dbl("sum(revenue)")} AS rolling_revenue
+FROM ends JOIN m ON month BETWEEN CAST(last - INTERVAL 2 MONTH AS DATE) AND last GROUP BY 1, 2"""
+ORACLE["attainment_by_rep_region"] = f"""
+WITH {_SHARE}, {REPS},
+r AS (SELECT region, {_QUARTER} AS quarter, sum(revenue) AS revenue
+      FROM sold LEFT JOIN reps USING (rep_id) GROUP BY ALL),
+t AS (SELECT region, {_QUARTER.replace("month", "month_start")} AS quarter, sum(target_amount) AS target
+      FROM targets LEFT JOIN reps USING (rep_id) GROUP BY ALL)
+SELECT region, quarter, {dbl("revenue")} AS revenue, {dbl("target")} AS target,
+       {up(ratio("revenue", "target"), 4)} AS attainment
+FROM r FULL JOIN t USING (region, quarter)"""
+ORACLE["sales_of_rep_region"] = f"""
+WITH {SALES}, {REPS}
+SELECT s.region, year(order_date) AS year, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units
+FROM sales s JOIN reps r ON r.rep_id = s.sales_rep_id
+WHERE r.region = 'ASIA' AND s.channel = 'BUILDING' GROUP BY 1, 2"""

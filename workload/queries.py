@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +15,7 @@ from retail_lens.functions.text import (
     blank_to_null,
     is_missing_token,
     normalise_key,
+    null_missing,
     parse_dates,
     title_case,
     to_number,
@@ -26,10 +26,11 @@ from retail_lens.operators.medians import attach_median
 from retail_lens.operators.repair import quantity_flag, repair_quantity, repair_sign
 from retail_lens.plans import attainment, cleaning, forecast, growth, inventory, measures, model, quality, supply
 from retail_lens.plans.model import keep_products, monthly
-from retail_lens.session import Staging, shared_folder
+from retail_lens.session import Staging
 from retail_lens.sources.catalog import register_views, row_counts
 from retail_lens.sources.files import scan_csv, scan_csv_text, write_csv
 from retail_lens.sources.schemas import DAY, NUMBER, TEXT, schema
+from workload.expressions import QUOTED_NAME
 from workload.inputs import Inputs
 from workload.settings import CALENDAR, FOCUS, RULES, SHOCK, SPEC, YEAR
 
@@ -65,7 +66,8 @@ def rounded(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
 
 
 def _scratch(inp: Inputs, name: str) -> str:
-    return f"{shared_folder(inp.spark)}/retail_lens/{uuid.uuid4().hex}/{name}"
+    """A path in the shared folder that is deleted when the application ends."""
+    return f"{Staging(inp.spark).root}/{name}"
 
 
 # ---- sources and sinks ------------------------------------------------------------
@@ -74,17 +76,19 @@ def _scratch(inp: Inputs, name: str) -> str:
 @query
 def csv_scan_text(inp: Inputs) -> DataFrame:
     raw, path = inp.raw_customers(), _scratch(inp, "customers_raw.csv")
-    write_csv(raw, path)
-    return scan_csv_text(inp.spark, path, raw.columns)
+    raw = raw.withColumn("outlet_name", F.expr(QUOTED_NAME))
+    write_csv(raw.select(*reversed(raw.columns)), path)
+    return scan_csv_text(inp.spark, path, raw.columns, multi_line=True)
 
 
 @query
 def csv_scan_typed(inp: Inputs) -> DataFrame:
     path = _scratch(inp, "orders.csv")
     orders = inp.table("orders").select(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("o_totalprice").alias("amount"),
+        F.lit('a "quoted", text').alias("note"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        F.col("o_orderkey").cast("string").alias("order_id"),
     )
     write_csv(orders, path)
     return scan_csv(inp.spark, path, schema(order_id=TEXT, order_date=DAY, amount=NUMBER))
@@ -106,6 +110,7 @@ def catalog_row_counts(inp: Inputs) -> DataFrame:
     tables = {
         "fact_sales": inp.sales(),
         "fact_targets": inp.targets(),
+        "fact_deliveries": inp.deliveries(),
         "dim_products": inp.products(),
         "dim_customers": inp.customers(),
         "dim_reps": inp.reps(),
@@ -195,7 +200,7 @@ def month_bucket(inp: Inputs) -> DataFrame:
 
 @query
 def drop_exact_duplicates(inp: Inputs) -> DataFrame:
-    return dedupe.drop_exact_duplicates(inp.raw_sales())
+    return dedupe.drop_exact_duplicates(null_missing(inp.raw_sales()))
 
 
 @query
@@ -252,12 +257,11 @@ def impute_price(inp: Inputs) -> DataFrame:
 @query
 def lookup_fill(inp: Inputs) -> DataFrame:
     master = cleaning.clean_customers(inp.raw_customers(), RULES)
-    lines = dedupe.drop_exact_duplicates(inp.raw_sales()).select(
-        "order_id",
-        normalise_key(F.col("customer_id")).alias("customer_id"),
-        blank_to_null(F.col("sales_rep_id")).alias("sales_rep_id"),
+    lines = dedupe.drop_exact_duplicates(null_missing(inp.raw_sales())).select(
+        "order_id", normalise_key(F.col("customer_id")).alias("customer_id"), "sales_rep_id"
     )
-    return repair.lookup_fill(lines, "sales_rep_id", master, "customer_id", "rep_id", Staging(inp.spark))
+    stage = Staging(inp.spark)
+    return repair.lookup_fill(stage(lines, "lines"), "sales_rep_id", master, "customer_id", "rep_id", stage)
 
 
 @query
@@ -311,7 +315,7 @@ def quality_log(inp: Inputs) -> DataFrame:
             "products": cleaning.flag_products(inp.raw_products(), RULES),
             "customers": customers,
             "sales_reps": cleaning.flag_reps(inp.raw_reps(), RULES),
-            "sales": cleaning.flag_sales(inp.raw_sales(), customers, RULES, stage),
+            "sales": cleaning.mark_sales(inp.raw_sales(), RULES, stage),
             "targets": cleaning.parse_targets(inp.raw_targets()),
             "deliveries": cleaning.flag_deliveries(inp.raw_deliveries(), RULES),
         }
@@ -367,9 +371,16 @@ def label_focus_group(inp: Inputs) -> DataFrame:
 
 @query
 def prior_year_month(inp: Inputs) -> DataFrame:
-    totals = monthly(inp.lines(), [])
-    prior = totals.select(shift_month(F.col("month"), 12).alias("month"), F.col("revenue").alias("prior_revenue"))
-    return totals.join(prior, "month", "left").select(
+    own = F.struct("month", "revenue", F.lit(None).cast("decimal(38,4)").alias("prior_revenue"))
+    later = F.struct(
+        shift_month(F.col("month"), 12).alias("month"),
+        F.lit(None).cast("decimal(38,4)").alias("revenue"),
+        F.col("revenue").cast("decimal(38,4)").alias("prior_revenue"),
+    )
+    months = monthly(inp.lines(), []).withColumn("revenue", F.col("revenue").cast("decimal(38,4)"))
+    sent = months.select(F.explode(F.array(own, later)).alias("c")).select("c.*")
+    both = sent.groupBy("month").agg(F.max("revenue").alias("revenue"), F.max("prior_revenue").alias("prior_revenue"))
+    return both.where("revenue is not null").select(
         "month", shift_month(F.col("month"), -12).alias("prior_month"), "revenue", "prior_revenue"
     )
 
@@ -610,3 +621,34 @@ def attainment_status(inp: Inputs) -> DataFrame:
 @query
 def drill_across(inp: Inputs) -> DataFrame:
     return rounded(measures.drill_across(inp.full_star(), ["month", "region"]), "fill_rate")
+
+
+@query
+def revenue_py_by_quarter(inp: Inputs) -> DataFrame:
+    return measures.revenue_py(inp.sales_star(), ["region"], CALENDAR, "quarter")
+
+
+@query
+def revenue_yoy_by_year(inp: Inputs) -> DataFrame:
+    return rounded(measures.revenue_yoy(inp.sales_star(), ["region"], CALENDAR, "year"), "revenue_yoy")
+
+
+@query
+def revenue_yoy_total(inp: Inputs) -> DataFrame:
+    return rounded(measures.revenue_yoy(inp.sales_star(), ["region"], CALENDAR, None), "revenue_yoy")
+
+
+@query
+def rolling_3m_by_quarter(inp: Inputs) -> DataFrame:
+    return measures.rolling_revenue(inp.sales_star(), ["region"], CALENDAR, grain="quarter")
+
+
+@query
+def attainment_by_rep_region(inp: Inputs) -> DataFrame:
+    return rounded(measures.attainment(inp.full_star(), ["region", "quarter"]), "attainment")
+
+
+@query
+def sales_of_rep_region(inp: Inputs) -> DataFrame:
+    star = inp.full_star().of_rep_region("ASIA").of_channel("BUILDING")
+    return measures.core_totals(star, ["region", "year"])
