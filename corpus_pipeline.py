@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lens.llm import bpe_automaton, mixing, ngram_join, toxicity
-from retail_lens.llm.common import staging
+from retail_lens.llm.common import importable, staging
 from retail_lens.llm.queries import tokenizer
 
 
@@ -28,6 +28,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of each document's ids and of what they decode to."""
+    importable(spark)
     return bpe_automaton.round_trip(docs, tokenizer("byte_bpe_50k.json"))
 
 

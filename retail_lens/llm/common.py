@@ -3,22 +3,36 @@
 from __future__ import annotations
 
 import math
+import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retail_lens.session import Staging, remove_at_exit
+from retail_lens.session import Staging
 
 #: A word is a longest run of bytes other than space and the five control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let the Python workers of a local session find this library, whatever folder it was started in.
+
+    On a cluster the library is shipped or installed with the job, as any other.
+    """
+    context = spark.sparkContext
+    if re.fullmatch(r"local(\[.*\])?", context.master):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        known = context.environment.get("PYTHONPATH", "")
+        if root not in known.split(os.pathsep):
+            context.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def staging(spark: SparkSession) -> Staging:
     """Staging in the shared folder, deleted when the application ends."""
-    stage = Staging(spark)
-    remove_at_exit(spark, stage.root)
-    return stage
+    return Staging(importable(spark))
 
 
 class Recent:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lens.llm import bpe_automaton, embedding_dedup, hilbert_ann, licences, minimax_shards, mixing, ngram_join, token_counts, toxicity, warc
-from retail_lens.llm.common import staging
+from retail_lens.llm.common import importable, staging
 
 
 def tokenizer(name: str) -> str:
@@ -19,7 +19,7 @@ def tokenizer(name: str) -> str:
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    return importable(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
 def op1_hilbert_neighbours(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,6 +88,24 @@ ORACLE: dict[str, str] = {
         ), n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
         SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM c LEFT JOIN n USING (vec_id)""",
+    "op6_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ), reach(a, b) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a
+        )
+        SELECT a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+        FROM reach LEFT JOIN n ON doc_id = a GROUP BY a""",
     "op9_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages
