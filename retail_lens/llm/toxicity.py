@@ -135,11 +135,13 @@ def fit(
     number = {r["word"]: i for i, r in enumerate(top)}
     marker = np.array([r["a"] / toxic_n >= 20 * (r["b"] + 0.5) / clean_n and r["word"][-1] != "~" for r in top], bool)
     of_doc = {h[0]: i for i, h in enumerate(heads)}
-    kept = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in number] or [("",)], "word string")), "word")
-    cells = sorted((of_doc[k], number[w]) for k, w in kept.select("k", "word").collect())
-    if not cells:
+    if not number:
         return NOTHING
-    row, column = (np.array(x) for x in zip(*cells, strict=True))
+    numbers = F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "word string, i int"))
+    kept = rows.join(numbers, "word").groupBy("k").agg(F.sort_array(F.collect_list("i")).alias("own"))
+    of_row = {of_doc[k]: np.array(own) for k, own in kept.collect()}  # one row per sampled document
+    row = np.concatenate([np.full(len(of_row[i]), i) for i in sorted(of_row)])
+    column = np.concatenate([of_row[i] for i in sorted(of_row)])
     markers = np.bincount(row, marker[column], len(heads))
     cuts = np.quantile(markers[toxic == 1], [1 / 3, 2 / 3])
     grade = np.where(toxic == 1, 1 + (markers[:, None] > cuts).sum(1), 0)
