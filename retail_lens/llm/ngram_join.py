@@ -1,15 +1,17 @@
 """Exact self-join of documents by Jaccard similarity of their word shingles, with set-relation skipping.
 
 1. A first pass over the texts gives every document's set size, a hash of the set, a few
-   min-hash keys, and per task the shingles that may be frequent (Misra-Gries summaries over all
-   shingles, merged by sum). Documents with equal sets form a class; from here on only classes count.
+   min-hash keys and a sieve (below). Documents with equal sets form a class; from here on only classes count.
 2. *Leaders.* Classes with a min-hash key in common are compared with the smallest class of that
    key. A class similar enough to such a leader hangs on it, with its exact distance. This
    finds most links of large groups of near copies with a few comparisons per member.
-3. *Index.* A second pass lists, for every class, the first shingles of its set, frequent ones last
-   and otherwise by hash, as many as two linked sets must share one of. A list holds
-   (class, size, position); it is cut into blocks by size, and a class looks only into its own block
-   and the next, skipping entries whose position leaves too few shingles to be shared.
+3. *Index.* Shingles are ordered by hash, but common ones come last. A set is listed under its first
+   shingles in that order, as many as two linked sets must share one of. What is common is found
+   from the data: each class first lists more than that by hash alone, and those in more than
+   COMMON lists are common. A class then knows where its list ends. A few, near copies above all, have
+   too few others; they are matched in the order by hash alone, under common shingles too, against every class. Each list
+   is cut into blocks by size, and a class looks only into its own block and the next, skipping
+   entries whose position leaves too few shingles to be shared.
 4. *Derived answers.* A leader stands in the lists for all classes that hang on it. Leaders
    that meet in a list are compared once. Jaccard distance is a metric, so a member of one
    and a member of the other can be linked only if the leaders' distance is within the threshold plus
@@ -40,40 +42,14 @@ from retail_lens.llm.components import components
 from retail_lens.llm.shingles import mixed, shingle_set
 from retail_lens.session import Staging
 
-#: Counters of a task's summary of frequent shingles, and how many of the merged ones are put last.
-COUNTERS, FREQUENT = 1 << 17, 100_000
+#: A shingle in more lists than this is common.
+COMMON = 16
 #: Min-hash keys per class, and parts into which the members of one leader are spread.
 KEYS, SPREAD = 6, 64
 
 _SIGNED, _TINY = np.int64, np.uint64(0x5851F42D4C957F2D)
 
 
-class _Frequent:
-    """Misra-Gries counts: no shingle that occurs in more than 1/COUNTERS of the sets' total is lost."""
-
-    def __init__(self):
-        self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.held: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, shingles: np.ndarray) -> None:
-        self.held.append(shingles)
-        self.size += len(shingles)
-        if self.size > 8 * COUNTERS:
-            self.merge()
-
-    def merge(self) -> None:
-        if not self.held:
-            return
-        new, n = np.unique(np.concatenate(self.held), return_counts=True)
-        keys, inverse = np.unique(np.concatenate([self.keys, new]), return_inverse=True)
-        counts = np.bincount(inverse, np.concatenate([self.counts, n]), len(keys)).astype(np.int64)
-        if len(keys) > COUNTERS:
-            counts -= np.partition(counts, -COUNTERS - 1)[-COUNTERS - 1]
-        self.keys, self.counts = keys[counts > 0], counts[counts > 0]
-        self.held, self.size = [], 0
-
-
 def _signature(shingles: np.ndarray) -> int:
     """Hash of a set, the same for equal sets."""
     with np.errstate(over="ignore"):
@@ -95,95 +71,92 @@ def _sieve_part(percent: int) -> int:
 
 
 def _summaries(docs: DataFrame, width: int, part: int) -> DataFrame:
-    """Per document: k, n, set, keys, sieve; per task one more row (k null) with its frequent shingles."""
+    """Per document: k, n, set, keys, sieve."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = _Frequent()
-        rows: list[tuple] = []
-        names = ["k", "n", "set", "keys", "often", "times", "sieve"]
-        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 3 + [pa.binary()]
-
-        def out() -> pa.RecordBatch:
-            columns = list(zip(*rows, strict=True))
-            rows.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
-
+        names = ["k", "n", "set", "keys", "sieve"]
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
         for batch in batches:
+            rows: list[tuple] = []
             for k, text in zip(batch.column(0), batch.column(1), strict=True):
                 shingles = shingle_set((text.as_py() or "").encode(), width)
                 if len(shingles):
-                    frequent.add(shingles)
                     codes = (shingles[shingles % np.uint64(part) == 0] >> np.uint64(32)).astype("<u4").tobytes()
-                    rows.append((k.as_py(), len(shingles), _signature(shingles), _min_keys(shingles), None, None, codes))
+                    rows.append((k.as_py(), len(shingles), _signature(shingles), _min_keys(shingles), codes))
                 else:
-                    rows.append((k.as_py(), 0, 0, None, None, None, None))
-                if len(rows) >= 4096:
-                    yield out()
-        frequent.merge()
-        often = frequent.counts > 1
-        rows.append((None, -1, 0, None, frequent.keys[often].astype(_SIGNED), frequent.counts[often], None))
-        yield out()
-
-    schema = "k long, n long, set long, keys array<long>, often array<long>, times array<long>, sieve binary"
-    return docs.mapInArrow(run, schema)
-
-
-def _order(summaries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent shingles, sorted, and their rank from rare to frequent; at most FREQUENT, 16 bytes each."""
-    pairs = summaries.filter("n = -1").select(F.explode(F.arrays_zip("often", "times")).alias("p"))
-    sums = pairs.groupBy(F.col("p.often").alias("h")).agg(F.sum("p.times").alias("t"))
-    top = sums.filter("t > 8").orderBy(F.desc("t"), "h").limit(FREQUENT).collect()
-    shingles = np.array([r["h"] for r in top], _SIGNED).astype(np.uint64)
-    rank = np.arange(len(shingles), 0, -1)
-    by = np.argsort(shingles)
-    return shingles[by], rank[by]
-
-
-def _first(shingles: np.ndarray, often: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a set: any set that is similar enough shares one of them and has it among its own first."""
-    n = len(shingles)
-    prefix = n - -(-percent * n // 100) + 1
-    if not len(often):
-        return shingles[:prefix]
-    at = np.minimum(np.searchsorted(often, shingles), len(often) - 1)
-    late = np.where(often[at] == shingles, rank[at], 0)
-    if late[:prefix].any():
-        shingles = shingles[np.argsort(late, kind="stable")]
-    return shingles[:prefix]
-
-
-def _postings(docs: DataFrame, width: int, percent: int, often: np.ndarray, rank: np.ndarray) -> DataFrame:
-    """One row per class (and task that saw it) and each of its first shingles: h, set, n, at."""
+                    rows.append((k.as_py(), 0, 0, None, None))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    return docs.mapInArrow(run, "k long, n long, set long, keys array<long>, sieve binary")
+
+
+def _prefix(n, percent: int):
+    """How many first shingles of a set of n two sets must share one of to be similar; for numbers and columns alike."""
+    return n + 1 + (-percent * n) // 100 if isinstance(n, int) else n + 1 - F.ceil(n * percent / 100)
+
+
+def _zone(n, percent: int):
+    """How many first shingles by hash a class lists to find its common ones: its prefix and half of it, or 40, more."""
+    prefix = _prefix(n, percent)
+    return prefix + max(prefix // 2, 40) if isinstance(n, int) else prefix + F.greatest(F.floor(prefix / 2), F.lit(40))
+
+
+def _listed(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """One row per class (and task that saw it) and each shingle of its zone: h, set, n, at."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple] = []
-
-        def out() -> pa.RecordBatch:
-            first = [f for f, _, _ in held]
-            size = [len(f) for f in first]
-            columns = [
-                np.concatenate(first).astype(_SIGNED),
-                np.repeat([s for _, s, _ in held], size),
-                np.repeat([n for _, _, n in held], size),
-                np.concatenate([np.arange(s) for s in size]),
-            ]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "set", "n", "at"])
-
         for batch in batches:
+            held: list[tuple] = []
             for text in batch.column(1):
                 shingles = shingle_set((text.as_py() or "").encode(), width)
-                if not len(shingles) or (name := _signature(shingles)) in seen:
-                    continue
-                seen.add(name)
-                held.append((_first(shingles, often, rank, percent), name, len(shingles)))
+                if len(shingles) and (name := _signature(shingles)) not in seen:
+                    seen.add(name)
+                    held.append((shingles[: _zone(len(shingles), percent)], name, len(shingles)))
                 if len(held) >= 500:
-                    yield out()
+                    yield _lists(held)
+                    held = []
             if held:
-                yield out()
+                yield _lists(held)
 
-    return docs.mapInArrow(run, "h long, set long, n long, at long")
+    return docs.mapInArrow(run, _LISTED)
+
+
+_LISTED = "h long, set long, n long, at long"
+
+
+def _lists(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
+    size = [len(f) for f, _, _ in held]
+    columns = [
+        np.concatenate([f for f, _, _ in held]).astype(_SIGNED),
+        np.repeat([s for _, s, _ in held], size),
+        np.repeat([n for _, _, n in held], size),
+        np.concatenate([np.arange(s) for s in size]),
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "set", "n", "at"])
+
+
+def _index(docs: DataFrame, width: int, percent: int, stage: Staging) -> DataFrame:
+    """The lists: h, set, n, at (place in the order by hash), common, short.
+
+    Two sets that are not ``short`` and similar enough share a list that is not ``common``; if
+    one is short they share any list.
+    """
+    by_shingle = Window.partitionBy("h")
+    once = _listed(docs, width, percent).repartition("h").dropDuplicates(["h", "set"])
+    shared = once.withColumn("lists", F.count(F.lit(1)).over(by_shingle)).filter("lists > 1")
+    shared = stage(shared.withColumn("common", F.col("lists") > COMMON).drop("lists"), "shared")
+    prefix = _prefix(F.col("n"), percent)
+    # The j-th common place c (from 0) has c - j others before it: it lies within the list if these are too few.
+    places = shared.filter("common").groupBy("set").agg(
+        F.first("n").alias("n"), F.sort_array(F.collect_list("at")).alias("places")
+    )
+    end = prefix + F.size(F.filter("places", lambda c, j: c - j < prefix))
+    ends = stage(places.select("set", end.alias("end"), (end > F.least(_zone(F.col("n"), percent), "n")).alias("short")), "ends")
+    known = shared.join(ends, "set", "left").withColumn("short", F.coalesce("short", F.lit(False)))
+    within = F.when(F.col("common"), F.col("at") < prefix).otherwise(F.col("at") < F.coalesce("end", prefix))
+    return stage(known.filter(within).select("h", "set", "n", "at", "common", "short"), "index")
 
 
 def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -280,7 +253,7 @@ def links(
     stage = staging(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
     summaries = stage(_summaries(docs, width, _sieve_part(percent)), "summaries")
-    members = summaries.filter("n >= 0").select("k", "n", "set")
+    members = summaries.select("k", "n", "set")
     full = summaries.filter("n > 0 and k is not null")
     classes = stage(
         full.groupBy("set").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sieve").alias("sieve")),
@@ -306,17 +279,9 @@ def links(
         "leads",
     )
 
-    # Index: lists with at least two classes of compatible size.
-    often, rank = _order(summaries)
-    posted = _postings(docs, width, percent, often, rank).repartition("h").dropDuplicates(["h", "set"])
-    by_size = Window.partitionBy("h").orderBy("n", "set")
-    near = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (
-        F.col("n") * 100 >= F.lead("n").over(by_size) * percent
-    )
-    index = stage(posted.withColumn("_near", near).filter("_near").drop("_near"), "index")
-
+    index = _index(docs, width, percent, stage)
     radius = leads.groupBy("lead").agg(F.max("far").alias("radius"))
-    pairs = stage(_leader_pairs(index, leads, percent), "pairs")
+    pairs = stage(_leader_pairs(index, leads, percent, stage), "pairs")
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "a", "radius": "ra"}), "a")
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "b", "radius": "rb"}), "b")
     pairs = stage(_sieved(pairs.withColumn("limit", limit + F.col("ra") + F.col("rb")), classes), "pairs")
@@ -330,21 +295,36 @@ def links(
     return members, met.select("a", "b").union(direct).union(extra), stage
 
 
-def _leader_pairs(index: DataFrame, leads: DataFrame, percent: int) -> DataFrame:
+def _leader_pairs(index: DataFrame, leads: DataFrame, percent: int, stage: Staging) -> DataFrame:
     """Leaders that meet in a list within reach of each other's size and position."""
     block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
     rest = (F.col("n") - F.col("at")).alias("rest")
     entries = (
         index.join(leads.select("set", "lead"), "set")
-        .select("h", "lead", "n", "at", rest)
-        .groupBy("h", "lead")
-        .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("at").alias("at"), F.max("rest").alias("rest"))
+        .select("h", "common", "lead", "n", "at", rest, "short")
+        .groupBy("h", "common", "lead")
+        .agg(
+            *(F.min("n").alias("low"), F.max("n").alias("high"), F.max("at").alias("at")),
+            *(F.max("rest").alias("rest"), F.max("short").alias("short")),
+        )
     )
     many = Window.partitionBy("h")
-    entries = entries.withColumn("_lists", F.count(F.lit(1)).over(many)).filter("_lists > 1").drop("_lists")
+    entries = entries.withColumns({"_lists": F.count(F.lit(1)).over(many), "_any": F.max("short").over(many)})
+    entries = stage(entries.filter("_lists > 1 and (not common or _any)").drop("_lists", "_any"), "entries")
     own = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high"))))
     reach = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high") + 1)))
-    a, b = (x.select("h", "block", *(F.col(c).alias(c + s) for c in ("lead", "low", "high", "at", "rest"))) for x, s in ((own, "1"), (reach, "2")))
+    found = _meeting(own.filter("not common"), reach.filter("not common"), percent)
+    for one, two in ((own, reach), (reach, own)):
+        found = found.union(_meeting(one.filter("common and short"), two.filter("common"), percent))
+    return found.distinct()
+
+
+def _meeting(one: DataFrame, two: DataFrame, percent: int) -> DataFrame:
+    """Leaders in one block of one list whose sizes and positions allow enough shared shingles."""
+    a, b = (
+        x.select("h", "block", *(F.col(c).alias(c + s) for c in ("lead", "low", "high", "at", "rest")))
+        for x, s in ((one, "1"), (two, "2"))
+    )
     shared = F.least("at1", "at2") + F.least("rest1", "rest2")
     needed = (F.col("low1") + F.col("low2")) * percent / (100 + percent)
     fits = (F.col("high1") * 100 >= F.col("low2") * percent) & (F.col("high2") * 100 >= F.col("low1") * percent)
@@ -399,7 +379,12 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, text: str =
     """
     found = ngram_join(docs, width, percent, text, key)
     gone = found.filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("_gone")).distinct()
+    stage = staging(docs.sparkSession)
     own = docs.withColumns({"_gone": F.col(key), "_text": F.xxhash64(F.col(key), F.col(text))})
-    left = own.join(gone, "_gone", "left_anti")
-    once = left.filter(F.col("_gone").isNotNull()).dropDuplicates(["_gone", "_text"])
-    return once.unionByName(left.filter(F.col("_gone").isNull())).select(*(F.col(f"`{c}`") for c in docs.columns))
+    # Rows that occur again are few, so that only these are gathered; both tables are small files.
+    again = own.filter(F.col("_gone").isNotNull()).groupBy("_gone", "_text").count().filter("count > 1")
+    again = stage(again.drop("count"), "again")
+    left = own.join(stage(gone, "gone"), "_gone", "left_anti")
+    once = left.join(again, ["_gone", "_text"], "left_semi").dropDuplicates(["_gone", "_text"])
+    rest = left.join(again, ["_gone", "_text"], "left_anti")
+    return rest.unionByName(once).select(*(F.col(f"`{c}`") for c in docs.columns))
