@@ -144,7 +144,9 @@ def fit(docs: DataFrame, sample: int = 300, per_template: int = 30, seed: int =
     import numpy as np
 
     known = {g for texts in TEMPLATES.values() for t in texts for g in grams(tokens(t))}
-    few = docs.select(F.col(text).alias("t")).filter("t is not null").orderBy(F.xxhash64("t"), "t").limit(sample)
+    own = docs.select(F.col(text).alias("t")).filter("t is not null").withColumn("h", F.xxhash64("t"))
+    # Only hashes are sorted; the texts of at most ``sample`` of them are read again.
+    few = own.join(F.broadcast(own.select("h").distinct().orderBy("h").limit(sample)), "h").dropDuplicates(["h"])
     few = few.select(F.explode(F.split("t", "\n")).alias("line")).filter(F.length("line").between(1, LONGEST_EXAMPLE))
     few = few.distinct().orderBy(F.xxhash64("line"), "line").limit(EXAMPLES).collect()
     lines = sorted(r["line"] for r in few if r["line"].strip())
