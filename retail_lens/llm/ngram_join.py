@@ -13,7 +13,7 @@
    is cut into blocks by size, and a class looks only into its own block and the next, skipping
    entries whose position leaves too few shingles to be shared.
 4. *Derived answers.* A leader stands in the lists for all classes that hang on it. Leaders
-   that meet in a list are compared once. Jaccard distance is a metric, so a member of one
+   that meet in a list and do not hang together yet are compared once. Jaccard distance is a metric, so a member of one
    and a member of the other can be linked only if the leaders' distance is within the threshold plus
    both members' distances to their leaders: only such member pairs are compared.
 
@@ -275,7 +275,10 @@ def links(
     hung = met.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(F.col("a").alias("lead"), _distance().alias("far"))).alias("h"))
     leads = classes.select("set", "n").join(hung, "set", "left")
     leads = stage(
-        leads.select("set", "n", F.coalesce("h.lead", "set").alias("lead"), F.coalesce("h.far", F.lit(0.0)).alias("far")),
+        leads.select("set", "n", F.coalesce("h.lead", "set").alias("lead"), F.coalesce("h.far", F.lit(0.0)).alias("far"))
+        # Classes that hang together already need not be compared again.
+        .join(components(met.select("a", "b"), stage), F.col("set") == F.col("node"), "left")
+        .select("set", "n", "lead", "far", F.coalesce("component", "set").alias("part")),
         "leads",
     )
 
@@ -300,17 +303,18 @@ def _leader_pairs(index: DataFrame, leads: DataFrame, percent: int, stage: Stagi
     block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
     rest = (F.col("n") - F.col("at")).alias("rest")
     entries = (
-        index.join(leads.select("set", "lead"), "set")
-        .select("h", "common", "lead", "n", "at", rest, "short")
-        .groupBy("h", "common", "lead")
+        index.join(leads.select("set", "lead", "part"), "set")
+        .select("h", "common", "lead", "part", "n", "at", rest, "short")
+        .groupBy("h", "common", "lead", "part")
         .agg(
             *(F.min("n").alias("low"), F.max("n").alias("high"), F.max("at").alias("at")),
             *(F.max("rest").alias("rest"), F.max("short").alias("short")),
         )
     )
     many = Window.partitionBy("h")
-    entries = entries.withColumns({"_lists": F.count(F.lit(1)).over(many), "_any": F.max("short").over(many)})
-    entries = stage(entries.filter("_lists > 1 and (not common or _any)").drop("_lists", "_any"), "entries")
+    ends = {"_first": F.min("part").over(many), "_last": F.max("part").over(many), "_any": F.max("short").over(many)}
+    entries = entries.withColumns(ends).filter("_first < _last and (not common or _any)")
+    entries = stage(entries.drop(*ends), "entries")
     own = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high"))))
     reach = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high") + 1)))
     found = _meeting(own.filter("not common"), reach.filter("not common"), percent)
@@ -322,13 +326,13 @@ def _leader_pairs(index: DataFrame, leads: DataFrame, percent: int, stage: Stagi
 def _meeting(one: DataFrame, two: DataFrame, percent: int) -> DataFrame:
     """Leaders in one block of one list whose sizes and positions allow enough shared shingles."""
     a, b = (
-        x.select("h", "block", *(F.col(c).alias(c + s) for c in ("lead", "low", "high", "at", "rest")))
+        x.select("h", "block", *(F.col(c).alias(c + s) for c in ("lead", "part", "low", "high", "at", "rest")))
         for x, s in ((one, "1"), (two, "2"))
     )
     shared = F.least("at1", "at2") + F.least("rest1", "rest2")
     needed = (F.col("low1") + F.col("low2")) * percent / (100 + percent)
     fits = (F.col("high1") * 100 >= F.col("low2") * percent) & (F.col("high2") * 100 >= F.col("low1") * percent)
-    met = a.join(b, ["h", "block"]).filter((F.col("lead1") != F.col("lead2")) & fits & (shared >= needed - 1e-6))
+    met = a.join(b, ["h", "block"]).filter((F.col("part1") != F.col("part2")) & fits & (shared >= needed - 1e-6))
     return met.select(F.least("lead1", "lead2").alias("a"), F.greatest("lead1", "lead2").alias("b")).distinct()
 
 
