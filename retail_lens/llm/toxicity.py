@@ -3,12 +3,17 @@
 Grades are ordered: 0 is clean, 1 to 3 are toxic with a growing number of marker words. The
 model has one weight per word and one threshold per grade, P(grade >= k) = s(w x - t_k), so all
 thresholds share the weights. The expected severity is the sum of these probabilities.
+
+The score is that of windows of WINDOW words, which cover the whole text and overlap by half; the
+highest counts. So a text is not more toxic for being longer, and a toxic passage counts in
+however long a text.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +30,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 BEGINNING = 4
 #: Least log likelihood ratio of a feature, against words that stand in toxic documents by chance.
 LEAST_GAIN = 6.0
+#: Words of a window. One begins at every half window, the last one ends with the text.
+WINDOW = 128
 
 
 def words(text: str | None) -> list[str]:
@@ -38,13 +45,27 @@ def features_of(found: list[str]) -> set[str]:
     return different | {w[:BEGINNING] + "~" for w in different if len(w) > BEGINNING}
 
 
+def windows(n: int) -> list[tuple[int, int]]:
+    """Begin and end of each window of a text of n words; one window if these are few."""
+    last = max(0, n - WINDOW)
+    return [(b, b + WINDOW) for b in range(0, last, WINDOW // 2)] + [(last, n)]
+
+
 @dataclass(frozen=True)
 class Model:
     weights: dict[str, float]
     thresholds: tuple[float, ...]
 
     def score(self, text: str | None) -> float:
-        return sum(map(self.weights.__getitem__, self.weights.keys() & features_of(words(text))))
+        """The highest sum of the weights of a window's features."""
+        found = words(text)
+        known = [(i, own) for i, w in enumerate(found) if (own := self.weights.keys() & features_of([w]))]
+        at = [i for i, _ in known]
+        best = -math.inf
+        for begin, end in windows(len(found)):
+            own = set().union(*(f for _, f in known[bisect_left(at, begin) : bisect_left(at, end)]))
+            best = max(best, math.fsum(map(self.weights.__getitem__, own)))
+        return best
 
     def probabilities(self, text: str | None) -> list[float]:
         """P(grade >= k) for k from 1."""
@@ -78,43 +99,32 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, text: str, key: s
 
 
 def _word_rows(labelled: DataFrame) -> DataFrame:
+    """One row per window (of the document k, with the number at) and feature, and one with an empty word."""
+    names, types = ["k", "at", "toxic", "of", "word"], [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string()]
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [()] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for k, text, toxic, of in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                out += [(k, toxic, of, w) for w in ["", *sorted(features_of(words(text)))]]
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.string()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["k", "toxic", "of", "word"])
+            for k, text, toxic, of in zip(*(batch.column(i) for i in range(4)), strict=True):
+                k, toxic, of, found = k.as_py(), toxic.as_py(), of.as_py(), words(text.as_py())
+                for at, (begin, end) in enumerate(windows(len(found))):
+                    out += [(k, at, toxic, of, w) for w in ["", *sorted(features_of(found[begin:end]))]]
+                    if len(out) >= 50_000:
+                        yield rows(out)
+                        out = []
+            yield rows(out)
 
     return labelled.select(F.col("k").cast("long"), "text", "toxic", "of").mapInArrow(
-        run, "k long, toxic int, of long, word string"
+        run, "k long, at int, toxic int, of long, word string"
     )
 
 
-def fit(
-    docs: DataFrame,
-    labels: DataFrame,
-    per_class: int = 4000,
-    features: int = 1024,
-    text: str = "text",
-    key: str = "doc_id",
-    label: str = "toxic",
-) -> Model:
-    """Fit on at most ``per_class`` labelled documents of either class and ``features`` words.
-
-    Features are those whose presence depends most on the label, by likelihood ratio. Markers are
-    the words found in toxic documents twenty times as often as in clean ones; the terciles of their number among toxic documents make the grades. Rows are
-    weighted so that the classes count as they do among all labels. Without labels of both classes
-    nothing is found toxic.
-    """
-    rows = staging(docs.sparkSession)(_word_rows(sample(docs, labels, per_class, text, key, label)), "words")
-    heads = sorted(tuple(r) for r in rows.filter("word = ''").select("k", "toxic", "of").collect())
-    if len({h[1] for h in heads}) < 2:
-        return NOTHING
-    toxic = np.array([h[1] for h in heads])
-    clean_n, toxic_n = int((toxic == 0).sum()), int((toxic == 1).sum())
+def _telling(rows: DataFrame, clean_n: int, toxic_n: int, features: int) -> tuple[dict[str, int], list[bool]]:
+    """The words whose presence depends most on the label, numbered, and whether each is a marker; rows: word, toxic."""
     found = rows.filter("word <> ''").groupBy("word").agg(
         F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
     )
@@ -132,20 +142,65 @@ def fit(
     )
     top = found.filter("a >= 2").select("word", "a", "b", F.round(gain, 9).alias("gain"))
     top = sorted(top.filter(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "word").limit(features).collect())
-    number = {r["word"]: i for i, r in enumerate(top)}
-    marker = np.array([r["a"] / toxic_n >= 20 * (r["b"] + 0.5) / clean_n and r["word"][-1] != "~" for r in top], bool)
-    of_doc = {h[0]: i for i, h in enumerate(heads)}
+    marks = [r["a"] / toxic_n >= 20 * (r["b"] + 0.5) / clean_n and r["word"][-1] != "~" for r in top]
+    return {r["word"]: i for i, r in enumerate(top)}, marks
+
+
+def _known(rows: DataFrame, number: dict[str, int], marks: list[bool]) -> DataFrame:
+    """Per window: k, at, toxic, own (sorted numbers of its features) and how many markers it has."""
+    numbers = [(w, i, marks[i]) for w, i in number.items()] + [("", None, False)]
+    numbers = F.broadcast(rows.sparkSession.createDataFrame(numbers, "word string, i int, mark boolean"))
+    return rows.join(numbers, "word").groupBy("k", "at", "toxic").agg(
+        F.sort_array(F.collect_list("i")).alias("own"), F.count_if("mark").alias("markers")
+    )
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = 4000,
+    features: int = 1024,
+    text: str = "text",
+    key: str = "doc_id",
+    label: str = "toxic",
+) -> Model:
+    """Fit on at most ``per_class`` labelled documents of either class and ``features`` words.
+
+    Features are those whose presence depends most on the label, by likelihood ratio. Markers are
+    the words found in toxic texts twenty times as often as in clean ones. Both are first taken from whole
+    documents. Of a toxic document the window with the most of these markers teaches, since its others may
+    be clean; of a clean one all windows do. From the teaching windows features and markers are taken
+    anew, and the terciles of the number of markers in the toxic ones make the grades. Rows are weighted so that
+    the classes count as they do among all labels. Without labels of both classes
+    nothing is found toxic.
+    """
+    stage = staging(docs.sparkSession)
+    rows = stage(_word_rows(sample(docs, labels, per_class, text, key, label)), "words")
+    heads = rows.filter("word = ''").groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("windows"), F.countDistinct("k").alias("docs"), F.max("of").alias("of")
+    )
+    heads = {r["toxic"]: r for r in heads.collect()}
+    if len(heads) < 2:
+        return NOTHING
+    whole = rows.select("k", "word", "toxic").distinct()
+    number, marks = _telling(whole, heads[0]["docs"], heads[1]["docs"], features)
+    most = _known(rows.filter("toxic = 1"), number, marks).groupBy("k")
+    most = stage(most.agg(F.max_by("at", F.struct("markers", -F.col("at"))).alias("at")), "teaching")
+    rows = rows.filter("toxic = 0").unionByName(rows.filter("toxic = 1").join(F.broadcast(most), ["k", "at"]))
+    number, marks = _telling(rows, heads[0]["windows"], heads[1]["docs"], features)
     if not number:
         return NOTHING
-    numbers = F.broadcast(docs.sparkSession.createDataFrame(list(number.items()), "word string, i int"))
-    kept = rows.join(numbers, "word").groupBy("k").agg(F.sort_array(F.collect_list("i")).alias("own"))
-    of_row = {of_doc[k]: np.array(own) for k, own in kept.collect()}  # one row per sampled document
-    row = np.concatenate([np.full(len(of_row[i]), i) for i in sorted(of_row)])
-    column = np.concatenate([of_row[i] for i in sorted(of_row)])
-    markers = np.bincount(row, marker[column], len(heads))
-    cuts = np.quantile(markers[toxic == 1], [1 / 3, 2 / 3])
-    grade = np.where(toxic == 1, 1 + (markers[:, None] > cuts).sum(1), 0)
-    weight = np.array([h[2] / (toxic_n if h[1] else clean_n) for h in heads])
+    each = _known(rows, number, marks)
+    # One row per sampled toxic document; clean windows with the same features are one row.
+    taught = sorted(tuple(r) for r in each.filter("toxic = 1").select("own", "markers").collect())
+    clean = sorted(tuple(r) for r in each.filter("toxic = 0").groupBy("own").count().collect())
+    owned = [np.array(own, int) for own, _ in taught + clean]
+    row, column = np.repeat(np.arange(len(owned)), [len(o) for o in owned]), np.concatenate(owned)
+    markers = np.array([m for _, m in taught])
+    cuts = np.quantile(markers, [1 / 3, 2 / 3])
+    grade = np.concatenate([1 + (markers[:, None] > cuts).sum(1), np.zeros(len(clean), int)])
+    per = [heads[c]["of"] / heads[c]["docs"] for c in (0, 1)]
+    weight = np.array([per[1]] * len(taught) + [per[0] * n for _, n in clean])
     weights, thresholds = _train(row, column, grade, weight / weight.sum(), len(number))
     return Model({w: float(weights[i]) for w, i in number.items()}, tuple(map(float, thresholds)))
 
@@ -173,7 +228,7 @@ def _train(row, column, grade, weight, features: int, rounds: int = 1000, decay:
 def grade(docs: DataFrame, model: Model, text: str = "text", into: str = "toxicity") -> DataFrame:
     """Add a struct: severity (expected grade), grade (the highest as likely as not), p_toxic and toxic (p_toxic >= 0.5).
 
-    Whole texts count; a null or empty text has the score of no words. All rows and columns
+    Whole texts count, by their window of the highest score; a null or empty text has the score of no words. All rows and columns
     stay, a column named as ``into`` is replaced.
     """
 

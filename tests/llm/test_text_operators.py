@@ -239,6 +239,26 @@ def test_toxicity(spark, docs):
     assert toxicity.grade(empty(spark), model).count() == 0
 
 
+def test_toxicity_does_not_depend_on_length(spark):
+    """Clean texts of 100,000 characters and more in each language stay clean; a toxic passage in them counts."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter("doc_id % 3 <> 0"))
+    held = docs.join(labels.filter("doc_id % 3 = 0"), "doc_id").filter("text is not null").orderBy("doc_id").collect()
+    clean = [r for r in held if not r.toxic]
+    assert sum(model.probabilities(r.text)[0] >= 0.5 for r in clean) <= 0.005 * len(clean)
+    passage = " ".join(["the trash idiot was a pathetic moron and scum"] * 4)
+    for lang in ("en", "fr", "de", "es"):
+        long, at = [""], 0
+        for text in (r.text for r in clean if r.lang == lang and model.probabilities(r.text)[0] < 0.5):
+            if len(long[-1]) >= 100_000 * (1 + at % 3):
+                long.append("")
+                at += 1
+            long[-1] += "\n" + text
+        long = [t for t in long if len(t) >= 100_000]
+        assert long and [lang for t in long if model.probabilities(t)[0] >= 0.5] == []
+        assert all(model.probabilities(t[:50_000] + "\n" + passage + "\n" + t[50_000:])[0] >= 0.5 for t in long)
+
+
 def test_licences(spark, docs):
     lines = [(i, "plain words here\n" + t + "\nthe software of this file is good", f) for i, (f, t) in enumerate((f, t) for f, ts in licences.TEMPLATES.items() for t in ts)]
     lines.append((500, "this library of public software has general source files in the work", None))
