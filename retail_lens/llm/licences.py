@@ -1,6 +1,6 @@
 """Licence scan: a trained paragraph classifier whose predictions a template comparison confirms.
 
-A paragraph is a line of a text. Its features are the words and word pairs it shares with the
+A paragraph is a line of a text, or a passage over several lines, as in hard-wrapped licences and source headers. Its features are the words and word pairs it shares with the
 templates below. A multinomial logistic regression over the licence families and an unknown
 class is trained on variations of the templates (cut, with words dropped or replaced), and, for the
 unknown class, on paragraphs of the corpus and on jumbled template words; its temperature
@@ -8,9 +8,10 @@ is fitted on held-out examples, so the probabilities are calibrated. A family co
 if its probability is at least one half and the paragraph's word pairs agree with one of the
 family's templates.
 
-Only paragraphs with an anchor are scored: a template word of at least six letters. That is part of
-the rule, not a shortcut: a paragraph without any is no licence paragraph. Different
-paragraphs are scored once each, however often they occur.
+Only lines with an anchor are scored: a template word of at least six letters. Passages are
+looked for in windows of words that cover the whole text, whatever its line breaks and comment marks: where
+a window agrees with a template, the passage goes from the first to the last word pair they share.
+Different paragraphs are scored once each, however often they occur.
 """
 
 from __future__ import annotations
@@ -74,6 +75,8 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 WORDS = r"[a-z0-9]+"
 ANCHOR_LETTERS = 6
+#: A window for passages begins at every so many words; it holds so many more than the longest template.
+STEP = 16
 #: Unknown paragraphs to learn from: at most so many, none longer than so many characters.
 EXAMPLES, LONGEST_EXAMPLE = 1500, 2000
 #: Least share of the shorter one's word pairs that a paragraph and a template have in common.
@@ -176,26 +179,82 @@ def _paragraph_words(text: Column) -> Column:
 
 
 def _pairs(words: Column) -> Column:
-    n = F.size(words)
-    spots = F.when(n > 1, F.sequence(F.lit(0), n - 2)).otherwise(F.array().cast("array<int>"))
-    return F.transform(spots, lambda i: F.concat_ws(" ", words[i], words[i + 1]))
+    # No access by index: where a filter is pushed down, ``words`` would be computed again for each.
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def _passages(texts: DataFrame) -> DataFrame:
+    """Passages over several lines that share word pairs enough with a template: doc, row, paragraph, last, words."""
+    spark, stage = texts.sparkSession, staging(texts.sparkSession)
+    sets = [sorted(set(pairs(tokens(t)))) for ts in TEMPLATES.values() for t in ts]
+    span = STEP + max(len(tokens(t)) for ts in TEMPLATES.values() for t in ts)
+    words = F.flatten(
+        F.transform("lines", lambda line, i: F.transform(_paragraph_words(line), lambda w: F.struct(w.alias("w"), i.alias("i"))))
+    )
+    every = texts.select("doc", "row", words.alias("all")).filter(F.size("all") > 1)
+    starts = F.sequence(F.lit(0), F.size("all") - 1, F.lit(STEP))
+    cut = every.select("doc", "row", F.posexplode(F.transform(starts, lambda s: F.slice("all", s + 1, span))).alias("at", "own"))
+    cut = cut.filter(F.element_at("own", 1)["i"] < F.element_at("own", -1)["i"])
+    known = sorted({p for own in sets for p in own})
+    # A window that agrees with a template shares two word pairs with it at least.
+    cut = cut.withColumn("near", F.filter(_pairs(F.col("own.w")), lambda p: p.isin(known)))
+    cut = stage(cut.filter(F.size(F.array_distinct("near")) > 1).drop("near"), "cut")
+    table = spark.createDataFrame([(t, len(own), p) for t, own in enumerate(sets) for p in own], "t int, n int, gram string")
+    grams = cut.select("row", "at", _pairs(F.col("own.w")).alias("pairs"))
+    grams = grams.select("row", "at", F.size(F.array_distinct("pairs")).alias("m"), F.posexplode("pairs").alias("j", "gram"))
+    met = grams.join(F.broadcast(table), "gram").groupBy("row", "at", "t").agg(
+        F.size(F.collect_set("gram")).alias("shared"), F.least(F.first("n"), F.first("m")).alias("least"),
+        F.min("j").alias("begin"), F.max("j").alias("end"),
+    )
+    met = met.filter(F.col("shared") >= AGREEMENT * F.col("least")).select("row", "at", "begin", "end").distinct()
+    own = F.slice("own", F.col("begin") + 1, F.col("end") - F.col("begin") + 2)
+    met = cut.join(met, ["row", "at"]).select("doc", "row", own.alias("own"))
+    met = met.select(
+        "doc", "row", F.element_at("own", 1)["i"].alias("paragraph"), F.element_at("own", -1)["i"].alias("last"), F.col("own.w").alias("words")
+    )
+    return met.filter("paragraph < last").distinct()
+
+
+def _apart(out: DataFrame) -> DataFrame:
+    """Of paragraphs that overlap in a text the one that shares most with its template, then that of fewer lines.
+
+    A line that holds a whole template stays next to a passage of another family.
+    """
+    both = out.filter("last > paragraph").select("row").distinct()
+    names = ["paragraph", "last", "family", "probability", "template", "agreement", "whole"]
+    rank = F.struct((-F.col("agreement") * F.col("shared")).alias("rank"), (F.col("last") - F.col("paragraph")).alias("lines"), *names)
+    mixed = out.join(both, "row").groupBy("row").agg(F.first("doc").alias("doc"), F.sort_array(F.collect_list(rank)).alias("units"))
+
+    def hides(k: Column, u: Column) -> Column:
+        meet = (k["paragraph"] <= u["last"]) & (u["paragraph"] <= k["last"])
+        return meet & ((k["family"] == u["family"]) | ~(k["whole"] | u["whole"]))
+
+    def add(kept: Column, u: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: hides(k, u)), kept).otherwise(F.concat(kept, F.array(u)))
+
+    kept = F.aggregate("units", F.filter("units", lambda u: F.lit(False)), add)
+    mixed = mixed.select("doc", F.explode(kept).alias("u")).select("doc", *(f"u.{c}" for c in names))
+    return out.join(both, "row", "left_anti").select("doc", *names).unionByName(mixed)
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row per licence paragraph: key, paragraph (number of the line, from 0), family, probability, template, agreement.
+    """One row per licence paragraph: key, paragraph (number of its first line, from 0), family, probability, template, agreement.
 
-    ``family`` is ``unknown`` where the classifier names a family that no template confirms;
+    ``family`` is ``unknown`` where the classifier names a family for a line that no template confirms;
     paragraphs that it finds unknown itself give no row. Whole texts are read; a null or empty
     text gives no rows, a null key stays null, repeated rows each give theirs. Columns other
     than ``key`` and ``text`` are not read.
     """
     spark, stage = docs.sparkSession, staging(docs.sparkSession)
     anchors = sorted({w for texts in TEMPLATES.values() for t in texts for w in tokens(t) if len(w) >= ANCHOR_LETTERS})
-    lines = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(text, "\n")).alias("paragraph", "line"))
+    texts = docs.select(F.col(key).alias("doc"), F.monotonically_increasing_id().alias("row"), F.split(text, "\n").alias("lines"))
+    lines = texts.select("doc", "row", F.posexplode("lines").alias("paragraph", "line"))
     lines = lines.withColumn("words", _paragraph_words(F.col("line")))
     found = lines.filter(F.exists("words", lambda w: w.isin(anchors)))
+    found = found.select("doc", "row", "paragraph", F.col("paragraph").alias("last"), "words").unionByName(_passages(texts))
     found = found.withColumn("id", F.md5(F.concat_ws(" ", "words")))
-    found = stage(found.select("doc", "paragraph", "id", "words"), "found")
+    found = stage(found, "found")
     different = stage(found.groupBy("id").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("n")), "different")
     parts = different.select("id", _pairs(F.col("words")).alias("pairs"), "words")
     all_grams = parts.select("id", F.explode(F.array_distinct(F.concat("words", "pairs"))).alias("gram"))
@@ -217,16 +276,20 @@ def scan(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id")
     known = spark.createDataFrame([(i, k, n, g) for i, k, n, p in sets for g in set(p)], "i int, template int, n int, gram string")
     own = parts.select("id", F.size(F.array_distinct("pairs")).alias("m"), F.explode(F.array_distinct("pairs")).alias("gram"))
     shared = own.join(F.broadcast(known), "gram").groupBy("id", "i", "template").agg(
-        F.count(F.lit(1)).alias("shared"), F.least(F.first("n"), F.first("m")).alias("least")
+        F.count(F.lit(1)).alias("shared"), F.least(F.first("n"), F.first("m")).alias("least"), F.first("n").alias("whole")
     )
     shared = shared.withColumn("agreement", F.col("shared") / F.col("least"))
-    confirmed = shared.groupBy("id", "i").agg(F.max(F.struct("agreement", -F.col("template"))).alias("best"))
+    confirmed = shared.groupBy("id", "i").agg(F.max(F.struct("agreement", -F.col("template"), "shared", "whole")).alias("best"))
     judged = predicted.join(confirmed, ["id", "i"], "left").join(different.select("id", "n"), "id")
     agreement = F.coalesce(F.col("best.agreement"), F.lit(0.0))
     label = F.when(agreement >= AGREEMENT, F.element_at(F.array(*map(F.lit, names)), F.col("i") + 1)).otherwise(UNKNOWN)
     judged = judged.select(
         "id", label.alias("family"), F.round("probability", 6).alias("probability"), (-F.col("best.col2")).alias("template"),
-        F.round(agreement, 6).alias("agreement"), "n",
+        F.round(agreement, 6).alias("agreement"), F.coalesce("best.shared", F.lit(0)).alias("shared"),
+        F.coalesce(F.col("best.shared") == F.col("best.whole"), F.lit(False)).alias("all"), "n",
     )
-    out = join_spread(found.select("doc", "paragraph", "id"), stage(judged, "judged"), "id", "n").filter("family is not null")
-    return out.select(F.col("doc").alias(key), "paragraph", "family", "probability", "template", "agreement")
+    places = found.select("doc", "row", "paragraph", "last", "id")
+    out = join_spread(places, stage(judged, "judged"), "id", "n").filter("family is not null")
+    out = out.filter((F.col("paragraph") == F.col("last")) | (F.col("family") != UNKNOWN))
+    out = stage(out.withColumn("whole", F.col("all") & (F.col("paragraph") == F.col("last"))), "judged")
+    return _apart(out).select(F.col("doc").alias(key), "paragraph", "family", "probability", "template", "agreement")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import textwrap
 import zlib
 
 import public_tokenizers
@@ -272,6 +273,26 @@ def test_licences(spark, docs):
     assert licences.scan(empty(spark), licences.fit(empty(spark))).count() == 0
 
 
+def test_wrapped_and_short_licences(spark):
+    """Hard-wrapped licences give their family at their first line, with comment marks too."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licences.fit(docs)
+    rows, want = [], set()
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for width, mark in ((30, ""), (45, "# "), (65, " * ")):
+                wrapped = textwrap.wrap(text, width)
+                if len(wrapped) > 1:
+                    want.add((len(rows), 1, family))
+                    rows.append((len(rows), "\n".join(["some plain words", *(mark + t for t in wrapped), "more plain words"])))
+    pair = ["Licensed under CC BY 4.0.", *textwrap.wrap(licences.TEMPLATES["Apache"][1], 40)]
+    want |= {(len(rows), 0, "CC-BY"), (len(rows), 0, "Apache")}
+    rows.append((len(rows), "\n".join(pair)))
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()
+    got = {(r.doc_id, r.paragraph, r.family) for r in got}
+    assert {(i, f) for i, _, f in got} == {(i, f) for i, _, f in want}, sorted(got ^ want)
+
+
 def test_columns_are_read_by_name(docs):
     """Clashing names of other columns change nothing."""
     odd = docs.withColumns({"group": F.lit(1), "shard": F.lit("x"), "n": F.lit(2), "k": F.lit(3), "words": F.lit(1), "h": F.lit(0)})
