@@ -8,7 +8,8 @@ is fitted on held-out examples, so the probabilities are calibrated. A family co
 if its probability is at least one half and the paragraph's word pairs agree with one of the
 family's templates.
 
-Only lines with an anchor are scored: a template word of at least six letters. Passages are
+Only lines are scored that hold a word pair of a template, a family's own short word (FAMILY_WORDS) or a
+template word of at least six letters; the template check would refuse all others. Passages are
 looked for in windows of words that cover the whole text, whatever its line breaks and comment marks: where
 a window agrees with a template, the passage goes from the first to the last word pair they share.
 Different paragraphs are scored once each, however often they occur.
@@ -75,6 +76,7 @@ TEMPLATES = {
 UNKNOWN = "unknown"
 WORDS = r"[a-z0-9]+"
 ANCHOR_LETTERS = 6
+FAMILY_WORDS = ["bsd", "cc", "gnu", "mit", "nc"]
 #: A window for passages begins at every so many words; it holds so many more than the longest template.
 STEP = 16
 #: Unknown paragraphs to learn from: at most so many, none longer than so many characters.
@@ -248,10 +250,13 @@ def scan(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id")
     """
     spark, stage = docs.sparkSession, staging(docs.sparkSession)
     anchors = sorted({w for texts in TEMPLATES.values() for t in texts for w in tokens(t) if len(w) >= ANCHOR_LETTERS})
+    known_pairs = sorted({p for texts in TEMPLATES.values() for t in texts for p in pairs(tokens(t))})
     texts = docs.select(F.col(key).alias("doc"), F.monotonically_increasing_id().alias("row"), F.split(text, "\n").alias("lines"))
     lines = texts.select("doc", "row", F.posexplode("lines").alias("paragraph", "line"))
     lines = lines.withColumn("words", _paragraph_words(F.col("line")))
-    found = lines.filter(F.exists("words", lambda w: w.isin(anchors)))
+    found = lines.filter(
+        F.exists("words", lambda w: w.isin([*anchors, *FAMILY_WORDS])) | F.exists(_pairs(F.col("words")), lambda p: p.isin(known_pairs))
+    )
     found = found.select("doc", "row", "paragraph", F.col("paragraph").alias("last"), "words").unionByName(_passages(texts))
     found = found.withColumn("id", F.md5(F.concat_ws(" ", "words")))
     found = stage(found, "found")

@@ -274,7 +274,7 @@ def test_licences(spark, docs):
 
 
 def test_wrapped_and_short_licences(spark):
-    """Hard-wrapped licences give their family at their first line, with comment marks too."""
+    """Hard-wrapped licences give their family at their first line, with comment marks too; short ones need no long word."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = licences.fit(docs)
     rows, want = [], set()
@@ -285,6 +285,9 @@ def test_wrapped_and_short_licences(spark):
                 if len(wrapped) > 1:
                     want.add((len(rows), 1, family))
                     rows.append((len(rows), "\n".join(["some plain words", *(mark + t for t in wrapped), "more plain words"])))
+    for text, family in (("CC BY 4.0", "CC-BY"), ("CC BY-NC 4.0", "CC-BY-NC")):
+        want.add((len(rows), 0, family))
+        rows.append((len(rows), text))
     pair = ["Licensed under CC BY 4.0.", *textwrap.wrap(licences.TEMPLATES["Apache"][1], 40)]
     want |= {(len(rows), 0, "CC-BY"), (len(rows), 0, "Apache")}
     rows.append((len(rows), "\n".join(pair)))
