@@ -22,9 +22,9 @@ fixed part of its shingles (those whose hash falls into one of k classes). Even
 shared, two sets with too few codes in common cannot be similar enough. Texts are fetched for what is
 left, packed.
 
-The order of shingles changes how long lists are, never which links are found. Every link
-that is reported is verified on the sets; none is missed unless two different shingles or sets have the
-same 64-bit hash.
+The order of shingles changes how long lists are, never which components are found. Every link
+that is reported is verified on the sets. The links found span the components and are not all
+links; no component is missed unless two different shingles or sets have the same 64-bit hash.
 """
 
 from __future__ import annotations
@@ -249,6 +249,8 @@ def links(
 
     Documents: k (the key), n (set size), set (class; 0 without words). Links: a, b (classes)
     such that their connected components are those of all links at ``percent`` or more.
+    They are a part of all links that spans each component, not the whole join: classes that hang
+    together already are not compared, nor are members of one leader or of two similar leaders.
     """
     stage = staging(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
