@@ -274,7 +274,7 @@ def test_licences(spark, docs):
 
 
 def test_wrapped_and_short_licences(spark):
-    """Hard-wrapped licences give their family at their first line, with comment marks too; short ones need no long word."""
+    """Hard-wrapped licences give their family, with comment marks too; short ones need no long word."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = licences.fit(docs)
     rows, want = [], set()
