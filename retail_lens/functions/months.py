@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -123,10 +123,42 @@ def calendar(days: DataFrame, day: str = "order_date") -> DataFrame:
     bounds = days.agg(F.trunc(F.min(day), "YEAR").alias("first"), F.max(day).alias("latest"))
     last = F.date_sub(F.add_months(F.trunc("latest", "YEAR"), 12), 1)
     every_day = F.explode(F.sequence(F.col("first"), last, F.expr("interval 1 day")))
-    return bounds.select(every_day.alias("date")).select(
-        "date",
+    return bounds.select(every_day.alias("date")).select("date", *_attributes())
+
+
+def _attributes() -> list[Column]:
+    return [
         F.year("date").alias("year"),
         F.month("date").alias("month_no"),
         F.date_format("date", "MMM yyyy").alias("month"),
         F.concat(F.lit("Q"), F.quarter("date"), F.lit(" "), F.year("date")).alias("quarter"),
+    ]
+
+
+def calendar_days(spark: SparkSession, years: Period) -> DataFrame:
+    """The calendar of whole years as a dimension: the columns of ``calendar``, quarter_no, weekday (1 is Monday) and month_start.
+
+    It is counted off from a range, so its size is known before a join is planned: 366 rows a year at most.
+    """
+    first, end = date(years.first.year, 1, 1), date(years.last.year + 1, 1, 1)
+    numbers = spark.range((end - first).days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
+    return numbers.select(
+        "date",
+        *_attributes(),
+        F.quarter("date").alias("quarter_no"),
+        (F.weekday("date") + 1).alias("weekday"),
+        month_start(F.col("date")).alias("month_start"),
     )
+
+
+def on_days(fact: DataFrame, days: DataFrame, day: str = "order_date") -> DataFrame:
+    """Rows of a fact on one of the ``days`` of a calendar.
+
+    A fact stored in month folders is joined on the month too: Spark then finds the months of the days left at run
+    time and opens their folders only. The days are a few thousand rows at most, which Spark broadcasts by their size.
+    """
+    kept = days.select(F.col("date").alias("_day"), F.col("month_start").alias("_month"))
+    test = F.col(day).cast("date") == F.col("_day")
+    if "month" in fact.columns:
+        test = test & (F.col("month") == F.col("_month"))
+    return fact.join(kept, test, "left_semi")

@@ -3,6 +3,10 @@
 A measure takes the star and ``by``, the columns it is sliced by; filters are applied to
 the star beforehand (``Star.in_period`` and the like). An absent value is null and counts
 as 0 in a difference unless both sides are absent.
+
+With ``totals`` a measure also has the rows of a report's subtotals: every combination of the columns in ``by`` is summed
+up, from the same totals of the finest slices, and each ratio is taken afresh from its own sums. A column that a row sums up
+is null, and ``<column>_total`` is true; where that is false, null is a value like others.
 """
 
 from __future__ import annotations
@@ -10,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,9 +33,22 @@ def dim_region(customers: DataFrame) -> DataFrame:
     return customers.select("region").distinct()
 
 
-def core_totals(star: Star, by: Sequence[str] = ()) -> DataFrame:
+def total_flags(by: Sequence[str]) -> list[str]:
+    return [f"{c}_total" for c in by]
+
+
+def roll_up(df: DataFrame, by: Sequence[str], sums: dict[str, Column], also: Sequence[str] = ()) -> DataFrame:
+    """``sums`` over every subset of ``by``, flagged; ``also`` are keys of every row. ``df`` should have one row per finest slice."""
+    sets = [[*also, *kept] for n in range(len(by), -1, -1) for kept in combinations(by, n)]
+    flags = [(F.grouping(c) == 1).alias(f) for c, f in zip(by, total_flags(by), strict=True)]
+    return df.groupingSets(sets, *also, *by).agg(*flags, *[c.alias(n) for n, c in sums.items()])
+
+
+def core_totals(star: Star, by: Sequence[str] = (), totals: bool = False) -> DataFrame:
     """Revenue and units; ``by`` may name the month, quarter or year."""
     sums = {"revenue": F.col("revenue"), "units": F.col("quantity")}
+    if totals:
+        return roll_up(core_totals(star, by), by, {n: F.sum(n) for n in sums})
     if not by:
         return star.sales.agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     month = month_start(F.col("order_date"))
@@ -39,32 +57,40 @@ def core_totals(star: Star, by: Sequence[str] = ()) -> DataFrame:
     return sums_by(sales, by, sums, star.products if attributes else None)
 
 
-def gross_margin(star: Star, by: Sequence[str]) -> DataFrame:
+def gross_margin(star: Star, by: Sequence[str], totals: bool = False) -> DataFrame:
     """Revenue minus units at unit cost, and the margin as a share of revenue.
 
     Cost is looked up per product total, not per line. Units of a product without a
     known cost cost nothing.
     """
     keys = [c for c in by if c in star.sales.columns and c != "sku"]
-    totals = star.sales.groupBy(*keys, "sku").agg(
+    per_product = star.sales.groupBy(*keys, "sku").agg(
         F.sum("revenue").alias("revenue"), F.sum(F.col("quantity").cast("double")).alias("units")
     )
     attributes = [c for c in by if c not in star.sales.columns]
-    costed = totals.join(star.products.select("sku", "unit_cost", *attributes), "sku", "left")
+    costed = per_product.join(star.products.select("sku", "unit_cost", *attributes), "sku", "left")
     cost = F.col("units") * F.coalesce(F.col("unit_cost"), F.lit(0)).cast("double")
-    margin = F.sum("revenue").cast("double") - F.sum(cost)
-    return (
-        costed.groupBy(*by)
-        .agg(margin.alias("gross_margin"), F.sum("revenue").alias("revenue"))
-        .select(*by, "gross_margin", ratio(F.col("gross_margin"), F.col("revenue")).alias("gross_margin_pct"))
-    )
+    sliced = costed.groupBy(*by).agg(F.sum("revenue").alias("revenue"), F.sum(cost).alias("cost"))
+    if totals:
+        sliced = roll_up(sliced, by, {"revenue": F.sum("revenue"), "cost": F.sum("cost")})
+    margin = F.col("revenue").cast("double") - F.col("cost")
+    keys = [*by, *(total_flags(by) if totals else [])]
+    return sliced.select(*keys, margin.alias("gross_margin"), ratio(margin, F.col("revenue")).alias("gross_margin_pct"))
+
 
+def _monthly_revenue(
+    star: Star, by: Sequence[str], periods: list[Period], totals: bool = False
+) -> tuple[DataFrame, list[str]]:
+    """Revenue per slice and month of the periods, and the columns of a slice; the scan is bounded by the periods.
 
-def _monthly_revenue(star: Star, by: Sequence[str], periods: list[Period]) -> DataFrame:
-    """Revenue per slice and month of the periods; the scan is bounded by them."""
+    With ``totals`` the sums over every subset of ``by`` are slices as well, told apart by their flags.
+    """
     attributes = [c for c in by if c not in star.sales.columns]
     sales = during(star.sales, periods)
-    return monthly(sales, by, star.products if attributes else None).select(*by, "month", "revenue")
+    months = monthly(sales, by, star.products if attributes else None).select(*by, "month", "revenue")
+    if not totals:
+        return months, list(by)
+    return roll_up(months, by, {"revenue": F.sum("revenue")}, ["month"]), [*by, *total_flags(by)]
 
 
 #: Columns of the calendar that a measure can be sliced by instead of the month.
@@ -113,32 +139,41 @@ def _reach(calendar: Period, back: int, *more: Period) -> list[Period]:
     return [Period(add_to_month(calendar.first, -back), calendar.last), *more]
 
 
-def revenue_py(star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month") -> DataFrame:
+def revenue_py(
+    star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month", totals: bool = False
+) -> DataFrame:
     """Revenue of each month (quarter, year, all) and a year before, null where there was none."""
-    months = _monthly_revenue(star, by, _reach(calendar, 12))
-    return _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, grain=grain)
+    months, keys = _monthly_revenue(star, by, _reach(calendar, 12), totals)
+    return _spread(months, keys, {"revenue": [0], "revenue_py": [12]}, calendar, grain=grain)
 
 
-def revenue_yoy(star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month") -> DataFrame:
+def revenue_yoy(
+    star: Star, by: Sequence[str], calendar: Period, grain: str | None = "month", totals: bool = False
+) -> DataFrame:
     """Change against the year before as a fraction."""
     change = ratio(_or_zero("revenue") - _or_zero("revenue_py"), F.col("revenue_py"))
-    return revenue_py(star, by, calendar, grain).withColumn("revenue_yoy", change)
+    return revenue_py(star, by, calendar, grain, totals).withColumn("revenue_yoy", change)
 
 
 def rolling_revenue(
-    star: Star, by: Sequence[str], calendar: Period, months: int = 3, grain: str | None = "month"
+    star: Star,
+    by: Sequence[str],
+    calendar: Period,
+    months: int = 3,
+    grain: str | None = "month",
+    totals: bool = False,
 ) -> DataFrame:
     """Revenue of each month together with the months before it, by the calendar.
 
     For a quarter, a year or the whole calendar these are the months up to its last one.
     """
-    totals = _monthly_revenue(star, by, _reach(calendar, months - 1))
+    monthly_sums, keys = _monthly_revenue(star, by, _reach(calendar, months - 1), totals)
+    rolled = _spread(monthly_sums, keys, {"rolling_revenue": list(range(months))}, calendar)
     if grain == "month":
-        return _spread(totals, by, {"rolling_revenue": list(range(months))}, calendar)
-    ends = _month_ends(calendar, grain)
-    rolled = _spread(totals, by, {"rolling_revenue": list(range(months))}, calendar).where(F.col("month").isin(ends))
+        return rolled
+    ends = rolled.where(F.col("month").isin(_month_ends(calendar, grain)))
     at = [] if grain is None else [GRAINS[grain](F.col("month")).alias(grain)]
-    return rolled.select(*by, *at, "rolling_revenue")
+    return ends.select(*keys, *at, "rolling_revenue")
 
 
 def _month_ends(calendar: Period, grain: str | None) -> list[date]:
@@ -161,25 +196,30 @@ def growth_factor(star: Star, by: Sequence[str], trend: Period) -> DataFrame:
 
 
 def gap_vs_trend(
-    star: Star, by: Sequence[str], calendar: Period, trend: Period, grain: str | None = "month"
+    star: Star,
+    by: Sequence[str],
+    calendar: Period,
+    trend: Period,
+    grain: str | None = "month",
+    totals: bool = False,
 ) -> DataFrame:
     """Revenue, last year's revenue grown by the trend, and the difference.
 
     Growth is taken from the same monthly totals, all of them whatever the calendar, so
     the facts are read once. A slice has one row per month by then.
     """
-    months = _monthly_revenue(star, by, _reach(calendar, 12, trend, trend.shifted(-12)))
-    in_slice = Window.partitionBy(*by)
+    months, keys = _monthly_revenue(star, by, _reach(calendar, 12, trend, trend.shifted(-12)), totals)
+    in_slice = Window.partitionBy(*keys)
     factor = ratio(_during(trend).over(in_slice), _during(trend.shifted(-12)).over(in_slice))
     months = months.withColumn("growth_factor", factor)
     expected = F.col("revenue_py").cast("double") * F.col("growth_factor")
-    spread = _spread(months, by, {"revenue": [0], "revenue_py": [12]}, calendar, ["growth_factor"], grain)
+    spread = _spread(months, keys, {"revenue": [0], "revenue_py": [12]}, calendar, ["growth_factor"], grain)
     gap = F.when(
         F.col("revenue").isNotNull() | F.col("expected").isNotNull(),
         _or_zero("revenue").cast("double") - _or_zero("expected"),
     )
     at = [] if grain is None else [grain]
-    return spread.withColumn("expected", expected).select(*by, *at, "revenue", "expected", gap.alias("gap"))
+    return spread.withColumn("expected", expected).select(*keys, *at, "revenue", "expected", gap.alias("gap"))
 
 
 def forecast_measure(star: Star, by: Sequence[str], calendar: Period, trend: Period, future: Period) -> DataFrame:
@@ -200,32 +240,59 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def attainment(star: Star, by: Sequence[str] = ("rep_id", "month")) -> DataFrame:
-    """Revenue, target and revenue over target, sliced by rep, by attributes of the rep, by month, quarter or year.
+def attainment(star: Star, by: Sequence[str] = ("rep_id", "month"), totals: bool = False) -> DataFrame:
+    """Revenue, target and revenue over target, sliced by rep, by attributes of the rep or of the product, by month, quarter or year.
 
     Both facts are summed on their own and stacked, never joined line by line; attributes
-    are looked up for the sums per rep. Without ``by`` there is one row.
+    are looked up for the sums per rep and product. Targets belong to reps: an attribute of the product slices revenue alone,
+    and each such slice is set against the target of the whole. Without ``by`` there is one row.
     """
-    times = [c for c in by if c in GRAINS]
-    attributes = [c for c in by if c not in GRAINS and c != "rep_id"]
+    items = [c for c in by if star.products is not None and c in star.products.columns]
+    shared = [c for c in by if c not in items]
+    times = [c for c in shared if c in GRAINS]
+    attributes = [c for c in shared if c not in GRAINS and c != "rep_id"]
     sold = star.sales.select(
-        F.col("sales_rep_id").alias("rep_id"), month_start(F.col("order_date")).alias("month"), "revenue"
+        F.col("sales_rep_id").alias("rep_id"), month_start(F.col("order_date")).alias("month"), "revenue", *["sku"] * bool(items)
     )
     aimed = star.targets.select(
         "rep_id", F.col("month_start").alias("month"), F.col("target_amount").cast("decimal(20,4)").alias("target")
     )
 
-    def summed(df: DataFrame, name: str) -> DataFrame:
+    def summed(df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
         at = [GRAINS[c](F.col("month")).alias(c) for c in times]
-        if not attributes:
-            return df.groupBy(*[F.col("rep_id")] * ("rep_id" in by), *at).agg(F.sum(name).alias(name))
-        per_rep = df.groupBy("rep_id", *at).agg(F.sum(name).alias(name))
-        named = per_rep.join(star.reps.select("rep_id", *attributes), "rep_id", "left")
-        return named.groupBy(*by).agg(F.sum(name).alias(name))
-
-    return _stacked([summed(sold, "revenue"), summed(aimed, "target")], by, ["revenue", "target"]).withColumn(
-        "attainment", ratio(F.col("revenue"), F.col("target"))
-    )
+        keys = [F.col("rep_id")] * ("rep_id" in by or bool(attributes))
+        if any(c in items for c in by):
+            df = df.groupBy(*keys, *at, "sku").agg(F.sum(name).alias(name))
+            df = df.join(star.products.select("sku", *[c for c in items if c != "sku"]), "sku", "left")
+        else:
+            df = df.groupBy(*keys, *at).agg(F.sum(name).alias(name))
+        if attributes:
+            df = df.join(star.reps.select("rep_id", *attributes), "rep_id", "left")
+        return df.groupBy(*by).agg(F.sum(name).alias(name))
+
+    sides = [(summed(sold, "revenue", by), "revenue", by), (summed(aimed, "target", shared), "target", shared)]
+    if totals:
+        sides = [(roll_up(df, keys, {name: F.sum(name)}), name, keys) for df, name, keys in sides]
+    flags = total_flags(by) if totals else []
+    keys, on = [*by, *flags], [*shared, *(total_flags(shared) if totals else [])]
+    if items and not on:
+        table = sides[0][0].withColumn("target", sides[1][0].scalar())
+    elif items:
+        table = _full_join(sides[0][0], sides[1][0], on).withColumns(
+            {f: F.coalesce(f, F.lit(True)) for f in flags if f not in on}
+        )
+    else:
+        table = _stacked([df for df, _, _ in sides], keys, ["revenue", "target"])
+    return table.select(*keys, "revenue", "target").withColumn("attainment", ratio(F.col("revenue"), F.col("target")))
+
+
+def _full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full outer join of aggregates in which a null key meets a null key."""
+    a, b = left.alias("a"), right.alias("b")
+    test = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
+    keys = [F.coalesce(F.col(f"a.{c}"), F.col(f"b.{c}")).alias(c) for c in on]
+    rest = [F.col(f"{side}.{c}") for side, df in (("a", left), ("b", right)) for c in df.columns if c not in on]
+    return a.join(b, test, "full").select(*keys, *rest)
 
 
 def attainment_status(share: Column) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retail_lens.functions.months import Period, during, month_start
+from retail_lens.functions.months import Period, during, month_start, on_days
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,24 @@ class Star:
     targets: DataFrame | None = None
     reps: DataFrame | None = None
     customers: DataFrame | None = None
+    calendar: DataFrame | None = None
+
+    def in_calendar(self, condition: Column | str) -> Star:
+        """Filter by any column of the calendar (``"quarter_no = 3"``, ``"weekday > 5"``), carried to all three facts.
+
+        Sales and deliveries are kept by their day, targets by the first day of their month, which is the day they
+        are dated. The calendar itself is filtered as well, so filters add up.
+        """
+        if self.calendar is None:
+            raise ValueError("this star has no calendar; see months.calendar_days")
+        days = self.calendar.where(condition)
+        return replace(
+            self,
+            calendar=days,
+            sales=on_days(self.sales, days),
+            deliveries=self.deliveries and on_days(self.deliveries, days),
+            targets=self.targets and on_days(self.targets, days, "month_start"),
+        )
 
     def in_period(self, period: Period) -> Star:
         """Calendar filter on all three facts."""
@@ -61,7 +79,6 @@ class Star:
             deliveries=self.deliveries and keep_products(self.deliveries, products),
         )
 
-
     def of_rep_region(self, region: str) -> Star:
         """Region of the rep: reaches sales and targets, which both carry the rep; deliveries stay whole."""
         reps = self.reps.where(F.col("region") == region)

@@ -7,9 +7,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_lens.functions.months import calendar_days
 from retail_lens.functions.numbers import fill_rate, lead_time_days
 from retail_lens.plans.model import Star
 from workload import expressions as x
+from workload.settings import YEARS
 
 
 def _select(df: DataFrame, columns: dict[str, str], *more: str) -> DataFrame:
@@ -110,6 +112,7 @@ class Inputs:
             targets=self.targets(),
             reps=self.reps(),
             customers=self.customers(),
+            calendar=calendar_days(self.spark, YEARS),
         )
 
     # ---- untidy ----

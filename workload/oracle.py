@@ -862,3 +862,102 @@ WITH {SALES}, {REPS}
 SELECT s.region, year(order_date) AS year, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units
 FROM sales s JOIN reps r ON r.rep_id = s.sales_rep_id
 WHERE r.region = 'ASIA' AND s.channel = 'BUILDING' GROUP BY 1, 2"""
+
+# ---- calendar filters and subtotals -----------------------------------------------
+
+ORACLE["sales_every_q3"] = f"""
+WITH {SALES}, {PRODUCTS}
+SELECT region, category, year(order_date) AS year, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units
+FROM {FULL} WHERE quarter(order_date) = 3 AND year(order_date) BETWEEN 1995 AND 2002 GROUP BY ALL"""
+_JULY = "month({}) = 7 AND year({}) BETWEEN 1995 AND 2002"
+ORACLE["facts_every_july"] = (
+    ORACLE["drill_across"]
+    .replace("FROM sales GROUP BY", f"FROM sales WHERE {_JULY.format('order_date', 'order_date')} GROUP BY")
+    .replace("FROM deliveries GROUP BY", f"FROM deliveries WHERE {_JULY.format('order_date', 'order_date')} GROUP BY")
+    .replace("FROM targets GROUP BY", f"FROM targets WHERE {_JULY.format('month_start', 'month_start')} GROUP BY")
+)
+ORACLE["weekend_attainment"] = f"""
+WITH {LINES}, {TARGETS}, {REPS},
+s AS (SELECT region, CAST(date_trunc('month', order_date) AS DATE) AS month, sum(revenue) AS revenue
+      FROM lines LEFT JOIN reps ON rep_id = sales_rep_id WHERE year(order_date) = 2000 AND isodow(order_date) > 5 GROUP BY ALL),
+t AS (SELECT region, month_start AS month, sum(target_amount) AS target
+      FROM targets LEFT JOIN reps USING (rep_id) WHERE year(month_start) = 2000 AND isodow(month_start) > 5 GROUP BY ALL)
+SELECT region, {iso("month")} AS month, {dbl("revenue")} AS revenue, {dbl("target")} AS target,
+       {up(ratio("revenue", "target"), 4)} AS attainment
+FROM s FULL JOIN t USING (region, month)"""
+_SUB = "region, category, grouping(region) = 1 AS region_total, grouping(category) = 1 AS category_total"
+_CUBE = "GROUP BY GROUPING SETS ((region, category), (region), (category), ())"
+ORACLE["core_totals_subtotals"] = f"""
+WITH {SALES}, {PRODUCTS}
+SELECT {_SUB}, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units FROM {FULL} {_CUBE}"""
+ORACLE["gross_margin_subtotals"] = f"""
+WITH {SALES}, {PRODUCTS},
+m AS (
+  SELECT {_SUB}, sum(CAST(revenue AS DOUBLE) - quantity * CAST(unit_cost AS DOUBLE)) AS margin, sum(revenue) AS revenue
+  FROM {FULL} {_CUBE}
+)
+SELECT region, category, region_total, category_total, {up("margin", 2)} AS gross_margin,
+       {up(ratio("margin", "revenue"), 4)} AS gross_margin_pct
+FROM m"""
+# Every level's own months, laid beside those of a year before.
+_LEVELS = f"""{SALES}, {PRODUCTS},
+lv AS (
+  SELECT {_SUB}, CAST(date_trunc('month', order_date) AS DATE) AS month, sum(revenue) AS revenue
+  FROM {FULL} GROUP BY GROUPING SETS ((region, category, month), (region, month), (category, month), (month))
+),
+keyed AS (SELECT *, concat_ws('|', coalesce(region, '-'), coalesce(category, '-'), region_total, category_total) AS id FROM lv),
+ids AS (SELECT DISTINCT id, region, category, region_total, category_total FROM keyed),
+cal AS (SELECT CAST(unnest(range(DATE '1999-01-01', DATE '2001-01-01', INTERVAL 1 MONTH)) AS DATE) AS month),
+cells AS (
+  SELECT ids.*, cal.month, a.revenue, b.revenue AS revenue_py
+  FROM ids CROSS JOIN cal LEFT JOIN keyed a ON a.id = ids.id AND a.month = cal.month
+  LEFT JOIN keyed b ON b.id = ids.id AND b.month = CAST(cal.month - INTERVAL 1 YEAR AS DATE)
+)"""
+_KEYS = "region, category, region_total, category_total"
+ORACLE["revenue_yoy_subtotals"] = f"""
+WITH {_LEVELS}
+SELECT {_KEYS}, {_QUARTER} AS quarter, {dbl("sum(revenue)")} AS revenue, {dbl("sum(revenue_py)")} AS revenue_py,
+       {up(ratio("coalesce(sum(revenue), 0) - coalesce(sum(revenue_py), 0)", "sum(revenue_py)"), 4)} AS revenue_yoy
+FROM cells GROUP BY ALL HAVING count(revenue) + count(revenue_py) > 0"""
+ORACLE["rolling_3m_subtotals"] = f"""
+WITH {_LEVELS}
+SELECT {", ".join("c." + k for k in _KEYS.split(", "))}, {iso("c.month")} AS month, {dbl("sum(r.revenue)")} AS rolling_revenue
+FROM cells c JOIN keyed r ON r.id = c.id AND r.month <= c.month AND r.month > CAST(c.month - INTERVAL 3 MONTH AS DATE)
+GROUP BY ALL"""
+ORACLE["revenue_gap_subtotals"] = f"""
+WITH {_LEVELS},
+growth AS (
+  SELECT id, {ratio("sum(revenue) FILTER (WHERE month BETWEEN DATE '2000-01-01' AND DATE '2000-06-01')",
+                    "sum(revenue) FILTER (WHERE month BETWEEN DATE '1999-01-01' AND DATE '1999-06-01')")} AS g
+  FROM keyed GROUP BY id
+),
+y AS (
+  SELECT id, {_KEYS}, year(month) AS year, sum(revenue) AS revenue, CAST(sum(revenue_py) AS DOUBLE) AS py FROM cells
+  GROUP BY ALL HAVING count(revenue) + count(revenue_py) > 0
+)
+SELECT {_KEYS}, year, {dbl("revenue")} AS revenue, {up("py * g", 2)} AS expected,
+       CASE WHEN revenue IS NOT NULL OR py * g IS NOT NULL
+            THEN {up("coalesce(CAST(revenue AS DOUBLE), 0) - coalesce(py * g, 0)", 2)} END AS gap
+FROM y LEFT JOIN growth USING (id)"""
+ORACLE["attainment_subtotals"] = f"""
+WITH {LINES}, {TARGETS}, {REPS}, {PRODUCTS},
+s AS (SELECT reps.region, category, revenue FROM lines LEFT JOIN reps ON rep_id = sales_rep_id LEFT JOIN products USING (sku)),
+r AS (SELECT {_SUB}, sum(revenue) AS revenue FROM s {_CUBE}),
+t AS (SELECT region, grouping(region) = 1 AS region_total, sum(target_amount) AS target
+      FROM targets LEFT JOIN reps USING (rep_id) GROUP BY GROUPING SETS ((region), ()))
+SELECT coalesce(r.region, t.region) AS region, category, coalesce(r.region_total, t.region_total) AS region_total,
+       coalesce(category_total, true) AS category_total, {dbl("revenue")} AS revenue, {dbl("target")} AS target,
+       {up(ratio("revenue", "target"), 4)} AS attainment
+FROM r FULL JOIN t ON r.region IS NOT DISTINCT FROM t.region AND r.region_total = t.region_total"""
+_BY_REP = "GROUP BY GROUPING SETS ((region, rep_id, year), (region, rep_id), (region, year), (rep_id, year), (region), (rep_id), (year), ())"
+ORACLE["attainment_subtotals_by_rep"] = f"""
+WITH {LINES}, {TARGETS}, {REPS},
+u AS (
+  SELECT region, sales_rep_id AS rep_id, year(order_date) AS year, revenue, NULL AS target
+  FROM lines LEFT JOIN reps ON rep_id = sales_rep_id
+  UNION ALL SELECT region, rep_id, year(month_start), NULL, target_amount FROM targets LEFT JOIN reps USING (rep_id)
+)
+SELECT region, rep_id, year, grouping(region) = 1 AS region_total, grouping(rep_id) = 1 AS rep_id_total,
+       grouping(year) = 1 AS year_total, {dbl("sum(revenue)")} AS revenue, {dbl("sum(target)")} AS target,
+       {up(ratio("sum(revenue)", "sum(target)"), 4)} AS attainment
+FROM u {_BY_REP}"""

@@ -652,3 +652,61 @@ def attainment_by_rep_region(inp: Inputs) -> DataFrame:
 def sales_of_rep_region(inp: Inputs) -> DataFrame:
     star = inp.full_star().of_rep_region("ASIA").of_channel("BUILDING")
     return measures.core_totals(star, ["region", "year"])
+
+
+# ---- calendar filters and subtotals -----------------------------------------------
+
+
+@query
+def sales_every_q3(inp: Inputs) -> DataFrame:
+    star = inp.full_star().in_calendar("quarter_no = 3")
+    return measures.core_totals(star, ["region", "category", "year"])
+
+
+@query
+def facts_every_july(inp: Inputs) -> DataFrame:
+    return rounded(measures.drill_across(inp.full_star().in_calendar("month_no = 7"), ["month", "region"]), "fill_rate")
+
+
+@query
+def weekend_attainment(inp: Inputs) -> DataFrame:
+    star = inp.full_star().in_calendar("year = 2000").in_calendar("weekday > 5")
+    return rounded(measures.attainment(star, ["region", "month"]), "attainment")
+
+
+@query
+def core_totals_subtotals(inp: Inputs) -> DataFrame:
+    return measures.core_totals(inp.sales_star(), ["region", "category"], totals=True)
+
+
+@query
+def gross_margin_subtotals(inp: Inputs) -> DataFrame:
+    table = measures.gross_margin(inp.sales_star(), ["region", "category"], totals=True)
+    return rounded(rounded(table, "gross_margin", digits=2), "gross_margin_pct")
+
+
+@query
+def revenue_yoy_subtotals(inp: Inputs) -> DataFrame:
+    table = measures.revenue_yoy(inp.sales_star(), ["region", "category"], CALENDAR, "quarter", totals=True)
+    return rounded(table, "revenue_yoy")
+
+
+@query
+def rolling_3m_subtotals(inp: Inputs) -> DataFrame:
+    return measures.rolling_revenue(inp.sales_star(), ["region", "category"], CALENDAR, totals=True)
+
+
+@query
+def revenue_gap_subtotals(inp: Inputs) -> DataFrame:
+    table = measures.gap_vs_trend(inp.sales_star(), ["region", "category"], CALENDAR, SPEC.trend, "year", totals=True)
+    return rounded(table, "expected", "gap", digits=2)
+
+
+@query
+def attainment_subtotals(inp: Inputs) -> DataFrame:
+    return rounded(measures.attainment(inp.full_star(), ["region", "category"], totals=True), "attainment")
+
+
+@query
+def attainment_subtotals_by_rep(inp: Inputs) -> DataFrame:
+    return rounded(measures.attainment(inp.full_star(), ["region", "rep_id", "year"], totals=True), "attainment")

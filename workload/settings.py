@@ -17,6 +17,7 @@ FOCUS = Focus("ASIA", "PROMO")
 SHOCK = date(2000, 7, 1)
 YEAR = Period.of("1999-07", "2000-06")
 CALENDAR = Period.of("1999-01", "2000-12")
+YEARS = Period.of("1995-01", "2002-12")
 
 RULES = CleaningRules(
     regions={
