@@ -8,7 +8,7 @@ from datetime import date
 from retail_lens.functions.months import Period, PeriodSpec
 from retail_lens.plans.cleaning import CleaningRules
 from retail_lens.plans.model import Focus
-from retail_lens.plans.pipeline import analyse, clean_all, read_raw
+from retail_lens.plans.pipeline import analyse, clean_folder
 from retail_lens.session import get_spark
 
 
@@ -16,6 +16,10 @@ def _period(text: str) -> Period:
     return Period.of(*text.split(":"))
 
 
+def _months(text: str) -> list[date]:
+    return [date.fromisoformat(f"{month}-01") for month in text.split(",")]
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="retail_lens")
     parser.add_argument("--partitions", type=int, help="shuffle partitions to start from, about one per 256 MB of input")
@@ -24,7 +28,10 @@ def main() -> None:
     clean.add_argument("raw")
     clean.add_argument("clean")
     clean.add_argument("--labels", help="JSON file: {\"regions\": {text: label}, \"channels\": {text: label}}")
-    clean.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
+    clean.add_argument(
+        "--multi-line", action="store_true", help="quoted fields may hold line breaks; each file is then read by one task"
+    )
+    clean.add_argument("--months", type=_months, help="late data: write these months of the facts only, e.g. 2026-01,2026-03")
     report = steps.add_parser("analyse", help="clean tables to report CSV files")
     report.add_argument("clean")
     report.add_argument("out")
@@ -39,7 +46,7 @@ def main() -> None:
     spark = get_spark(partitions=args.partitions)
     if args.step == "clean":
         rules = CleaningRules.from_json(spark, args.labels) if args.labels else CleaningRules()
-        clean_all(spark, read_raw(spark, args.raw, args.multi_line), args.clean, rules)
+        clean_folder(spark, args.raw, args.clean, rules, args.multi_line, args.months)
     else:
         spec = PeriodSpec(args.current, args.trend, args.future)
         analyse(

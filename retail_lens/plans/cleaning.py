@@ -262,9 +262,18 @@ def parse_targets(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_targets(raw: DataFrame) -> DataFrame:
+def fill_targets(parsed: DataFrame) -> DataFrame:
     """One amount per rep and month; gaps are interpolated between the rep's other months."""
-    return interpolate(parse_targets(raw).drop("missing"), ["rep_id"], "month_start", "target_amount")
+    return interpolate(parsed.drop("missing"), ["rep_id"], "month_start", "target_amount")
+
+
+def clean_targets(raw: DataFrame) -> DataFrame:
+    return fill_targets(parse_targets(raw))
+
+
+def sort_targets(targets: DataFrame) -> DataFrame:
+    """Total order by rep and month."""
+    return targets.orderBy("rep_id", "month_start", "target_amount")
 
 
 def flag_deliveries(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:

@@ -1,6 +1,6 @@
 """Data-quality log: one row per rule that changed something.
 
-Every table's rules are counted in a single aggregation over its flagged rows.
+Every table's rules are counted over its flagged rows: while these are written (:class:`Watch`), or in an aggregation.
 """
 
 from __future__ import annotations
@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # rule -> (issue, action); the rule is the stable code of a count made below.
@@ -41,6 +41,9 @@ DELIVERY_RULES = {
     "token_stockout_days": ("no stock-out days", "left empty"),
 }
 
+#: Rows set aside before cleaning, of any table.
+MALFORMED = {"malformed": ("row with more or fewer fields than the header", "set aside")}
+
 RULES = {
     "products": PRODUCT_RULES,
     "customers": CUSTOMER_RULES,
@@ -55,16 +58,19 @@ def _copies_dropped() -> Column:
     return F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))
 
 
+def _conflicts() -> Column:
+    keys = F.struct("customer_id", "rep_id")
+    pairs = F.count_distinct(F.when(F.col("customer_id").isNotNull() & F.col("rep_id").isNotNull(), keys))
+    return pairs - F.count_distinct(F.when(F.col("rep_id").isNotNull(), F.col("customer_id")))
+
+
 def _counts(table: str) -> dict[str, Column]:
     counts = {}
     for rule in RULES[table]:
         if rule == "duplicates":
             counts[rule] = _copies_dropped()
         elif rule == "conflicting_rep":
-            keys = F.struct("customer_id", "rep_id")
-            pairs = F.count_distinct(F.when(F.col("customer_id").isNotNull() & F.col("rep_id").isNotNull(), keys))
-            with_rep = F.count_distinct(F.when(F.col("rep_id").isNotNull(), F.col("customer_id")))
-            counts[rule] = pairs - with_rep
+            counts[rule] = _conflicts()
         elif rule == "undated":
             counts[rule] = F.count_if(F.col("order_date").isNull())
         elif table == "sales":
@@ -119,3 +125,64 @@ def quality_summary(flagged: Mapping[str, DataFrame]) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+class Watch:
+    """Counts each table's rules while its flagged rows are written, without a scan of their own.
+
+    ``watch(table, flagged)`` is the frame to write. The counts are taken in the stage that writes, where Spark counts a task
+    once however often it is tried; so there must be no shuffle between the frame and its sink.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+        self.more: dict[tuple[str, str], int] = {}
+
+    def __call__(self, table: str, flagged: DataFrame) -> DataFrame:
+        self._seen[table] = Observation()
+        # Distinct values cannot be counted along the way.
+        counts = {rule: c for rule, c in _counts(table).items() if rule != "conflicting_rep"}
+        before = F.sum("copies") if "copies" in flagged.columns else F.count(F.lit(1))
+        return flagged.observe(
+            self._seen[table],
+            F.coalesce(before, F.lit(0)).alias("rows_before"),
+            _table_rows(table).alias("table_rows"),
+            *[c.alias(rule) for rule, c in counts.items()],
+        )
+
+    def count(self, table: str, flagged: DataFrame) -> None:
+        """Count a table that is written nowhere."""
+        self(table, flagged).write.format("noop").mode("overwrite").save()
+
+    def conflicts(self, customers: DataFrame) -> None:
+        """Outlets with several reps, from the clean customers."""
+        self.more["customers", "conflicting_rep"] = customers.agg(_conflicts()).first()[0]
+
+    def rejects(self, rejected: DataFrame) -> None:
+        """Rows set aside: a frame with the column ``table``."""
+        for r in rejected.where(F.col("table").isin(list(RULES))).groupBy("table").count().collect():
+            self.more[r["table"], "malformed"] = r["count"]
+
+    def _got(self, table: str) -> dict[str, int]:
+        return self._seen[table].get
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        """The quality log of the tables written."""
+        rows = []
+        for table in (t for t in RULES if t in self._seen):
+            got = self._got(table)
+            for rule, (issue, action) in (MALFORMED | RULES[table]).items():
+                affected = got.get(rule, self.more.get((table, rule), 0))
+                if affected:
+                    rows.append((table, rule, issue, affected, action, got["table_rows"]))
+        return spark.createDataFrame(
+            rows, "table string, rule string, issue string, rows_affected long, action string, table_rows long"
+        )
+
+    def summary(self, spark: SparkSession) -> DataFrame:
+        """Rows of each table before and after cleaning; rows set aside count before."""
+        rows = []
+        for table in (t for t in RULES if t in self._seen):
+            got = self._got(table)
+            rows.append((table, got["rows_before"] + self.more.get((table, "malformed"), 0), got["table_rows"]))
+        return spark.createDataFrame(rows, "table string, rows_before long, rows_after long")

@@ -34,7 +34,8 @@ def get_spark(
     return builder.getOrCreate()
 
 
-def _file_system(spark: SparkSession, folder: str):
+def file_system(spark: SparkSession, folder: str):
+    """A path and the file system it is on."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -57,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def remove_at_exit(spark: SparkSession, folder: str) -> None:
     """Have Spark delete ``folder`` when the application ends; for results that are still to be read."""
-    path, files = _file_system(spark, folder)
+    path, files = file_system(spark, folder)
     files.mkdirs(path)  # only an existing path is remembered
     files.deleteOnExit(path)
 
@@ -83,7 +84,7 @@ class Staging:
 
     def drop(self) -> None:
         """Delete what this object wrote; for jobs whose results are stored elsewhere."""
-        path, files = _file_system(self.spark, self.root)
+        path, files = file_system(self.spark, self.root)
         files.delete(path, True)
 
 

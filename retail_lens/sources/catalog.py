@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retail_lens.sources.files import scan_csv
 from retail_lens.sources.schemas import CLEAN, QUALITY_LOG
+from retail_lens.sources.store import Store
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
@@ -25,8 +26,9 @@ def load_clean_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def load_clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Clean tables as the pipeline stores them; sales and deliveries carry their month folder."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in CLEAN}
+    """Clean tables as the pipeline published them last; sales and deliveries carry their month folder."""
+    store = Store(spark, folder)
+    return {name: store.read(name) for name in CLEAN}
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
@@ -43,16 +43,40 @@ def scan_csv(
     return scan_csv_text(spark, path, schema.names, multi_line).select(*[typed(f) for f in schema.fields])
 
 
-def malformed_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Number of rows with more or fewer fields than the header: malformed_rows."""
+#: What is kept of a row that has not as many fields as the header.
+REJECT = "file string, block long, text string, reason string"
+
+
+def scan_csv_checked(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """``scan_csv_text`` with a column ``reject``, null for a row with as many fields as the header.
+
+    For others it is a struct of the file, where the block that Spark read it in begins, the text and the reason, and the columns
+    are not to be used. The rows should be written once (``Staging``) before good and rejected ones go their ways.
+    """
     names = _scan(spark, path, multi_line).columns
-    wanted = text_schema(*names, CORRUPT)
-    rows = spark.read.schema(wanted).options(
-        **_QUOTES, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
+    rows = (
+        spark.read.schema(text_schema(*names, CORRUPT))
+        .options(**_QUOTES, multiLine=multi_line, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        .csv(path)
     )
-    # The length, never negative, has the scan parse the fields: the mark alone would not be computed.
+    bare = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
+    reason = F.concat(F.size(F.split(bare, ",")).cast("string"), F.lit(f" fields instead of {len(names)}"))
+    reject = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.col(CORRUPT).alias("text"),
+        reason.alias("reason"),
+    )
+    # Columns that nobody reads would not be parsed, and a row of wrong width not noticed: the length, never negative, reads all.
     parsed = F.length(F.concat_ws("", *[f"`{n}`" for n in names])) >= 0
-    return rows.csv(path).agg(F.count_if(F.col(CORRUPT).isNotNull() & parsed).alias("malformed_rows"))
+    return rows.select(*[F.col(f"`{c}`") for c in columns], F.when(F.col(CORRUPT).isNotNull() & parsed, reject).alias("reject"))
+
+
+def malformed_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Number of rows with more or fewer fields than the header: malformed_rows."""
+    names = _scan(spark, path, multi_line).columns
+    rows = scan_csv_checked(spark, path, names, multi_line)
+    return rows.agg(F.count_if(F.col("reject").isNotNull()).alias("malformed_rows"))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -67,23 +91,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_by_month(df: DataFrame, path: str, day: str = "order_date", order: Sequence[str] = ()) -> None:
+    """Replace the table at ``path``, one folder per month, in total order by day, ``order`` and the other columns.
 
-
-def write_by_month(df: DataFrame, path: str, day: str = "order_date", keep_other_months: bool = False) -> None:
-    """Replace the table at ``path``, one folder per month, ordered by day inside the files.
-
-    The rebalance hint gathers a month into few files and lets adaptive execution split
-    a month that is too large for one task. With ``keep_other_months`` only the months
-    present in ``df`` are replaced.
+    Read in the order of their names, folders and the files in them give the rows in that order: each task writes
+    one range of it. The other columns spread a day, or a key, too large for one task. The ranges are cut at
+    a sample, for which Spark computes the rows once more, so ``df`` should be staged.
     """
+    keys = [day, *order]
     (
         df.withColumn("month", F.trunc(day, "MM"))
-        .hint("rebalance", "month")
-        .sortWithinPartitions("month", day)
+        .orderBy("month", *keys, *[c for c in df.columns if c not in keys])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if keep_other_months else "static")
         .partitionBy("month")
         .parquet(path)
     )
+
+
+def file_borders(stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per file of a stored table, in name order: file, first, last, and whether it begins where the one before ended, or after."""
+    at = F.struct(*keys)
+    files = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    # One row per file.
+    before = F.lag("last").over(Window.orderBy("file"))
+    return files.withColumn("in_order", F.coalesce(F.col("first") >= before, F.lit(True)))

@@ -12,6 +12,7 @@ from retail_lens.plans import cleaning, pipeline, quality
 from retail_lens.plans.model import Focus
 from retail_lens.session import Staging, unstaged
 from retail_lens.sources.catalog import load_clean, load_clean_csv, register_views, row_counts
+from retail_lens.sources.store import Store
 from retail_lens.sources.files import malformed_rows, scan_csv_text, write_csv
 from retail_lens.sources.schemas import CLEAN, RAW
 
@@ -170,7 +171,7 @@ def test_end_to_end(spark, raw, tmp_path):
         "SELECT date_format(order_date, 'yyyy-MM') AS ym, SUM(revenue) AS revenue FROM fact_sales GROUP BY ym ORDER BY ym"
     ).collect()
     assert [r.ym for r in by_month] == ["2026-01", "2026-02"]
-    assert spark.read.parquet(f"{clean}/data_quality_log").where("table = 'sales'").count() == 10
+    assert Store(spark, clean).read("data_quality_log").where("table = 'sales'").count() == 10
 
     spec = PeriodSpec(Period.of("2026-02"), Period.of("2026-01"), Period.of("2026-03"))
     pipeline.analyse(spark, clean, out, spec, Focus("Ashanti", "Beverages"), date(2026, 2, 1))

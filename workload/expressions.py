@@ -250,3 +250,9 @@ def rep_texts(dialect: str) -> dict[str, str]:
 
 def select_list(columns: dict[str, str]) -> str:
     return ", ".join(f"{text} AS {name}" for name, text in columns.items())
+
+
+#: A line of a file with three columns, of which some have two fields or four.
+UNEVEN_COLUMNS = ["order_id", "mode", "part"]
+UNEVEN_LINE = """concat_ws(',', CAST(l_orderkey AS string), l_returnflag, CASE WHEN l_orderkey % 97 <> 0 THEN CAST(l_partkey AS string) END,
+    CASE WHEN l_orderkey % 89 = 0 AND l_orderkey % 97 <> 0 THEN 'left over' END)"""

@@ -415,7 +415,11 @@ WITH {PARSED_SALES}, {RAW_DELIVERIES_ONLY}
 SELECT 'sales' AS "table", (SELECT count(*) FROM raw_sales) AS rows_before, (SELECT count(*) FROM parsed) AS rows_after
 UNION ALL
 SELECT 'deliveries', (SELECT count(*) FROM raw_deliveries),
-       (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_deliveries))"""
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_deliveries))
+UNION ALL SELECT 'products', count(*), count(*) FROM part
+UNION ALL SELECT 'customers', count(*), count(*) FROM customer
+UNION ALL SELECT 'sales_reps', count(*), count(*) FROM supplier
+UNION ALL SELECT 'targets', count(*) * {x.TARGET_MONTHS}, count(*) * {x.TARGET_MONTHS} FROM supplier"""
 
 # ---- filters, labels, joins -------------------------------------------------------
 
@@ -961,3 +965,14 @@ SELECT region, rep_id, year, grouping(region) = 1 AS region_total, grouping(rep_
        grouping(year) = 1 AS year_total, {dbl("sum(revenue)")} AS revenue, {dbl("sum(target)")} AS target,
        {up(ratio("sum(revenue)", "sum(target)"), 4)} AS attainment
 FROM u {_BY_REP}"""
+
+# ---- storage ----------------------------------------------------------------------
+
+ORACLE["rejected_rows"] = f"""
+SELECT {x.UNEVEN_LINE} AS text,
+       CASE WHEN l_orderkey % 97 = 0 THEN '2 fields instead of 3' ELSE '4 fields instead of 3' END AS reason
+FROM lineitem WHERE l_orderkey % 97 = 0 OR l_orderkey % 89 = 0"""
+ORACLE["late_months_rollup"] = f"""
+WITH {SALES}
+SELECT region, strftime(date_trunc('month', order_date), '%Y-%m-%d') AS month, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units
+FROM sales WHERE order_id % 10 <> 0 OR order_date BETWEEN DATE '2000-01-01' AND DATE '2000-06-30' GROUP BY ALL"""

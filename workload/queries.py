@@ -25,12 +25,14 @@ from retail_lens.operators.interpolate import interpolate
 from retail_lens.operators.medians import attach_median
 from retail_lens.operators.repair import quantity_flag, repair_quantity, repair_sign
 from retail_lens.plans import attainment, cleaning, forecast, growth, inventory, measures, model, quality, supply
-from retail_lens.plans.model import keep_products, monthly
+from retail_lens.plans.model import keep_products, monthly, monthly_facts
+from retail_lens.plans.pipeline import MONTHLY
 from retail_lens.session import Staging
 from retail_lens.sources.catalog import register_views, row_counts
-from retail_lens.sources.files import scan_csv, scan_csv_text, write_csv
+from retail_lens.sources.files import scan_csv, scan_csv_checked, scan_csv_text, write_csv
 from retail_lens.sources.schemas import DAY, NUMBER, TEXT, schema
-from workload.expressions import QUOTED_NAME
+from retail_lens.sources.store import Store
+from workload.expressions import QUOTED_NAME, UNEVEN_COLUMNS, UNEVEN_LINE
 from workload.inputs import Inputs
 from workload.settings import CALENDAR, FOCUS, RULES, SHOCK, SPEC, YEAR
 
@@ -94,6 +96,16 @@ def csv_scan_typed(inp: Inputs) -> DataFrame:
     return scan_csv(inp.spark, path, schema(order_id=TEXT, order_date=DAY, amount=NUMBER))
 
 
+@query
+def rejected_rows(inp: Inputs) -> DataFrame:
+    """Rows of a file that have too few or too many fields."""
+    path = _scratch(inp, "lines.csv")
+    lines = inp.table("lineitem").select(F.expr(UNEVEN_LINE).alias(",".join(UNEVEN_COLUMNS)))
+    # A separator that does not occur: commas are written as they are, also the wrong ones.
+    lines.write.options(header=True, sep="\x01").csv(path)
+    return scan_csv_checked(inp.spark, path, UNEVEN_COLUMNS).where("reject is not null").select("reject.text", "reject.reason")
+
+
 @query
 def null_token_normalise(inp: Inputs) -> DataFrame:
     raw = dedupe.drop_exact_duplicates(inp.raw_deliveries())
@@ -308,28 +320,26 @@ def clean_reps(inp: Inputs) -> DataFrame:
 
 @query
 def quality_log(inp: Inputs) -> DataFrame:
-    stage = Staging(inp.spark)
-    customers = cleaning.flag_customers(inp.raw_customers(), RULES)
-    return quality.quality_log(
-        {
-            "products": cleaning.flag_products(inp.raw_products(), RULES),
-            "customers": customers,
-            "sales_reps": cleaning.flag_reps(inp.raw_reps(), RULES),
-            "sales": cleaning.mark_sales(inp.raw_sales(), RULES, stage),
-            "targets": cleaning.parse_targets(inp.raw_targets()),
-            "deliveries": cleaning.flag_deliveries(inp.raw_deliveries(), RULES),
-        }
-    )
+    watch = _watched(inp)
+    watch.conflicts(cleaning.clean_customers(inp.raw_customers(), RULES))
+    return watch.log(inp.spark)
+
+
+def _watched(inp: Inputs, sales: Callable[..., DataFrame] = cleaning.mark_sales) -> quality.Watch:
+    """Counts of all six tables, taken as their flagged rows are written."""
+    watch = quality.Watch()
+    watch.count("products", cleaning.flag_products(inp.raw_products(), RULES))
+    watch.count("customers", cleaning.flag_customers(inp.raw_customers(), RULES))
+    watch.count("sales_reps", cleaning.flag_reps(inp.raw_reps(), RULES))
+    watch.count("sales", sales(inp.raw_sales(), RULES, Staging(inp.spark)))
+    watch.count("targets", cleaning.parse_targets(inp.raw_targets()))
+    watch.count("deliveries", cleaning.flag_deliveries(inp.raw_deliveries(), RULES))
+    return watch
 
 
 @query
 def quality_summary(inp: Inputs) -> DataFrame:
-    return quality.quality_summary(
-        {
-            "sales": cleaning.parse_sales(inp.raw_sales(), RULES),
-            "deliveries": cleaning.flag_deliveries(inp.raw_deliveries(), RULES),
-        }
-    )
+    return _watched(inp).summary(inp.spark)
 
 
 # ---- filters, labels, joins -------------------------------------------------------
@@ -422,7 +432,24 @@ def region_yoy_detail(inp: Inputs) -> DataFrame:
 
 @query
 def growth_gap(inp: Inputs) -> DataFrame:
-    return growth.growth_gap(inp.sales(), inp.products(), SPEC)
+    """From the stored monthly roll-up."""
+    run = Store(inp.spark, _scratch(inp, "clean")).start()
+    run.write_months(monthly_facts(inp.sales()), MONTHLY)
+    run.publish()
+    return growth.growth_gap(run.store.read(MONTHLY), inp.products(), SPEC)
+
+
+@query
+def late_months_rollup(inp: Inputs) -> DataFrame:
+    """A roll-up of which half a year is rewritten after late orders came; the other months stay as stored."""
+    store = Store(inp.spark, _scratch(inp, "clean"))
+    run = store.start()
+    run.write_months(monthly_facts(inp.sales().where(F.col("order_id") % 10 != 0)), MONTHLY)
+    run.publish()
+    run = store.start()
+    run.write_months(monthly_facts(during(inp.sales(), [SPEC.trend])), MONTHLY, months=SPEC.trend.months())
+    run.publish()
+    return monthly(store.read(MONTHLY), ["region"])
 
 
 @query
