@@ -80,17 +80,17 @@ class _Stream:
         return vocabulary, a[word], b[word], np.where(b == 0, 0, c)[word]
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+def _lots(batches: Iterator[pa.RecordBatch], lot: int) -> Iterator[tuple]:
     """(language, vocabulary, words, next words, words after these) lot by lot."""
     streams: dict[str, _Stream] = {}
     held = 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
             stream = streams.setdefault(lang, _Stream())
-            for part in _slices(text.as_py(), LOT_BYTES):
+            for part in _slices(text.as_py(), lot):
                 stream.take(part)
                 held += len(part)
-                if held >= LOT_BYTES:
+                if held >= lot:
                     fullest = max(streams, key=lambda s: streams[s].size)
                     held -= streams[fullest].size
                     yield (fullest, *streams[fullest].lot(False))
@@ -156,15 +156,15 @@ def _merged(stripes: DataFrame, words: list[str], least: int) -> DataFrame:
     return summed.groupBy(*key).agg(F.sum("n").alias("total"), F.collect_list(kept).alias("entries"))
 
 
-def _first_round(texts: DataFrame, hot: set) -> DataFrame:
+def _first_round(texts: DataFrame, hot: set, lot: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, vocabulary, a, b, _ in _lots(batches):
+        for lang, vocabulary, a, b, _ in _lots(batches, lot):
             yield from _stripes(lang, vocabulary, [a], b, hot)
 
     return texts.mapInArrow(count, "lang string, w1 string, segment int, words array<string>, counts array<long>")
 
 
-def _second_round(texts: DataFrame, hot: set, bitmap, places: int) -> DataFrame:
+def _second_round(texts: DataFrame, hot: set, bitmap, places: int, lot: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint8)
 
@@ -172,7 +172,7 @@ def _second_round(texts: DataFrame, hot: set, bitmap, places: int) -> DataFrame:
             at = _places(lang, first, second, places)
             return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-        for lang, vocabulary, a, b, c in _lots(batches):
+        for lang, vocabulary, a, b, c in _lots(batches, lot):
             code = _hashes(vocabulary)
             three = c != 0
             a, b, c = a[three], b[three], c[three]
@@ -200,10 +200,10 @@ def _bitmap(pairs: DataFrame, places: int) -> bytes:
     return bytes(bits)
 
 
-def _common_words(texts: DataFrame) -> set:
+def _common_words(texts: DataFrame, lot: int) -> set:
     """(language, word) of words with more than a share of the words in a sample of texts; at most HOT_SHARE."""
     fraction = min(1.0, SAMPLE / max(1, texts.count()))
-    counted = _first_round(texts.sample(False, fraction, seed=7), set()).select("lang", "w1", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
+    counted = _first_round(texts.sample(False, fraction, seed=7), set(), lot).select("lang", "w1", F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("n"))
     sums = counted.groupBy("lang", "w1").agg(F.sum("n").alias("n"))
     return {(r.lang, r.w1) for r in _above(sums, "n").collect()}
 
@@ -220,7 +220,7 @@ def _score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", wide[0] * wide[0] * F.lit(1_000_000).cast("decimal(7,0)"), wide[1] * wide[2])
 
 
-def collocations(docs: DataFrame, least: int = 10, covered: int = 50, top: int = 2000, places: int = PLACES) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 10, covered: int = 50, top: int = 2000, places: int = PLACES, lot: int = LOT_BYTES) -> DataFrame:
     """Each language's ``top`` phrases: lang, rank, phrase, a, l, r, n, score.
 
     a, l and r count the phrase and the parts of its lowest-scoring cut (of equal ones the first), n all words of the
@@ -231,12 +231,12 @@ def collocations(docs: DataFrame, least: int = 10, covered: int = 50, top: int =
     spark = docs.sparkSession
     stage = staging(spark)
     texts = _texts(docs)
-    ones = stage(_merged(_first_round(texts, _common_words(texts)), ["w1"], least), "stripes_1")
+    ones = stage(_merged(_first_round(texts, _common_words(texts, lot), lot), ["w1"], least), "stripes_1")
     words = stage(ones.groupBy("lang", "w1").agg(F.sum("total").alias("f")), "words")
     pairs = stage(ones.select("lang", "w1", F.explode("entries").alias("e")).select("lang", "w1", F.col("e.word").alias("w2"), F.col("e.n").alias("a")), "pairs")
     hot = {(r.lang, r.w1, r.w2) for r in _above(pairs, "a").collect()}
     bitmap = spark.sparkContext.broadcast(_bitmap(pairs, places))
-    twos = _merged(_second_round(texts, hot, bitmap, places), ["w1", "w2"], least).filter(F.size("entries") > 0)
+    twos = _merged(_second_round(texts, hot, bitmap, places, lot), ["w1", "w2"], least).filter(F.size("entries") > 0)
     triples = stage(twos.select("lang", "w1", "w2", F.explode("entries").alias("e")).select("lang", "w1", "w2", F.col("e.word").alias("w3"), F.col("e.n").alias("a")), "triples")
 
     # Subsumption: the most frequent phrase that continues a pair, or that the pair ends.
