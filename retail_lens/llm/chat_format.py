@@ -15,7 +15,8 @@ import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ class Template:
             if not re.fullmatch(r"[<\[][^<\[\\]+", control):
                 raise ValueError(f"{control!r} must begin with < or [ and have neither these nor a backslash further on")
 
-    @property
+    @cached_property
     def pattern(self) -> re.Pattern:
         rest = "|".join(sorted((re.escape(c[1:]) for c in {START, SEPARATOR, END, *self.foreign}), key=len, reverse=True))
         return re.compile(rf"([<\[])(\\*)(?={rest})")
@@ -121,8 +122,9 @@ def format_chats(rows: DataFrame, tokenizer: str, template: Template = Template(
             for b in cv.blocks(batches, most_rows, most_chars):
                 formatted, spans = template.render(b.roles, b.texts)
                 encoded = coder.encode(formatted, add_special_tokens=False)
-                starts, ends = np.array(encoded.offsets, np.int32).reshape(-1, 2).T
-                yield (b.conv, part, b.no, b.whole, formatted, np.array(encoded.ids, np.int32), starts, ends, mask(starts, ends, spans))
+                ids = np.array(encoded.ids, np.int32)
+                starts, ends = np.fromiter(chain.from_iterable(encoded.offsets), np.int32, 2 * len(ids)).reshape(-1, 2).T
+                yield (b.conv, part, b.no, b.whole, formatted, ids, starts, ends, mask(starts, ends, spans))
 
         yield from cv.in_batches(out(), schema, lambda row: len(row[4]) + 100, cv.BLOCK_CHARS)
 
