@@ -56,6 +56,17 @@ def parse_dates(col: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*[_parse_one(text, fmt) for fmt in formats])
 
 
+def dated_rows(df: DataFrame, column: str, formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
+    """Rows whose ``column`` can be read as a date, which replaces the text.
+
+    The date is handed on as the one element of an array: a filter on a plain projection would be moved below it, and
+    the text parsed twice.
+    """
+    others = [c for c in df.columns if c != column]
+    once = F.explode(F.array(parse_dates(F.col(column), formats))).alias(column)
+    return df.select(*others, once).where(F.col(column).isNotNull()).select(*df.columns)
+
+
 def parse_month_start(col: Column, formats: Sequence[str] = MONTH_FORMATS) -> Column:
     """Month text to the first day of that month."""
     return F.trunc(parse_dates(col, formats), "MM")

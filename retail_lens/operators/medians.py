@@ -10,20 +10,37 @@ from pyspark.sql import functions as F
 from retail_lens.functions.ordering import bucketed
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """How often each value occurs in each group: keys, value, times. Missing values and null keys are left out.
+
+    Such counts can be stored: those of more rows are added by ``merge_counts``.
+    """
+    known = df.select(*keys, F.col(value).cast("double").alias("value"))
+    for key in keys:
+        known = known.where(F.col(key).isNotNull())
+    known = known.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return known.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("times"))
+
+
+def merge_counts(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per keys and value from counts of several lots of rows."""
+    return counts.groupBy(*keys, "value").agg(F.sum("times").alias("times"))
+
+
 def group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Median of ``value`` per ``keys``; missing values and null keys are left out.
+    """Median of ``value`` per ``keys``; missing values and null keys are left out."""
+    return median_of_counts(value_counts(df, keys, value), keys, name)
+
 
-    Rows shrink to (keys, value, count) by a combining aggregation first. The middle
-    rank is then looked up twice: among the buckets of a group, cut at approximate quantiles of
+def median_of_counts(counts: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:
+    """Median per ``keys`` from the rows of ``value_counts``.
+
+    The middle rank is looked up twice: among the buckets of a group, cut at approximate quantiles of
     its distinct values, and among the values of the bucket found. So a sort holds a small
     part of the distinct values of a large group.
     """
     keys = list(keys)
-    known = df.select(*keys, F.col(value).cast("double").alias("_v"))
-    for key in keys:
-        known = known.where(F.col(key).isNotNull())
-    known = known.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(*keys, F.col("value").alias("_v"), F.col("times").alias("_n"))
     # Spelled out because the join below implies it for one of its sides: with equal
     # filters on both, the counts are shuffled once and reused.
     counts = bucketed(counts, keys, "_v").where(F.col("_bucket").isNotNull())

@@ -107,6 +107,12 @@ class Run:
         self.tables[table] = {self.id: None}
         self.schemas[table] = df.schema.jsonValue()
 
+    def append(self, df: DataFrame, table: str) -> None:
+        """More rows for a table that is not stored by month; those published before stay."""
+        df.write.parquet(self._folder(table))
+        self.tables[table] = self.before["tables"].get(table, {}) | {self.id: None}
+        self.schemas[table] = df.schema.jsonValue()
+
     def write_months(
         self, df: DataFrame, table: str, day: str = "order_date", order: Sequence[str] = (), months: Sequence[date] | None = None
     ) -> None:

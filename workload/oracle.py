@@ -976,3 +976,39 @@ ORACLE["late_months_rollup"] = f"""
 WITH {SALES}
 SELECT region, strftime(date_trunc('month', order_date), '%Y-%m-%d') AS month, {dbl("sum(revenue)")} AS revenue, sum(quantity) AS units
 FROM sales WHERE order_id % 10 <> 0 OR order_date BETWEEN DATE '2000-01-01' AND DATE '2000-06-30' GROUP BY ALL"""
+
+# ---- data that keeps coming, long maps, long series -------------------------------
+
+ORACLE["median_after_delivery"] = f"""
+WITH {PARSED_SALES}
+SELECT sku, channel, usual AS median FROM usual WHERE sku IS NOT NULL AND channel IS NOT NULL AND usual IS NOT NULL"""
+ORACLE["repairs_after_delivery"] = f"""
+WITH {PARSED_SALES},
+first_lines AS (SELECT order_id, sku, channel, quantity FROM parsed WHERE order_id NOT LIKE '%7'),
+then_usual AS (SELECT sku, channel, median(quantity) AS then_usual FROM first_lines GROUP BY ALL)
+SELECT order_id, sku, channel, quantity, {_REPAIRED} AS repaired, {_FLAG} AS qty_flag
+FROM first_lines JOIN usual USING (sku, channel) LEFT JOIN then_usual USING (sku, channel)
+WHERE ({_REPAIRED}) IS DISTINCT FROM ({_REPAIRED.replace("usual", "then_usual")})
+   OR ({_FLAG}) IS DISTINCT FROM ({_FLAG.replace("usual", "then_usual")})"""
+ORACLE["duplicates_by_digest"] = f"""
+WITH {RAW_SALES} SELECT {all_present(x.sales_texts("duckdb"))}, count(*) AS copies FROM raw_sales GROUP BY ALL"""
+ORACLE["standardise_by_index"] = """
+WITH names AS (SELECT p_partkey, p_name || ' No ' || p_partkey AS name FROM part)
+SELECT p_partkey, name, 'label ' || (max(i) % 1000) AS label
+FROM names JOIN range(20000) r(i) ON contains(name, CAST(i AS VARCHAR)) GROUP BY ALL"""
+ORACLE["interpolate_long_series"] = f"""
+WITH {REP_MONTHS},
+gappy AS (
+  SELECT s_suppkey * 1000 + idx - CASE WHEN {x.TARGET_AGAIN} THEN 1 ELSE 0 END AS place,
+         CASE WHEN {x.TARGET_GAP} THEN NULL ELSE {dbl(x.TARGET)} END AS target_amount
+  FROM rep_months WHERE NOT ({x.TARGET_NOBODY}) AND NOT ({x.TARGET_UNDATED})
+),
+one AS (SELECT 1 AS rep_id, place AS month_start, max(target_amount) AS target_amount FROM gappy GROUP BY place), {interpolated("one")}
+SELECT CAST(month_start AS BIGINT) AS place, {up("target_amount", 4)} AS target_amount FROM filled"""
+ORACLE["daily_series"] = f"""
+WITH {SALES},
+d AS (SELECT region, order_date, sum(revenue) AS revenue FROM sales GROUP BY ALL)
+SELECT region, {iso("order_date")} AS order_date, {dbl("revenue")} AS revenue,
+       {dbl("lag(revenue) OVER w")} AS day_before, {dbl("lag(revenue, 7) OVER w")} AS week_before,
+       {dbl("sum(revenue) OVER (PARTITION BY region ORDER BY order_date)")} AS so_far
+FROM d WINDOW w AS (PARTITION BY region ORDER BY order_date)"""

@@ -13,6 +13,7 @@ from retail_lens.functions.months import during, iso_text, month_start, shift_mo
 from retail_lens.functions.numbers import round_up
 from retail_lens.functions.text import (
     blank_to_null,
+    dated_rows,
     is_missing_token,
     normalise_key,
     null_missing,
@@ -22,9 +23,12 @@ from retail_lens.functions.text import (
 )
 from retail_lens.operators import dedupe, repair
 from retail_lens.operators.interpolate import interpolate
+from retail_lens.operators.labels import indexed_labels
 from retail_lens.operators.medians import attach_median
 from retail_lens.operators.repair import quantity_flag, repair_quantity, repair_sign
+from retail_lens.operators.series import interpolate_series, lag_series, running_series
 from retail_lens.plans import attainment, cleaning, forecast, growth, inventory, measures, model, quality, supply
+from retail_lens.plans.maintained import MaintainedMedian, changed_repairs
 from retail_lens.plans.model import keep_products, monthly, monthly_facts
 from retail_lens.plans.pipeline import MONTHLY
 from retail_lens.session import Staging
@@ -34,7 +38,7 @@ from retail_lens.sources.schemas import DAY, NUMBER, TEXT, schema
 from retail_lens.sources.store import Store
 from workload.expressions import QUOTED_NAME, UNEVEN_COLUMNS, UNEVEN_LINE
 from workload.inputs import Inputs
-from workload.settings import CALENDAR, FOCUS, RULES, SHOCK, SPEC, YEAR
+from workload.settings import CALENDAR, FOCUS, LONG_LABELS, RULES, SHOCK, SPEC, YEAR
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -217,8 +221,7 @@ def drop_exact_duplicates(inp: Inputs) -> DataFrame:
 
 @query
 def drop_invalid_dates(inp: Inputs) -> DataFrame:
-    dated = inp.raw_lines().select("order_id", parse_dates(F.col("order_date")).alias("order_date"))
-    return dated.where(F.col("order_date").isNotNull())
+    return dated_rows(inp.raw_lines().select("order_id", "order_date"), "order_date")
 
 
 def _parsed_sales(inp: Inputs, stage: Staging) -> DataFrame:
@@ -737,3 +740,66 @@ def attainment_subtotals(inp: Inputs) -> DataFrame:
 @query
 def attainment_subtotals_by_rep(inp: Inputs) -> DataFrame:
     return rounded(measures.attainment(inp.full_star(), ["region", "rep_id", "year"], totals=True), "attainment")
+
+
+# ---- data that keeps coming, long maps, long series -------------------------------
+
+
+def _deliver(inp: Inputs) -> tuple[Store, MaintainedMedian, DataFrame, DataFrame]:
+    """Sales in two deliveries, with the medians kept up to date: store, medians, first lines, changed groups."""
+    stage = Staging(inp.spark)
+    lines = _parsed_sales(inp, stage).select("order_id", "sku", "channel", "quantity")
+    late = F.col("order_id").endswith("7")
+    store = Store(inp.spark, _scratch(inp, "clean"))
+    usual = MaintainedMedian("usual_quantity", ("sku", "channel"), "quantity")
+    run = store.start()
+    usual.add(run, lines.where(~late))
+    run.publish()
+    run = store.start()
+    changes = usual.add(run, lines.where(late))
+    run.publish()
+    return store, usual, lines.where(~late), changes
+
+
+@query
+def median_after_delivery(inp: Inputs) -> DataFrame:
+    store, usual, _, _ = _deliver(inp)
+    return usual.medians(store)
+
+
+@query
+def repairs_after_delivery(inp: Inputs) -> DataFrame:
+    """First lines whose repair is another since the second delivery."""
+    _, _, lines, changes = _deliver(inp)
+    return changed_repairs(lines, changes, ["sku", "channel"], "quantity")
+
+
+@query
+def duplicates_by_digest(inp: Inputs) -> DataFrame:
+    stage = Staging(inp.spark)
+    return dedupe.collapse_by_digest(stage(null_missing(inp.raw_sales()), "raw_sales"), stage=stage)
+
+
+@query
+def standardise_by_index(inp: Inputs) -> DataFrame:
+    """The label of each part's name and number from a map of 20,000 keys."""
+    parts = inp.table("part").select("p_partkey", F.concat_ws(" No ", "p_name", "p_partkey").alias("name"))
+    return indexed_labels(parts, "name", LONG_LABELS, "label", stage=Staging(inp.spark))
+
+
+@query
+def interpolate_long_series(inp: Inputs) -> DataFrame:
+    """Targets of all reps as one series, longer than one window should hold."""
+    gappy = inp.gappy_targets().where("month_start is not null and rep_id is not null")
+    series = gappy.select((F.col("rep_id") * 1000 + F.months_between("month_start", F.lit("1999-01-01").cast("date"))).cast("long").alias("place"), "target_amount")
+    once = series.groupBy("place").agg(F.max("target_amount").alias("target_amount"))
+    return rounded(interpolate_series(once, [], "place", "target_amount", Staging(inp.spark)), "target_amount")
+
+
+@query
+def daily_series(inp: Inputs) -> DataFrame:
+    """Revenue per region and selling day, the one before, the one seven before, and the revenue up to then."""
+    stage = Staging(inp.spark)
+    days = inp.sales().groupBy("region", "order_date").agg(F.sum("revenue").alias("revenue"))
+    days = lag_series(days, ["region"], "order_date", "revenue", {"day_before": 1, "week_before": 7}, stage)
+    return running_series(days, ["region"], "order_date", {"so_far": "revenue"}, stage)

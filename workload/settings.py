@@ -35,3 +35,6 @@ RULES = CleaningRules(
         "machinery": "MACHINERY",
     },
 )
+
+#: A map too long for a condition per label: the digits of a number, as they are counted.
+LONG_LABELS = {str(i): f"label {i % 1000}" for i in range(20_000)}
