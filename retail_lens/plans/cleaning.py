@@ -21,8 +21,9 @@ from retail_lens.functions.text import (
     title_case,
     to_number,
 )
-from retail_lens.operators.dedupe import collapse_copies
+from retail_lens.operators.dedupe import collapse_by_digest, collapse_copies
 from retail_lens.operators.interpolate import interpolate
+from retail_lens.operators.labels import with_label
 from retail_lens.operators.medians import group_median
 from retail_lens.operators.repair import (
     is_outlier,
@@ -67,6 +68,16 @@ class CleaningRules:
     def channel(self, col: Column) -> Column:
         return match_label(col, self.channels, squeeze=True)
 
+    def labelled(
+        self, df: DataFrame, stage: Stage = unstaged, region: str | None = None, channel: str | None = None
+    ) -> DataFrame:
+        """Add ``_region`` and ``_channel``, the labels of the columns named, however long the maps are."""
+        if region:
+            df = with_label(df, region, self.regions, "_region", stage=stage)
+        if channel:
+            df = with_label(df, channel, self.channels, "_channel", squeeze=True, stage=stage)
+        return df
+
     @classmethod
     def from_json(cls, spark: SparkSession, path: str) -> CleaningRules:
         """Rules with the label maps of a JSON file, wherever Spark can read it; a map left out keeps its default."""
@@ -100,10 +111,12 @@ def flag_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Dat
     )
 
 
-def flag_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    raw = null_missing(raw)
+def flag_customers(
+    raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged
+) -> DataFrame:
+    raw = rules.labelled(null_missing(raw), stage, region="region", channel="channel")
     key, name = normalise_key(F.col("customer_id")), title_case(F.col("outlet_name"))
-    region, channel = rules.region(F.col("region")), rules.channel(F.col("channel"))
+    region, channel = F.col("_region"), F.col("_channel")
     changed = (
         _differs(key, "customer_id")
         | _differs(name, "outlet_name")
@@ -121,9 +134,9 @@ def flag_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
     )
 
 
-def flag_reps(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    raw = null_missing(raw)
-    name, region = title_case(F.col("rep_name")), rules.region(F.col("region"))
+def flag_reps(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged) -> DataFrame:
+    raw = rules.labelled(null_missing(raw), stage, region="region")
+    name, region = title_case(F.col("rep_name")), F.col("_region")
     hired = parse_dates(F.col("hire_date"))
     changed = _differs(name, "rep_name") | _differs(region, "region") | _differs(hired, "hire_date")
     return raw.select(
@@ -148,10 +161,21 @@ def clean_reps(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFr
     return flag_reps(raw, rules).drop("changed", "unknown_label")
 
 
-def parse_sales(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Distinct raw sales lines with typed columns and ``copies``; nothing is repaired yet."""
-    region, channel = rules.region(F.col("outlet_region")), rules.channel(F.col("channel"))
-    return collapse_copies(null_missing(raw)).select(
+def _distinct(raw: DataFrame, stage: Stage, stored: bool) -> DataFrame:
+    """Distinct rows with ``copies``; of a stored table, in which missing texts are null already, by their digests."""
+    return collapse_by_digest(raw, stage=stage) if stored else collapse_copies(null_missing(raw))
+
+
+def parse_sales(
+    raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged, stored: bool = False
+) -> DataFrame:
+    """Distinct raw sales lines with typed columns and ``copies``; nothing is repaired yet.
+
+    ``stored`` says that ``raw`` is a table written by ``read_raw``, cheap to read several times.
+    """
+    raw = rules.labelled(_distinct(raw, stage, stored), stage, region="outlet_region", channel="channel")
+    region, channel = F.col("_region"), F.col("_channel")
+    return raw.select(
         "order_id",
         parse_dates(F.col("order_date")).alias("order_date"),
         normalise_key(F.col("customer_id")).alias("customer_id"),
@@ -168,14 +192,16 @@ def parse_sales(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
     )
 
 
-def mark_sales(raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged) -> DataFrame:
+def mark_sales(
+    raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged, stored: bool = False
+) -> DataFrame:
     """Sales lines with repaired quantity and one mark per rule; undated lines are still present.
 
     Prices and reps are not filled yet: no mark depends on that. With a real ``stage`` the
     de-duplicated lines are shuffled and written once, and the medians come back as a scan
     of known size. Lines without a date, product or channel have no median and go past the join.
     """
-    parsed = stage(parse_sales(raw, rules), "sales_parsed").withColumns(
+    parsed = stage(parse_sales(raw, rules, stage, stored), "sales_parsed").withColumns(
         {"quantity": repair_sign(F.col("signed_quantity")), "month": month_start(F.col("order_date"))}
     )
     dated = parsed.where(F.col("order_date").isNotNull())
@@ -276,13 +302,15 @@ def sort_targets(targets: DataFrame) -> DataFrame:
     return targets.orderBy("rep_id", "month_start", "target_amount")
 
 
-def flag_deliveries(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+def flag_deliveries(
+    raw: DataFrame, rules: CleaningRules = CleaningRules(), stage: Stage = unstaged, stored: bool = False
+) -> DataFrame:
     """Clean delivery columns, ``copies``, and per measure whether it is missing or its text says so."""
-    region = rules.region(F.col("region"))
+    region = F.col("_region")
     ordered, delivered = to_number(F.col("qty_ordered")), to_number(F.col("qty_delivered"))
     placed, arrived = parse_dates(F.col("order_date")), parse_dates(F.col("delivery_date"))
     measures = ["qty_ordered", "qty_delivered", "stockout_days"]
-    return collapse_copies(null_missing(raw)).select(
+    return rules.labelled(_distinct(raw, stage, stored), stage, region="region").select(
         "delivery_id",
         normalise_key(F.col("sku")).alias("sku"),
         region.alias("region"),

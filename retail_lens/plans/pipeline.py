@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_lens.functions.months import Period, PeriodSpec, add_to_month
+from retail_lens.functions.text import null_missing
 from retail_lens.plans import attainment, cleaning, forecast, growth, inventory, quality, supply
 from retail_lens.plans.cleaning import CleaningRules, Stage
 from retail_lens.plans.model import Focus, monthly_facts
@@ -31,13 +32,14 @@ LOGGED = dict(zip(RAW, ("sales", "products", "customers", "sales_reps", "targets
 def read_raw(
     spark: SparkSession, folder: str, multi_line: bool = False, stage: Stage = unstaged
 ) -> dict[str, DataFrame]:
-    """The raw tables and, as ``rejected_rows``, what was no row of theirs. With a real ``stage`` each file is parsed once.
+    """The raw tables, missing texts null, and, as ``rejected_rows``, what was no row of theirs. With a real ``stage`` each file is parsed once.
 
     ``multi_line`` has one task read a whole file.
     """
     tables, rejected = {}, []
     for name, schema in RAW.items():
-        rows = stage(scan_csv_checked(spark, f"{folder}/{name}.csv", schema.names, multi_line), name)
+        rows = scan_csv_checked(spark, f"{folder}/{name}.csv", schema.names, multi_line)
+        rows = stage(null_missing(rows), name)
         tables[name] = rows.where("reject is null").drop("reject")
         rejected.append(rows.where("reject is not null").select(F.lit(LOGGED[name]).alias("table"), "reject.*"))
     return tables | {REJECTED: reduce(DataFrame.unionByName, rejected)}
@@ -54,7 +56,7 @@ def clean_folder(
     """Raw CSV files to published clean tables; see ``clean_all``."""
     stage = Staging(spark)
     try:
-        clean_all(spark, read_raw(spark, raw, multi_line, stage), folder, rules, months)
+        clean_all(spark, read_raw(spark, raw, multi_line, stage), folder, rules, months, stored=True)
     finally:
         stage.drop()
 
@@ -65,28 +67,32 @@ def clean_all(
     folder: str,
     rules: CleaningRules = CleaningRules(),
     months: Sequence[date] | None = None,
+    stored: bool = False,
 ) -> None:
     """Write the clean tables, the monthly roll-up, the quality log, the summary and the rejected rows, and publish them together.
 
     Until the end readers see the tables of the run before, also if this one fails. With ``months`` only these months
     of the sales, the deliveries and the roll-up are written, the others stay as published: for data that came late. Facts are
-    in total order: sales and deliveries by day and id, targets by rep and month. Rules are counted while the flagged rows are
+    in total order: sales and deliveries by day and id, targets by rep and month. ``stored`` raw tables, those of a staged
+    ``read_raw``, are searched for copies by digest. Rules are counted while the flagged rows are
     written; the sales log is counted from the marked lines, before prices and reps are filled.
     """
     stage, watch, run = Staging(spark), quality.Watch(), Store(spark, folder).start()
     marks = ["changed", "unknown_label"]
     try:
         run.write(watch("products", cleaning.flag_products(raw["products_raw"], rules)).drop(*marks), "dim_products")
-        run.write(watch("customers", cleaning.flag_customers(raw["customers_raw"], rules)).drop(*marks), "dim_customers")
-        run.write(watch("sales_reps", cleaning.flag_reps(raw["sales_reps_raw"], rules)).drop(*marks), "dim_reps")
+        run.write(watch("customers", cleaning.flag_customers(raw["customers_raw"], rules, stage)).drop(*marks), "dim_customers")
+        run.write(watch("sales_reps", cleaning.flag_reps(raw["sales_reps_raw"], rules, stage)).drop(*marks), "dim_reps")
         customers = run.read("dim_customers")
         watch.conflicts(customers)
 
         targets = stage(watch("targets", cleaning.parse_targets(raw["sales_targets_raw"])), "targets")
         run.write(cleaning.sort_targets(cleaning.fill_targets(targets)), "fact_targets")
-        deliveries = stage(watch("deliveries", cleaning.flag_deliveries(raw["deliveries_raw"], rules)), "deliveries")
+        deliveries = cleaning.flag_deliveries(raw["deliveries_raw"], rules, stage, stored)
+        deliveries = stage(watch("deliveries", deliveries), "deliveries")
         run.write_months(cleaning.finish_deliveries(deliveries), "fact_deliveries", order=["delivery_id"], months=months)
-        marked = stage(watch("sales", cleaning.mark_sales(raw["sales_transactions_raw"], rules, stage)), "sales_marked")
+        marked = cleaning.mark_sales(raw["sales_transactions_raw"], rules, stage, stored)
+        marked = stage(watch("sales", marked), "sales_marked")
         sales = stage(cleaning.finish_sales(cleaning.repair_sales(marked, customers, stage)), "sales")
         run.write_months(sales, "fact_sales", order=["order_id"], months=months)
         roll_up_months(run, months)

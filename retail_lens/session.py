@@ -17,6 +17,10 @@ def get_spark(
     time, also where the split costs one more exchange downstream. It merges small
     partitions but does not split those of an aggregation, so for very large inputs
     ``partitions``, the number it starts from, should be about the input size over 256 MB.
+
+    The JVM never compiles a method of more than 8,000 bytes, and a stage fused into one such method is
+    interpreted row by row, several times slower than the same stage in pieces. With the limit below Spark does
+    not fuse such stages; cleaning text in many columns makes them.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -24,6 +28,7 @@ def get_spark(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

@@ -149,7 +149,7 @@ def test_two_runs_at_once(spark, tmp_path):
         store.read("unknown")
 
 
-def test_a_late_month_rewrites_its_folder_alone(spark, tmp_path):
+def test_a_late_month_rewrites_its_folder_alone(spark, published, tmp_path):
     raw, clean = write_raw(tmp_path / "raw", sales=[r for r in SALES if not r[0].endswith("7")]), str(tmp_path / "clean")
     pipeline.clean_folder(spark, raw, clean)
     store = Store(spark, clean)
@@ -166,11 +166,20 @@ def test_a_late_month_rewrites_its_folder_alone(spark, tmp_path):
     assert late.where("month = DATE '2026-02-01'").count() == sum(r[1].startswith("2026-02") for r in SALES)
     # The roll-up refreshed for one month equals one made anew.
     assert rows(store.read("monthly_sales").drop("month")) == rows(monthly_facts(late))
-    whole = str(tmp_path / "whole")
-    pipeline.clean_folder(spark, raw, whole)
     february = F.col("month") == date(2026, 2, 1)
-    assert rows(late.where(february)) == rows(Store(spark, whole).read("fact_sales").where(february))
+    assert rows(late.where(february)) == rows(published.read("fact_sales").where(february))
     # A month that lost all its rows is gone.
-    write_raw(tmp_path / "raw", sales=[r for r in SALES if not r[1].startswith("2026-02")])
-    pipeline.clean_folder(spark, raw, clean, months=[date(2026, 2, 1)])
+    run = store.start()
+    run.write_months(late.drop("month").where("false"), "fact_sales", months=[date(2026, 2, 1)])
+    pipeline.roll_up_months(run, [date(2026, 2, 1)])
+    run.publish()
     assert store.read("fact_sales").where(february).isEmpty() and store.read("monthly_sales").where(february).isEmpty()
+    assert rows(store.read("fact_sales")) == old
+
+
+def test_a_long_label_map_cleans_like_a_short_one(spark, tmp_path):
+    more = {f"no such place {i}": "x" for i in range(200)}
+    rules = cleaning.CleaningRules(regions=more | cleaning.REGION_LABELS, channels=more | cleaning.CHANNEL_LABELS)
+    raw = pipeline.read_raw(spark, write_raw(tmp_path / "raw"))
+    for flag, table in ((cleaning.flag_customers, "customers_raw"), (cleaning.parse_sales, "sales_transactions_raw"), (cleaning.flag_deliveries, "deliveries_raw")):
+        assert rows(flag(raw[table], rules)) == rows(flag(raw[table]))
