@@ -74,6 +74,8 @@ class Automaton:
             self._gadget(rank, ids[left], ids[right], ids[left + right])
         self.arcs = Recent(cache_size)
         self.words = Recent(cache_size)
+        #: Stretch -> number of its ids, the ids in decimal, the arc labels joined.
+        self.shown = Recent(cache_size)
 
     def _start(self, of_byte: dict[int, int]) -> None:
         """One arc per byte. ``tree`` holds the labels letter by letter: [next by byte, label that ends here]."""
@@ -169,12 +171,54 @@ class Automaton:
 
     def _plain(self, text: str) -> Iterable[int]:
         """Ids of a text without special strings: each different stretch between gaps is looked up once."""
-        first, *rest = _GAP.split(text) if _BLANKS.search(text) else text.split(" ")
-        stretches = [first, *[" " + r for r in rest]]
+        stretches = self._stretches(text)
         known = self.words.new
         found = {s: known[s] if s in known else self._stretch(s) for s in set(stretches)}
         return chain.from_iterable(map(found.__getitem__, stretches))
 
+    @staticmethod
+    def _stretches(text: str) -> list[str]:
+        first, *rest = _GAP.split(text) if _BLANKS.search(text) else text.split(" ")
+        return [first, *[" " + r for r in rest]]
+
+    def _show(self, stretch: str) -> tuple[int, str, bytes]:
+        shown = self.shown.get(stretch)
+        if shown is None:
+            words, ids = self.words, []
+            for word in self.split.findall(stretch):
+                part = words.get(word)
+                if part is None:
+                    part = self.encode_word(word.encode())
+                    if len(word) <= LONGEST_KEPT:
+                        words.put(word, part)
+                ids += part
+            shown = (len(ids), ",".join(map(str, ids)), b"".join(map(self.labels.__getitem__, ids)))
+            if len(stretch) <= LONGEST_KEPT // 2:
+                self.shown.put(stretch, shown)
+        return shown
+
+    def render(self, text: str) -> tuple[int, str, bytes]:
+        """Number of ids, the ids in decimal, joined by commas, and the bytes they decode to.
+
+        The same as from ``encode`` and ``decode``, but each different stretch is written out once and
+        its parts are joined, not those of its tokens.
+        """
+        parts: list[tuple[int, str, bytes]] = []
+        begin = 0
+        for special in [*self.cut_special.finditer(text), None]:
+            end = special.start() if special else len(text)
+            if end > begin:
+                stretches = self._stretches(text[begin:end])
+                known = self.shown.new
+                found = {s: known[s] if s in known else self._show(s) for s in set(stretches)}
+                parts += map(found.__getitem__, stretches)
+            if special:
+                label = special.group()
+                parts.append((1, str(self.special[label]), label.encode()))
+                begin = special.end()
+        counts, decimals, labels = zip(*parts, strict=True) if parts else ((), (), ())
+        return sum(counts), ",".join(filter(None, decimals)), b"".join(labels)
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text; strings of special tokens in it become those tokens."""
         out: list[int] = []
@@ -228,7 +272,8 @@ def round_trip(docs: DataFrame, file: str, text: str = "text", key: str = "doc_i
 
     Ids are hashed in decimal, joined by commas. A null text counts as empty, a null key
     stays null, repeated rows each give a row. Ids never leave the task, so the result is
-    small however long the texts are.
+    small however long the texts are. A worker remembers at most twice ``cache_size`` words and arcs and as many
+    stretches, some 100 bytes each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,10 +281,10 @@ def round_trip(docs: DataFrame, file: str, text: str = "text", key: str = "doc_i
         for batch in batches:
             n, of_ids, of_text = [], [], []
             for value in batch.column(1):
-                ids = machine.encode(value.as_py() or "")
-                n.append(len(ids))
-                of_ids.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                of_text.append(hashlib.sha256(machine.decode(ids).encode()).hexdigest())
+                count, ids, decoded = machine.render(value.as_py() or "")
+                n.append(count)
+                of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
+                of_text.append(hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                 ["k", "n_tokens", "ids_sha256", "decoded_sha256"],
