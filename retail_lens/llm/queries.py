@@ -50,7 +50,8 @@ def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(_read(spark, folder, "documents"), weights=(5, 2, 1), limit=3)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    # The pieces say where each word goes: shard and place come from the splitting tree and the permuted blocks.
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "pieces")
 
 
 def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
