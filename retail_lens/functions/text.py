@@ -87,7 +87,7 @@ def match_label(col: Column, labels: Mapping[str, str], squeeze: bool = False) -
 
 
 def to_number(col: Column) -> Column:
-    """Number inside a text such as ``'GHS 18.50'``, ``'12 ctn'``, ``'5%'``, ``'25,400'``.
+    """Number inside a text such as ``'EUR 7.25'``, ``'-3 pcs'``, ``'40 %'``, ``'1,250'``.
 
     Everything but digits, point and minus is deleted first, so ``'1e5'`` reads as 15.
     """

@@ -24,6 +24,7 @@ def text_schema(*names: str) -> StructType:
     return schema(**dict.fromkeys(names, TEXT))
 
 
+# Names and order of the columns of the raw files and the clean tables.
 RAW = {
     "sales_transactions_raw": text_schema(
         "order_id",
