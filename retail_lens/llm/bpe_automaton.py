@@ -208,10 +208,8 @@ class Automaton:
         for special in [*self.cut_special.finditer(text), None]:
             end = special.start() if special else len(text)
             if end > begin:
-                stretches = self._stretches(text[begin:end])
                 known = self.shown.new
-                found = {s: known[s] if s in known else self._show(s) for s in set(stretches)}
-                parts += map(found.__getitem__, stretches)
+                parts += [known.get(s) or self._show(s) for s in self._stretches(text[begin:end])]
             if special:
                 label = special.group()
                 parts.append((1, str(self.special[label]), label.encode()))
