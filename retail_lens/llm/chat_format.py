@@ -101,18 +101,22 @@ def under(formatted: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray
 
 
 _OUT = "part int, no int, whole boolean, formatted string, ids array<int>, starts array<int>, ends array<int>, loss array<boolean>"
+_RESULT = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+_SHAPE = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
-def format_chats(rows: DataFrame, tokenizer: str, template: Template = Template(), most_rows: int = cv.BLOCK_ROWS, most_chars: int = cv.BLOCK_CHARS) -> DataFrame:
-    """Formatted conversations: conv_id, part, no (order of a conversation's pieces), whole (it is the only piece),
-    formatted, ids, starts and ends of the tokens in code points, and loss (per token).
+def _key(df: DataFrame) -> tuple[str, pa.DataType]:
+    conv = df.schema["conv_id"].dataType.simpleString()
+    return conv, pa.string() if conv == "string" else pa.int32() if conv == "int" else pa.int64()
 
-    ``rows`` has conv_id, turn, role and text. Null turns come first, rows of equal turn are in the order of role and
-    text; null roles and texts are empty; a null conv_id is a conversation of its own; equal rows are all turns. No rows
-    give no rows. A piece ends between two turns; a turn is never cut.
-    """
-    conv = rows.schema["conv_id"].dataType.simpleString()
-    key = pa.string() if conv == "string" else pa.int32() if conv == "int" else pa.int64()
+
+def _known(rows: DataFrame) -> DataFrame:
+    texts = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    return cv.in_order(rows.select("conv_id", "turn", *texts, F.lit(False).alias("gone")))
+
+
+def _encoder(key: pa.DataType, tokenizer: str, template: Template, most_rows: int, most_chars: int):
+    """Function from ordered rows to formatted pieces, batch by batch."""
     ints = pa.list_(pa.int32())
     schema = pa.schema([("conv_id", key), ("part", pa.int32()), ("no", pa.int32()), ("whole", pa.bool_()), ("formatted", pa.string()), ("ids", ints), ("starts", ints), ("ends", ints), ("loss", pa.list_(pa.bool_()))])
 
@@ -126,10 +130,21 @@ def format_chats(rows: DataFrame, tokenizer: str, template: Template = Template(
                 starts, ends = np.fromiter(chain.from_iterable(encoded.offsets), np.int32, 2 * len(ids)).reshape(-1, 2).T
                 yield (b.conv, part, b.no, b.whole, formatted, ids, starts, ends, mask(starts, ends, spans))
 
-        yield from cv.in_batches(out(), schema, lambda row: len(row[4]) + 100, cv.BLOCK_CHARS)
+        yield from cv.in_batches(out(), schema, lambda row: len(row[4]) + 100, most_chars)
 
-    known = rows.select("conv_id", "turn", *(F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")), F.lit(False).alias("gone"))
-    return cv.in_order(known).mapInArrow(encode, f"conv_id {conv}, {_OUT}")
+    return encode
+
+
+def format_chats(rows: DataFrame, tokenizer: str, template: Template = Template(), most_rows: int = cv.BLOCK_ROWS, most_chars: int = cv.BLOCK_CHARS) -> DataFrame:
+    """Formatted conversations: conv_id, part, no (order of a conversation's pieces), whole (it is the only piece),
+    formatted, ids, starts and ends of the tokens in code points, and loss (per token).
+
+    ``rows`` has conv_id, turn, role and text. Null turns come first, rows of equal turn are in the order of role and
+    text; null roles and texts are empty; a null conv_id is a conversation of its own; equal rows are all turns. No rows
+    give no rows. A piece ends between two turns; a turn is never cut.
+    """
+    conv, key = _key(rows)
+    return _known(rows).mapInArrow(_encoder(key, tokenizer, template, most_rows, most_chars), f"conv_id {conv}, {_OUT}")
 
 
 class Digest:
@@ -150,16 +165,9 @@ class Digest:
         return self.turns, self.turn_hash.hexdigest(), self.loss, self.loss_hash.hexdigest(), self.chars
 
 
-def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
-    """Per conversation, read back from its formatted pieces: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
-
-    Conversations of one piece are finished where they are; the pieces of the others go on to one task per conversation.
-    """
-    conv = formatted.schema["conv_id"].dataType.simpleString()
-    key = pa.string() if conv == "string" else pa.int32() if conv == "int" else pa.int64()
-    result = [("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
-    shape = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    schema = pa.schema([("conv_id", key), ("part", pa.int32()), ("no", pa.int32()), *result, ("turns", pa.binary()), ("learnt", pa.binary())])
+def _reader(key: pa.DataType, template: Template):
+    """Function from formatted pieces to what is read back from them: the digests of whole conversations, the parts of others."""
+    schema = pa.schema([("conv_id", key), ("part", pa.int32()), ("no", pa.int32()), *_RESULT, ("turns", pa.binary()), ("learnt", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
@@ -182,9 +190,32 @@ def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
 
         yield from cv.in_batches(out(), schema, lambda row: 200 + (len(row[8]) if row[8] else 0), cv.BLOCK_CHARS)
 
-    pieces = formatted.select("conv_id", "part", "no", "whole", "formatted", "starts", "ends", "loss")
-    made = pieces.mapInArrow(read, f"conv_id {conv}, part int, no int, {shape}, turns binary, learnt binary")
-    made = staging(formatted.sparkSession)(made, "digests")
-    names = ["conv_id", *(n for n, _ in result)]
-    rest = cv.fold(made.filter("turns is not null"), Digest, f"conv_id {conv}, {shape}", pa.schema([("conv_id", key), *result]))
+    return read
+
+
+def _finished(pieces: DataFrame, run, conv: str, key: pa.DataType) -> DataFrame:
+    made = pieces.mapInArrow(run, f"conv_id {conv}, part int, no int, {_SHAPE}, turns binary, learnt binary")
+    made = staging(pieces.sparkSession)(made, "digests")
+    names = ["conv_id", *(n for n, _ in _RESULT)]
+    rest = cv.fold(made.filter("turns is not null"), Digest, f"conv_id {conv}, {_SHAPE}", pa.schema([("conv_id", key), *_RESULT]))
     return made.filter("turns is null").select(*names).unionByName(rest.select(*names))
+
+
+def digests(formatted: DataFrame, template: Template = Template()) -> DataFrame:
+    """Per conversation, read back from its formatted pieces: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+
+    Conversations of one piece are finished where they are; the pieces of the others go on to one task per conversation.
+    """
+    conv, key = _key(formatted)
+    pieces = formatted.select("conv_id", "part", "no", "whole", "formatted", "starts", "ends", "loss")
+    return _finished(pieces, _reader(key, template), conv, key)
+
+
+def format_and_digest(rows: DataFrame, tokenizer: str, template: Template = Template(), most_rows: int = cv.BLOCK_ROWS, most_chars: int = cv.BLOCK_CHARS) -> DataFrame:
+    """``digests`` of ``format_chats`` without storing the pieces: each batch of them is read back by the worker that wrote it.
+
+    One Python worker a task holds the tokenizer, not two.
+    """
+    conv, key = _key(rows)
+    encode, read = _encoder(key, tokenizer, template, most_rows, most_chars), _reader(key, template)
+    return _finished(_known(rows), lambda batches: read(encode(batches)), conv, key)

@@ -77,8 +77,7 @@ def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = _read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    formatted = chat_format.format_chats(rows.unionByName(planted), tokenizer("byte_bpe_50k.json"))
-    return chat_format.digests(formatted)
+    return chat_format.format_and_digest(rows.unionByName(planted), tokenizer("byte_bpe_50k.json"))
 
 
 def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:

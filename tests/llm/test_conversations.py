@@ -129,7 +129,9 @@ def test_chats_read_back(spark, size):
     df = conversations(spark)
     template = chat_format.Template()
     formatted = chat_format.format_chats(df, tokenizer("byte_bpe_50k.json"), template, most_rows=size)
-    got = {r.conv_id: r for r in chat_format.digests(formatted, template).collect()}
+    read = chat_format.digests(formatted, template)
+    got = {r.conv_id: r for r in read.collect()}
+    assert sorted(map(str, read.collect())) == sorted(map(str, chat_format.format_and_digest(df, tokenizer("byte_bpe_50k.json"), template, most_rows=size).collect()))
     turns = defaultdict(list)
     for conv, turn, role, text, *_ in df.collect():
         turns[conv].append((turn, role or "", text or ""))
