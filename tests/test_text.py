@@ -123,3 +123,12 @@ def test_keys_and_titles(spark):
 def test_missing_tokens(spark, token):
     assert apply(spark, text.blank_to_null, [token, "7", None]) == [None, "7", None]
     assert apply(spark, text.is_missing_token, [token, "7", None]) == [True, False, False]
+
+
+def test_missing_tokens_are_found_whatever_they_begin_with(spark):
+    texts = ["", " ", "\t\n", " ", "\x00", "\x00NA", " N/A", "n/a\v", "1.#IND", "1", "-nan ", "- nan", "<NA>", "é", "ÑA", "Na", "\x1fNA", "#NA\r", *text.MISSING_TOKENS]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = {r.t: r.m for r in df.select("t", text.is_missing_token(F.col("t")).alias("m")).collect()}
+    assert got == {t: t is not None and t.strip(" \t\n\r\f\v") in text.MISSING_TOKENS for t in [*texts, None]}
+    assert [r.m for r in df.select(text.is_missing_token(F.col("t"), ["x", "öd"]).alias("m")).distinct().collect()] == [False]
+    assert spark.range(1).select(text.is_missing_token(F.lit(" öd"), ["x", "öd"])).first()[0]
