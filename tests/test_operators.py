@@ -124,3 +124,17 @@ def test_interpolation_of_odd_rows(spark):
 def test_conflicting_keys(spark):
     master = spark.createDataFrame([("c1", "r1"), ("c1", "r2"), ("c2", "r1"), ("c2", None), (None, "r1")], "c string, r string")
     assert [tuple(r) for r in conflicting_keys(master, "c", "r").collect()] == [("c1", 2)]
+
+
+def test_rows_without_copies_are_dealt_before_they_are_grouped(spark):
+    nan = float("nan")
+    data = [("a", None, 0.0), ("a", None, -0.0), ("a", "", nan), ("a", "", nan), (None, None, None), (None, None, None), ("b", "", 1.0)]
+    df = spark.createDataFrame(data, "k string, `odd.name` string, v double").repartition(3)
+    plain = df.groupBy("k", "`odd.name`", "v").agg(F.count("*").alias("copies"))
+    assert sorted(map(str, collapse_copies(df, recurring=False).collect())) == sorted(map(str, plain.collect()))
+    assert sorted(map(str, drop_exact_duplicates(df).collect())) == sorted(map(str, plain.drop("copies").collect()))
+    texts = df.select("k", "`odd.name`")
+    for dealt in (drop_exact_duplicates(texts), collapse_copies(texts, recurring=False)):
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        # No map of rows on the near side of the one shuffle by columns.
+        assert plan.count("HashAggregate") == 2 and plan.rindex("HashAggregate") < plan.index("Exchange hashpartitioning")
