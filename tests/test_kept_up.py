@@ -195,3 +195,15 @@ def test_dated_rows_parse_once(spark):
     assert got.columns == ["id", "day"] and rows(got) == rows(df.withColumn("day", parse_dates(F.col("day"))).where("day is not null"))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MMM d, yyyy") <= df.select(parse_dates(F.col("day")))._jdf.queryExecution().optimizedPlan().toString().count("MMM d, yyyy")
+
+
+def test_median_counts_are_shuffled_once(spark, tmp_path):
+    spark.range(2000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id").cast("double").alias("v")).write.parquet(str(tmp_path / "rows"))
+    median = group_median(spark.read.parquet(str(tmp_path / "rows")), ["k"], "v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = median._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("FileScan parquet") == 1 and "ReusedExchange" in plan
+    assert {r.k: r.median for r in median.collect()} == {"0": 999.0, "1": 1000.0, "2": 999.5}
