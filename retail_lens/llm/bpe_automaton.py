@@ -11,9 +11,9 @@ transition table is fully described by which labels are cut, and since rows woul
 50,000 wide, an entry is computed from the gadgets at its first use and then kept.
 
 A pre-split word has exactly one accepted path, and so has each of its prefixes. Encoding
-walks the word from left to right and keeps the state of every prefix: the state after
-byte ``i`` is the only label ending there whose arc from the state at its beginning is not
-cut. Decoding writes out the arc labels.
+follows open arcs from the left, longest label first, and turns back where none is left. A
+place it turned back from is never entered again: the one path that leads there was taken.
+Decoding writes out the arc labels.
 """
 
 from __future__ import annotations
@@ -35,9 +35,12 @@ from retail_lens.llm.common import Recent
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A space between two characters that are not white space always begins a new word.
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+#: A space next to white space or to an end of the text.
+_NO_GAP = re.compile(r" (?:(?!\S)|(?<!\S ))")
 #: Longer words hardly come back and are not remembered.
 LONGEST_KEPT = 64
-_BLANKS = re.compile(r"\s\s|^\s|\s$")
+#: Texts are rendered together up to so many characters.
+CHUNK = 4_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -50,7 +53,7 @@ def byte_letters() -> dict[str, int]:
 class Automaton:
     """Transition tables compiled from a tokenizer file; ``cache_size`` bounds each table kept."""
 
-    def __init__(self, file: str, cache_size: int = 400_000):
+    def __init__(self, file: str, cache_size: int = 200_000):
         import regex
 
         with open(file, encoding="utf-8") as f:
@@ -66,15 +69,20 @@ class Automaton:
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"]):
             raise ValueError("added tokens with conditions are not supported")
         self.labels |= {i: s.encode() for s, i in self.special.items()}
+        self.sizes = {i: len(label) for i, label in self.labels.items()}
+        self.decimals = {i: str(i) for i in self.labels}
         self.split = regex.compile(PATTERN)
         self.cut_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self._start({b: ids[c] for c, b in letters.items()})
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self._gadget(rank, ids[left], ids[right], ids[left + right])
+        #: Label -> the longest other label that it begins with, of those with an arc.
+        self.shorter: dict[int, int] = {}
+        self._shorten(self.tree, None)
         self.arcs = Recent(cache_size)
         self.words = Recent(cache_size)
-        #: Stretch -> number of its ids, the ids in decimal, the arc labels joined.
+        #: Word or stretch -> number of its ids, the ids in decimal, the arc labels joined.
         self.shown = Recent(cache_size)
 
     def _start(self, of_byte: dict[int, int]) -> None:
@@ -99,6 +107,14 @@ class Automaton:
                 node = node[0].setdefault(byte, [{}, None])
             node[1] = c
 
+    def _shorten(self, node: list, above: int | None) -> None:
+        if node[1] is not None:
+            if above is not None:
+                self.shorter[node[1]] = above
+            above = node[1]
+        for below in node[0].values():
+            self._shorten(below, above)
+
     def _open(self, u: int, v: int, turn: int) -> bool:
         """Whether no gadget before ``turn`` cuts the arc v that leaves state u.
 
@@ -122,38 +138,49 @@ class Automaton:
 
     def encode_word(self, word: bytes) -> list[int]:
         """The labels along the word's accepted path."""
-        size = len(word)
-        state: list = [None] * (size + 1)
-        known, kept = self.arcs.new, self.arcs
-        for begin in range(size):
-            u = state[begin]
-            node = self.tree
-            for end in range(begin + 1, size + 1):
-                node = node[0].get(word[end - 1])
-                if node is None:
-                    break
-                v = node[1]
-                if v is None or state[end] is not None:
-                    continue
-                if begin:
+        size, sizes, shorter, arcs = len(word), self.sizes, self.shorter, self.arcs
+        path: list[int] = []
+        left: set[int] = set()
+        at, u, v = 0, None, self._longest(word, 0)
+        while True:
+            while v is not None:
+                end = at + sizes[v]
+                if end not in left:
+                    if u is None:
+                        break
                     arc = u << 32 | v
-                    is_open = known.get(arc)
+                    is_open = arcs.new.get(arc)
                     if is_open is None:
-                        is_open = kept.get(arc)
+                        is_open = arcs.get(arc)
                         if is_open is None:
                             is_open = self._open(u, v, len(self.fires))
-                            kept.put(arc, is_open)
-                        known = kept.new
-                    if not is_open:
-                        continue
-                state[end] = v
-            if state[begin + 1] is None:
-                raise AssertionError("a prefix without a path")
-        path = []
-        while size:
-            path.append(state[size])
-            size -= len(self.labels[state[size]])
-        return path[::-1]
+                            arcs.put(arc, is_open)
+                    if is_open:
+                        break
+                v = shorter.get(v)
+            if v is not None:
+                path.append(v)
+                if end == size:
+                    return path
+                at, u, v = end, v, self._longest(word, end)
+            else:
+                if u is None:
+                    raise AssertionError("a word without a path")
+                left.add(at)
+                at -= sizes[path.pop()]
+                u, v = path[-1] if path else None, shorter.get(u)
+
+    def _longest(self, word: bytes, begin: int) -> int | None:
+        """The longest label that the word has there."""
+        node, found = self.tree, None
+        for byte in word[begin:]:
+            node = node[0].get(byte)
+            if node is None:
+                break
+            label = node[1]
+            if label is not None:
+                found = label
+        return found
 
     def _stretch(self, text: str) -> list[int]:
         """Ids of a piece of text that words do not cross the ends of."""
@@ -178,21 +205,21 @@ class Automaton:
 
     @staticmethod
     def _stretches(text: str) -> list[str]:
-        first, *rest = _GAP.split(text) if _BLANKS.search(text) else text.split(" ")
+        first, *rest = _GAP.split(text) if _NO_GAP.search(text) else text.split(" ")
         return [first, *[" " + r for r in rest]]
 
     def _show(self, stretch: str) -> tuple[int, str, bytes]:
         shown = self.shown.get(stretch)
         if shown is None:
-            words, ids = self.words, []
-            for word in self.split.findall(stretch):
-                part = words.get(word)
-                if part is None:
-                    part = self.encode_word(word.encode())
-                    if len(word) <= LONGEST_KEPT:
-                        words.put(word, part)
-                ids += part
-            shown = (len(ids), ",".join(map(str, ids)), b"".join(map(self.labels.__getitem__, ids)))
+            # The most frequent case needs no pattern: letters are one word, with or without a space before them.
+            one = stretch.isascii() and stretch.removeprefix(" ").isalpha()
+            words = [stretch] if one else self.split.findall(stretch)
+            if len(words) > 1:
+                counts, decimals, labels = zip(*map(self._show, words), strict=True)
+                shown = (sum(counts), ",".join(decimals), b"".join(labels))
+            else:
+                ids = self.encode_word(stretch.encode()) if stretch else []
+                shown = (len(ids), ",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.labels.__getitem__, ids)))
             if len(stretch) <= LONGEST_KEPT // 2:
                 self.shown.put(stretch, shown)
         return shown
@@ -217,6 +244,39 @@ class Automaton:
         counts, decimals, labels = zip(*parts, strict=True) if parts else ((), (), ())
         return sum(counts), ",".join(filter(None, decimals)), b"".join(labels)
 
+    def render_all(self, texts: Sequence[str]) -> list[tuple[int, str, bytes]]:
+        """``render`` of each text; stretches are numbered and their parts joined for all texts at once."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        out: list = [None] * len(texts)
+        places, firsts, rests = [], [], []
+        for i, text in enumerate(texts):
+            first, gap, rest = text.partition(" ")
+            if gap and len(text) <= CHUNK and not _NO_GAP.search(text) and not self.cut_special.search(text):
+                places.append(i)
+                firsts.append(first)
+                rests.append(rest)
+            else:
+                out[i] = self.render(text)
+        if not places:
+            return out
+        pieces = pc.split_pattern(pa.array(rests, pa.string()), " ")
+        coded = pieces.values.dictionary_encode()
+        known = self.shown.new
+        shown = [known.get(s) or self._show(s) for s in map(" ".__add__, coded.dictionary.to_pylist())]
+        counts, decimals, labels = zip(*shown, strict=True)
+        sums = np.add.reduceat(np.array(counts, np.int64)[coded.indices.to_numpy()], pieces.offsets.to_numpy()[:-1])
+
+        def joined(values, kind: pa.DataType, between) -> pa.Array:
+            return pc.binary_join(pa.ListArray.from_arrays(pieces.offsets, pa.array(values, kind).take(coded.indices)), between)
+
+        ids, decoded = joined(decimals, pa.string(), ","), joined(labels, pa.binary(), b"")
+        for i, first, n, of_ids, of_text in zip(places, firsts, sums.tolist(), ids, decoded, strict=True):
+            count, decimal, label = self._show(first)
+            out[i] = (count + n, f"{decimal},{of_ids.as_py()}", label + of_text.as_py())
+        return out
+
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text; strings of special tokens in it become those tokens."""
         out: list[int] = []
@@ -265,21 +325,33 @@ def decode(docs: DataFrame, file: str, ids: str = "ids", text: str = "text") ->
     return docs.withColumn(text, run(F.col(ids)))
 
 
+def _chunks(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, in lists of about ``CHUNK`` characters; null counts as empty."""
+    chunk, size = [], 0
+    for value in column:
+        chunk.append(value.as_py() or "")
+        size += len(chunk[-1])
+        if size >= CHUNK:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
 def round_trip(docs: DataFrame, file: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, n_tokens, SHA-256 of its ids and of the text they decode to.
 
     Ids are hashed in decimal, joined by commas. A null text counts as empty, a null key
     stays null, repeated rows each give a row. Ids never leave the task, so the result is
-    small however long the texts are. A worker remembers at most twice ``cache_size`` words and arcs and as many
-    stretches, some 100 bytes each.
+    small however long the texts are. A worker remembers at most twice ``cache_size`` arcs and as many
+    stretches, some 100 and 350 bytes each, and holds the parts of ``CHUNK`` characters or of one longer text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(file)
         for batch in batches:
             n, of_ids, of_text = [], [], []
-            for value in batch.column(1):
-                count, ids, decoded = machine.render(value.as_py() or "")
+            for count, ids, decoded in chain.from_iterable(map(machine.render_all, _chunks(batch.column(1)))):
                 n.append(count)
                 of_ids.append(hashlib.sha256(ids.encode()).hexdigest())
                 of_text.append(hashlib.sha256(decoded.decode("utf-8", "replace").encode()).hexdigest())

@@ -52,6 +52,18 @@ def test_automaton_equals_the_library():
         assert machine.decode(ids) == library.decode(ids, skip_special_tokens=False) == (text or "")
 
 
+def test_texts_rendered_together_equal_the_library_and_words_are_kept_once():
+    library, machine = Tokenizer.from_file(BYTES), bpe_automaton.Automaton(BYTES, cache_size=40)
+    gaps = ["one two  three", " one two", "one two ", "one\ntwo three", "one 'stwo \u2003 x", "a <|endoftext|> b c", "it's 12 ab's"]
+    texts = [t or "" for t in odd_texts()] + gaps
+    for text, (n, shown, decoded) in zip(texts, machine.render_all(texts), strict=True):
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert (n, shown, decoded) == (len(ids), ",".join(map(str, ids)), text.encode())
+    assert machine.render_all([]) == []
+    # Stretches and their words share one bounded memory.
+    assert not machine.words.new and not machine.words.old and len(machine.shown.new) + len(machine.shown.old) <= 80
+
+
 def test_round_trip(spark, docs):
     library = Tokenizer.from_file(BYTES)
     got = bpe_automaton.round_trip(docs, BYTES).collect()
