@@ -1,18 +1,24 @@
 """Exact self-join of documents by Jaccard similarity of their word shingles, with set-relation skipping.
 
-1. A first pass over the texts gives every document's set size, a hash of the set, a few
-   min-hash keys and a sieve (below). Documents with equal sets form a class; from here on only classes count.
-2. *Leaders.* Classes with a min-hash key in common are compared with the smallest class of that
+1. One pass over the texts gives every document's set size, a hash of the set, a few min-hash
+   keys, a sieve (below) and its *zone*, the first shingles in the order of their hashes. Documents
+   with equal sets form a class; from here on only classes count.
+2. *Index.* Shingles are ordered by hash, but common ones come last. A set is listed under its first
+   shingles in that order, as many as two linked sets must share one of. What is common is found
+   from the data: each class first lists its zone, which is longer than that, and shingles in more than
+   COMMON lists are common. A class then knows where its list ends, and those that have too few others
+   in their zone, near copies above all, are *short*. Linked sets share a number of shingles of their zones
+   (``_least_shared``), so a class in fewer lists is linked with none and leaves the index.
+3. *Leaders.* Classes with a min-hash key in common are compared with the smallest class of that
    key. A class similar enough to such a leader hangs on it, with its exact distance. This
    finds most links of large groups of near copies with a few comparisons per member.
-3. *Index.* Shingles are ordered by hash, but common ones come last. A set is listed under its first
-   shingles in that order, as many as two linked sets must share one of. What is common is found
-   from the data: each class first lists more than that by hash alone, and those in more than
-   COMMON lists are common. A class then knows where its list ends. A few, near copies above all, have
-   too few others; they are matched in the order by hash alone, under common shingles too, against every class. Each list
+4. *Crowd.* Short classes and those in enough lists with them are spelled out: all their shingles are listed, the rarest
+   of the crowd first. Each is compared with the class that holds the most usual shingles of most of its lists, in a
+   group of near copies the text that the others were made from. Those not yet together meet under the first shingles
+   that two sets of their very sizes must share one of, which common shingles are only in sets close to that text.
+5. *Derived answers.* All others meet in the lists that are not common. Each list
    is cut into blocks by size, and a class looks only into its own block and the next, skipping
-   entries whose position leaves too few shingles to be shared.
-4. *Derived answers.* A leader stands in the lists for all classes that hang on it. Leaders
+   entries whose position leaves too few shingles to be shared. A leader stands in the lists for all classes that hang on it. Leaders
    that meet in a list and do not hang together yet are compared once. Jaccard distance is a metric, so a member of one
    and a member of the other can be linked only if the leaders' distance is within the threshold plus
    both members' distances to their leaders: only such member pairs are compared.
@@ -46,8 +52,14 @@ from retail_lens.session import Staging
 COMMON = 16
 #: Min-hash keys per class, and parts into which the members of one leader are spread.
 KEYS, SPREAD = 6, 64
+#: Bands of sizes, from one size to the largest that can be linked with it, in which the crowd meets.
+BANDS = 10
+#: So many keys are looked up among the documents before these are packed, which Spark does without moving texts.
+FEW = 400_000
 
 _SIGNED, _TINY = np.int64, np.uint64(0x5851F42D4C957F2D)
+_FACTORS = np.array([[2 * j + 0x10001] for j in range(KEYS)], np.uint64)
+_STEPS = np.arange(KEYS, dtype=np.uint64)
 
 
 def _signature(shingles: np.ndarray) -> int:
@@ -59,10 +71,7 @@ def _signature(shingles: np.ndarray) -> int:
 
 def _min_keys(shingles: np.ndarray) -> list[int]:
     with np.errstate(over="ignore"):
-        return [
-            int(mixed(np.array([(shingles * np.uint64(2 * j + 0x10001)).min() + np.uint64(j)]))[0].astype(_SIGNED))
-            for j in range(KEYS)
-        ]
+        return mixed((shingles * _FACTORS).min(axis=1) + _STEPS).astype(_SIGNED).tolist()
 
 
 def _sieve_part(percent: int) -> int:
@@ -70,25 +79,33 @@ def _sieve_part(percent: int) -> int:
     return max(2, int((100 + percent) / (2.2 * (100 - percent)))) if percent < 100 else 64
 
 
-def _summaries(docs: DataFrame, width: int, part: int) -> DataFrame:
-    """Per document: k, n, set, keys, sieve."""
+def _bytes(text: pa.Scalar) -> pa.Buffer | bytes:
+    """The UTF-8 bytes of a text, none for null."""
+    return text.as_buffer() if text.is_valid else b""
+
+
+def _summaries(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per document: k, n, set, keys, sieve, zone."""
+    part = np.uint64(_sieve_part(percent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["k", "n", "set", "keys", "sieve"]
-        types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary()]
+        names = ["k", "n", "set", "keys", "sieve", "zone"]
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
             rows: list[tuple] = []
-            for k, text in zip(batch.column(0), batch.column(1), strict=True):
-                shingles = shingle_set((text.as_py() or "").encode(), width)
-                if len(shingles):
-                    codes = (shingles[shingles % np.uint64(part) == 0] >> np.uint64(32)).astype("<u4").tobytes()
-                    rows.append((k.as_py(), len(shingles), _signature(shingles), _min_keys(shingles), codes))
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shingles = shingle_set(_bytes(text), width)
+                n = len(shingles)
+                if n:
+                    codes = (shingles[shingles % part == 0] >> np.uint64(32)).astype("<u4").tobytes()
+                    zone = shingles[: _zone(n, percent)].astype(_SIGNED)
+                    rows.append((k, n, _signature(shingles), _min_keys(shingles), codes, zone))
                 else:
-                    rows.append((k.as_py(), 0, 0, None, None))
-            columns = list(zip(*rows, strict=True)) or [()] * 5
+                    rows.append((k, 0, 0, None, None, None))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return docs.mapInArrow(run, "k long, n long, set long, keys array<long>, sieve binary")
+    return docs.mapInArrow(run, "k long, n long, set long, keys array<long>, sieve binary, zone array<long>")
 
 
 def _prefix(n, percent: int):
@@ -102,61 +119,114 @@ def _zone(n, percent: int):
     return prefix + max(prefix // 2, 40) if isinstance(n, int) else prefix + F.greatest(F.floor(prefix / 2), F.lit(40))
 
 
-def _listed(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """One row per class (and task that saw it) and each shingle of its zone: h, set, n, at."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for batch in batches:
-            held: list[tuple] = []
-            for text in batch.column(1):
-                shingles = shingle_set((text.as_py() or "").encode(), width)
-                if len(shingles) and (name := _signature(shingles)) not in seen:
-                    seen.add(name)
-                    held.append((shingles[: _zone(len(shingles), percent)], name, len(shingles)))
-                if len(held) >= 500:
-                    yield _lists(held)
-                    held = []
-            if held:
-                yield _lists(held)
-
-    return docs.mapInArrow(run, _LISTED)
-
-
-_LISTED = "h long, set long, n long, at long"
+def _least_shared(n: Column, percent: int) -> Column:
+    """How many shingles of its zone a set of n shares with the zone of any set linked with it, at least.
 
-
-def _lists(held: list[tuple[np.ndarray, int, int]]) -> pa.RecordBatch:
-    size = [len(f) for f, _, _ in held]
-    columns = [
-        np.concatenate([f for f, _, _ in held]).astype(_SIGNED),
-        np.repeat([s for _, s, _ in held], size),
-        np.repeat([n for _, _, n in held], size),
-        np.concatenate([np.arange(s) for s in size]),
-    ]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "set", "n", "at"])
+    Take the zone that ends first: a set that is linked lacks fewer than the prefix of its shingles, and
+    lists the others of them in its own zone. The smallest set that can be linked promises least.
+    """
+    smallest = F.ceil(n * percent / 100)
+    return F.least(_zone(smallest, percent) - _prefix(smallest, percent) + 1, smallest)
 
 
-def _index(docs: DataFrame, width: int, percent: int, stage: Staging) -> DataFrame:
-    """The lists: h, set, n, at (place in the order by hash), common, short.
+def _index(classes: DataFrame, percent: int, stage: Staging, once: Staging) -> tuple[DataFrame, DataFrame]:
+    """The lists (h, set, n, at: place in the order by hash) and the crowd (set).
 
-    Two sets that are not ``short`` and similar enough share a list that is not ``common``; if
-    one is short they share any list.
+    Two sets that are similar enough share a list, unless both are in the crowd.
     """
     by_shingle = Window.partitionBy("h")
-    once = _listed(docs, width, percent).repartition("h").dropDuplicates(["h", "set"])
-    shared = once.withColumn("lists", F.count(F.lit(1)).over(by_shingle)).filter("lists > 1")
-    shared = stage(shared.withColumn("common", F.col("lists") > COMMON).drop("lists"), "shared")
+    listed = classes.select("set", "n", F.posexplode("zone").alias("at", "h"))
+    shared = listed.withColumn("lists", F.count(F.lit(1)).over(by_shingle)).filter("lists > 1")
+    shared = once(shared.withColumn("common", F.col("lists") > COMMON).drop("lists"), "shared")
     prefix = _prefix(F.col("n"), percent)
     # The j-th common place c (from 0) has c - j others before it: it lies within the list if these are too few.
-    places = shared.filter("common").groupBy("set").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list("at")).alias("places")
+    places = shared.groupBy("set").agg(
+        F.first("n").alias("n"), F.count(F.lit(1)).alias("lists"), F.sort_array(F.collect_list(F.when(F.col("common"), F.col("at")))).alias("places")
     )
     end = prefix + F.size(F.filter("places", lambda c, j: c - j < prefix))
-    ends = stage(places.select("set", end.alias("end"), (end > F.least(_zone(F.col("n"), percent), "n")).alias("short")), "ends")
-    known = shared.join(ends, "set", "left").withColumn("short", F.coalesce("short", F.lit(False)))
-    within = F.when(F.col("common"), F.col("at") < prefix).otherwise(F.col("at") < F.coalesce("end", prefix))
-    return stage(known.filter(within).select("h", "set", "n", "at", "common", "short"), "index")
+    short = F.col("end") > F.least(_zone(F.col("n"), percent), "n")
+    linkable = places.filter(F.col("lists") >= _least_shared(F.col("n"), percent))
+    ends = once(linkable.withColumn("end", end).select("set", "end", short.alias("short")), "ends")
+    known = shared.join(ends, "set")
+    index = stage(known.filter("not short and not common and at < end").select("h", "set", "n", "at"), "index")
+    near = known.filter("short").groupBy("h").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    beside = known.filter("not short").join(near, "h").filter(_large_enough("n", "low", percent) & _large_enough("high", "n", percent))
+    beside = beside.groupBy("set").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("lists"))
+    beside = beside.filter(F.col("lists") >= _least_shared(F.col("n"), percent))
+    return index, stage(ends.filter("short").select("set").union(beside.select("set")), "crowd")
+
+
+def _spelled(crowd: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """All shingles of the crowd that several of it hold: h, set, n, at (place in the order by frequency), usual.
+
+    ``usual`` is how many of the crowd hold a shingle of the set, on average.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            rows = []
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                shingles = shingle_set(unpack(text.as_py()), width)
+                if _signature(shingles) == name:  # else another text under the same key
+                    rows.append((name, shingles.astype(_SIGNED)))
+            columns = list(zip(*rows, strict=True)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.list_(pa.int64()))], ["set", "all"])
+
+    sets = texts.join(crowd, "set", "left_semi").select("set", "text").mapInArrow(run, "set long, all array<long>")
+    rows = sets.dropDuplicates(["set"]).select("set", F.size("all").cast("long").alias("n"), F.explode("all").alias("h"))
+    rows = rows.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("held > 1")
+    own = Window.partitionBy("set")
+    alone = F.col("n") - F.count(F.lit(1)).over(own)
+    return rows.select(
+        *("h", "set", "n"),
+        (alone + F.row_number().over(own.orderBy("held", "h")) - 1).alias("at"),
+        ((alone + F.sum("held").over(own)) / F.col("n")).alias("usual"),
+    )
+
+
+def _usual_heads(spelled: DataFrame, percent: int) -> DataFrame:
+    """For each of the crowd (b) the class (a) that has the most usual shingles in most of its lists."""
+    heads = spelled.groupBy("h").agg(F.max(F.struct("usual", F.col("set").alias("a"), F.col("n").alias("na"))).alias("head"))
+    votes = spelled.join(heads.select("h", "head.a", "head.na"), "h").filter("a <> set").groupBy("set", "n", "a", "na").count()
+    votes = votes.filter(_fits("na", "n", percent))
+    return votes.groupBy(F.col("set").alias("b")).agg(F.max(F.struct("count", "a")).alias("most")).select("most.a", "b")
+
+
+def _crowd_pairs(spelled: DataFrame, parts: DataFrame, percent: int, stage: Staging) -> DataFrame:
+    """Pairs (a, b) of the crowd, in different parts, that may be similar enough by their first shared shingle.
+
+    The first shared shingle, in the order by frequency, lies where either set still has as many
+    shingles as the two must share. How many that are follows from both sizes, known to a band.
+    """
+    width = F.log(F.lit(max(100 / percent, 1.001))) / BANDS
+    band = F.floor(F.log(F.col("n").cast("double")) / width + 1e-9)
+    rows = spelled.filter(F.col("at") < _prefix(F.col("n"), percent)).join(parts, F.col("set") == F.col("node"), "left")
+    rows = stage(rows.select("h", "set", "n", "at", F.coalesce("component", "set").alias("part"), band.alias("band")), "rows")
+
+    def met(other: str, least: Column) -> Column:
+        """Whether a partner of a size in the other band, and of ``least`` at least, may meet the set here."""
+        least = F.greatest(least, F.exp(F.col(other) * width) - 1e-6)
+        return F.col("at") <= F.col("n") - (F.col("n") + least) * percent / (100 + percent) + 1e-6
+
+    key = ["h", "low", "high"]
+    reach = F.lit(BANDS + 1)
+    small = rows.withColumnRenamed("band", "low").withColumn("high", F.explode(F.sequence("low", F.col("low") + reach)))
+    large = rows.withColumnRenamed("band", "high").withColumn("low", F.explode(F.sequence(F.col("high") - reach, "high")))
+    small = small.filter(met("high", F.col("n"))).select(*key, *(F.col(c).alias(c + "1") for c in ("set", "n", "at", "part")))
+    large = large.filter(met("low", F.col("n") * percent / 100)).select(*key, *(F.col(c).alias(c + "2") for c in ("set", "n", "at", "part")))
+    # Most of a list may hang together: these are not paired with one another.
+    main = small.groupBy(*key, "part1").count().groupBy(*key).agg(F.max_by("part1", "count").alias("main"))
+    main = stage(main, "main")
+    small, large = stage(small, "small"), stage(large.join(main, key), "large")
+    marked = small.join(main, key)
+    apart = F.col("part1") != F.col("main")
+    found = marked.filter(apart).drop("main").join(large.drop("main"), key)
+    found = found.union(marked.filter(~apart).drop("main").join(large.filter("part2 <> main").drop("main"), key))
+    needed = (F.col("n1") + F.col("n2")) * percent / (100 + percent) - 1e-6
+    found = found.filter((F.col("part1") != F.col("part2")) & _fits("n1", "n2", percent))
+    found = found.filter((F.col("n1") - F.col("at1") >= needed) & (F.col("n2") - F.col("at2") >= needed))
+    return found.select(F.least("set1", "set2").alias("a"), F.greatest("set1", "set2").alias("b")).distinct()
 
 
 def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -181,19 +251,24 @@ def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return rows.select(*names).mapInArrow(run, "a long, b long")
 
 
-def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: Staging) -> DataFrame:
     """Packed text of each wanted class (column set), from its document of the smallest key."""
-    reps = classes.select("set", "rep").join(wanted.distinct(), "set")
+    reps = stage(classes.select("set", "rep").join(wanted.distinct(), "set"), "reps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            packed = [pack((t.as_py() or "").encode()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["rep", "text"])
-
-    packed = docs.filter("k is not null").mapInArrow(run, "rep long, text binary")
+            packed = [pack(_bytes(t)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["name", "text"])
+
+    docs = docs.filter("k is not null")
+    if reps.count() <= FEW:
+        packed = docs.join(reps, F.col("k") == F.col("rep")).select("set", "text").mapInArrow(run, "name long, text binary")
+        packed = packed.withColumnRenamed("name", "set")
+    else:
+        packed = docs.mapInArrow(run, "name long, text binary").join(reps, F.col("name") == F.col("rep"))
     # A key may be given with several texts; the class is known by the set, so the right one is found when unpacked.
-    return packed.join(reps, "rep").dropDuplicates(["rep", "set", "text"]).select("set", "text")
+    return stage(packed.dropDuplicates(["set", "text"]).select("set", "text"), "texts")
 
 
 def _overlaps(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -237,9 +312,14 @@ def _distance() -> Column:
     return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
 
 
+def _large_enough(a: str, b: str, percent: int) -> Column:
+    """Whether a set of the size a is not too small to be similar to one of the size b."""
+    return F.col(a) * 100 >= percent * F.col(b)
+
+
 def _fits(a: str, b: str, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough."""
-    return (F.col(a) * 100 >= percent * F.col(b)) & (F.col(b) * 100 >= percent * F.col(a))
+    return _large_enough(a, b, percent) & _large_enough(b, a, percent)
 
 
 def links(
@@ -252,77 +332,86 @@ def links(
     They are a part of all links that spans each component, not the whole join: classes that hang
     together already are not compared, nor are members of one leader or of two similar leaders.
     """
-    stage = staging(docs.sparkSession)
+    spark = docs.sparkSession
+    stage, once, listing = staging(spark), staging(spark), staging(spark)
     docs = docs.select(F.col(key).cast("long").alias("k"), F.col(text).alias("text"))
-    summaries = stage(_summaries(docs, width, _sieve_part(percent)), "summaries")
-    members = summaries.select("k", "n", "set")
+    summaries = once(_summaries(docs, width, percent), "summaries")
+    members = stage(summaries.select("k", "n", "set"), "members")
     full = summaries.filter("n > 0 and k is not null")
-    classes = stage(
-        full.groupBy("set").agg(F.min("k").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sieve").alias("sieve")),
-        "classes",
-    )
+    firsts = (F.first(c).alias(c) for c in ("n", "keys", "sieve", "zone"))
+    classes = listing(full.groupBy("set").agg(F.min("k").alias("rep"), *firsts), "classes")
+    once.drop()
+    index, crowd = _index(classes, percent, stage, listing)
+    classes = stage(classes.drop("zone"), "classes")
+    listing.drop()
     limit = 1 - percent / 100
 
     # Leaders: candidates by min-hash keys, a star around the smallest class of each key.
-    keyed = stage(classes.select("set", "n", "rep", F.explode("keys").alias("key")), "keyed")
+    keyed = once(classes.select("set", "n", "rep", F.explode("keys").alias("key")), "keyed")
     heads = keyed.groupBy("key").agg(
         F.min(F.struct("rep", F.col("set").alias("a"), F.col("n").alias("na"))).alias("head"), F.count(F.lit(1)).alias("rows")
     )
-    heads = stage(heads.filter("rows > 1").select("key", "head.a", "head.na", "rows"), "heads")
+    heads = once(heads.filter("rows > 1").select("key", "head.a", "head.na", "rows"), "heads")
     star = join_spread(keyed, heads, "key", "rows").filter("a <> set").filter(_fits("na", "n", percent))
-    star = stage(star.select("a", F.col("set").alias("b")).distinct().withColumn("limit", F.lit(limit)), "star")
+    star = once(star.select("a", F.col("set").alias("b")).distinct().withColumn("limit", F.lit(limit)), "star")
     star = stage(_sieved(star, classes), "star")
-    texts = stage(_texts(docs, classes, star.select(F.col("a").alias("set")).union(star.select("b"))), "texts")
+    once.drop()
+    texts = _texts(docs, classes, star.select(F.col("a").alias("set")).union(star.select("b")), stage)
     met = stage(_overlaps(star, texts, width).filter(_similar(percent)), "met")
+
+    # The crowd: a star around the most usual class, then the pairs that this leaves.
+    texts = texts.unionByName(_texts(docs, classes, crowd.join(texts, "set", "left_anti"), stage))
+    spelled = once(_spelled(crowd, texts, width), "spelled")
+    usual = stage(_usual_heads(spelled, percent), "star")
+    usual = stage(_overlaps(usual, texts, width).filter(_similar(percent)).select("a", "b"), "met")
+    parts = stage(components(met.select("a", "b").union(usual), stage), "parts")
+    crowded = stage(_crowd_pairs(spelled, parts, percent, once).withColumn("limit", F.lit(limit)), "pairs")
+    once.drop()
+    crowded = stage(_sieved(crowded, classes), "pairs")
+    crowded = stage(_overlaps(crowded, texts, width).filter(_similar(percent)).select("a", "b"), "met")
+
     hung = met.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(F.col("a").alias("lead"), _distance().alias("far"))).alias("h"))
     leads = classes.select("set", "n").join(hung, "set", "left")
     leads = stage(
         leads.select("set", "n", F.coalesce("h.lead", "set").alias("lead"), F.coalesce("h.far", F.lit(0.0)).alias("far"))
         # Classes that hang together already need not be compared again.
-        .join(components(met.select("a", "b"), stage), F.col("set") == F.col("node"), "left")
+        .join(parts, F.col("set") == F.col("node"), "left")
         .select("set", "n", "lead", "far", F.coalesce("component", "set").alias("part")),
         "leads",
     )
 
-    index = _index(docs, width, percent, stage)
     radius = leads.groupBy("lead").agg(F.max("far").alias("radius"))
-    pairs = stage(_leader_pairs(index, leads, percent, stage), "pairs")
+    pairs = stage(_leader_pairs(index, leads, percent, once), "pairs")
+    once.drop()
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "a", "radius": "ra"}), "a")
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "b", "radius": "rb"}), "b")
     pairs = stage(_sieved(pairs.withColumn("limit", limit + F.col("ra") + F.col("rb")), classes), "pairs")
     # Members of a leader have been fetched already; so have leaders with members.
     new = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(texts.select("set"), "set", "left_anti")
-    texts = texts.unionByName(stage(_texts(docs, classes, new), "texts"))
+    texts = texts.unionByName(_texts(docs, classes, new, stage))
     apart = stage(_overlaps(pairs, texts, width).withColumn("far", _distance()), "apart")
     direct = apart.filter(_similar(percent)).select("a", "b")
     inner = _member_pairs(apart.filter(~_similar(percent)), leads, percent)
     extra = _overlaps(stage(inner, "inner"), texts, width).filter(_similar(percent)).select("a", "b")
-    return members, met.select("a", "b").union(direct).union(extra), stage
+    return members, met.select("a", "b").union(usual).union(crowded).union(direct).union(extra), stage
 
 
 def _leader_pairs(index: DataFrame, leads: DataFrame, percent: int, stage: Staging) -> DataFrame:
     """Leaders that meet in a list within reach of each other's size and position."""
-    block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)
+    block = lambda n: F.floor(F.log(F.col(n).cast("double")) / F.log(F.lit(max(100 / percent, 1.001))) + 1e-9)
     rest = (F.col("n") - F.col("at")).alias("rest")
     entries = (
         index.join(leads.select("set", "lead", "part"), "set")
-        .select("h", "common", "lead", "part", "n", "at", rest, "short")
-        .groupBy("h", "common", "lead", "part")
-        .agg(
-            *(F.min("n").alias("low"), F.max("n").alias("high"), F.max("at").alias("at")),
-            *(F.max("rest").alias("rest"), F.max("short").alias("short")),
-        )
+        .select("h", "lead", "part", "n", "at", rest)
+        .groupBy("h", "lead", "part")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("at").alias("at"), F.max("rest").alias("rest"))
     )
     many = Window.partitionBy("h")
-    ends = {"_first": F.min("part").over(many), "_last": F.max("part").over(many), "_any": F.max("short").over(many)}
-    entries = entries.withColumns(ends).filter("_first < _last and (not common or _any)")
-    entries = stage(entries.drop(*ends), "entries")
+    ends = {"_first": F.min("part").over(many), "_last": F.max("part").over(many)}
+    entries = stage(entries.withColumns(ends).filter("_first < _last").drop(*ends), "entries")
     own = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high"))))
     reach = entries.withColumn("block", F.explode(F.sequence(block("low"), block("high") + 1)))
-    found = _meeting(own.filter("not common"), reach.filter("not common"), percent)
-    for one, two in ((own, reach), (reach, own)):
-        found = found.union(_meeting(one.filter("common and short"), two.filter("common"), percent))
-    return found.distinct()
+    return _meeting(own, reach, percent)
 
 
 def _meeting(one: DataFrame, two: DataFrame, percent: int) -> DataFrame:

@@ -200,6 +200,31 @@ def test_ngram_join_equals_brute_force(spark, width, percent):
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+def test_ngram_join_compares_few_of_many_near_copies(spark, monkeypatch):
+    """Copies that lie near the threshold on both sides list the same shingles, but are not compared with one another."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base, rows = [word() for _ in range(400)], []
+    for i in range(160):
+        copy = list(base)
+        for place in rng.sample(range(1, 400), i % 14):
+            copy[place] = word()
+        rows.append((i, " ".join(copy)))
+    sets = {i: shingles(t, 3) for i, t in rows}
+    linked = [(i, j) for i, _ in rows for j in range(i) if 100 * len(sets[i] & sets[j]) >= 90 * len(sets[i] | sets[j])]
+    compared = []
+    sieved = ngram_join._sieved
+
+    def counted(pairs, *others):
+        compared.append(pairs.count())
+        return sieved(pairs, *others)
+
+    monkeypatch.setattr(ngram_join, "_sieved", counted)
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(list(sets), linked)
+    assert sum(compared) < 10 * len(rows)
+
+
 def test_ngram_join_edges(spark, docs):
     kept = ngram_join.one_of_each(docs, width=3, percent=60)
     assert kept.columns == docs.columns
