@@ -30,9 +30,29 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+class Leaving(Staging):
+    """Staging after which a query leaves no shuffle files: what it wrote is read from the staged frame.
+
+    Otherwise Spark keeps them until the driver happens to collect its garbage, for all steps of a job together.
+    """
+
+    SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        was = self.spark.conf.get(self.SETTING, None)
+        self.spark.conf.set(self.SETTING, "true")
+        try:
+            return super().__call__(df, name)
+        finally:
+            if was is None:
+                self.spark.conf.unset(self.SETTING)
+            else:
+                self.spark.conf.set(self.SETTING, was)
+
+
 def staging(spark: SparkSession) -> Staging:
     """Staging in the shared folder, deleted when the application ends."""
-    return Staging(importable(spark))
+    return Leaving(importable(spark))
 
 
 class Recent:

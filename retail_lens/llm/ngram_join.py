@@ -54,8 +54,8 @@ COMMON = 16
 KEYS, SPREAD = 6, 64
 #: Bands of sizes, from one size to the largest that can be linked with it, in which the crowd meets.
 BANDS = 10
-#: So many keys are looked up among the documents before these are packed, which Spark does without moving texts.
-FEW = 400_000
+#: Bits that say which keys may be wanted, so that the texts of few others are packed and moved.
+BITS = 1 << 22
 
 _SIGNED, _TINY = np.int64, np.uint64(0x5851F42D4C957F2D)
 _FACTORS = np.array([[2 * j + 0x10001] for j in range(KEYS)], np.uint64)
@@ -138,22 +138,21 @@ def _index(classes: DataFrame, percent: int, stage: Staging, once: Staging) -> t
     listed = classes.select("set", "n", F.posexplode("zone").alias("at", "h"))
     shared = listed.withColumn("lists", F.count(F.lit(1)).over(by_shingle)).filter("lists > 1")
     shared = once(shared.withColumn("common", F.col("lists") > COMMON).drop("lists"), "shared")
+    own = Window.partitionBy("set")
     prefix = _prefix(F.col("n"), percent)
     # The j-th common place c (from 0) has c - j others before it: it lies within the list if these are too few.
-    places = shared.groupBy("set").agg(
-        F.first("n").alias("n"), F.count(F.lit(1)).alias("lists"), F.sort_array(F.collect_list(F.when(F.col("common"), F.col("at")))).alias("places")
-    )
-    end = prefix + F.size(F.filter("places", lambda c, j: c - j < prefix))
+    before = F.count(F.when(F.col("common"), 1)).over(own.orderBy("at").rowsBetween(Window.unboundedPreceding, -1))
+    known = shared.withColumns({"lists": F.count(F.lit(1)).over(own), "within": F.col("common") & (F.col("at") - before < prefix)})
+    known = known.withColumn("end", prefix + F.count(F.when(F.col("within"), 1)).over(own))
     short = F.col("end") > F.least(_zone(F.col("n"), percent), "n")
-    linkable = places.filter(F.col("lists") >= _least_shared(F.col("n"), percent))
-    ends = once(linkable.withColumn("end", end).select("set", "end", short.alias("short")), "ends")
-    known = shared.join(ends, "set")
+    known = known.filter(F.col("lists") >= _least_shared(F.col("n"), percent)).withColumn("short", short)
+    known = once(known.select("h", "set", "n", "at", "common", "end", "short"), "known")
     index = stage(known.filter("not short and not common and at < end").select("h", "set", "n", "at"), "index")
     near = known.filter("short").groupBy("h").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     beside = known.filter("not short").join(near, "h").filter(_large_enough("n", "low", percent) & _large_enough("high", "n", percent))
     beside = beside.groupBy("set").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("lists"))
     beside = beside.filter(F.col("lists") >= _least_shared(F.col("n"), percent))
-    return index, stage(ends.filter("short").select("set").union(beside.select("set")), "crowd")
+    return index, stage(known.filter("short").select("set").distinct().union(beside.select("set")), "crowd")
 
 
 def _spelled(crowd: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -229,9 +228,11 @@ def _crowd_pairs(spelled: DataFrame, parts: DataFrame, percent: int, stage: Stag
     return found.select(F.least("set1", "set2").alias("a"), F.greatest("set1", "set2").alias("b")).distinct()
 
 
-def _sieved(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _sieved(pairs: DataFrame, classes: DataFrame, stage: Staging) -> DataFrame:
     """The pairs (a, b, limit) whose distance may be within the limit by their sieves."""
-    side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias("n" + c), F.col("sieve").alias("s" + c))
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    wanted = stage(classes.select("set", "n", "sieve").join(wanted, "set", "left_semi"), "sieves")
+    side = lambda c: wanted.select(F.col("set").alias(c), F.col("n").alias("n" + c), F.col("sieve").alias("s" + c))
     rows = pairs.select("a", "b", "limit").join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,12 +262,11 @@ def _texts(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: Stagin
             packed = [pack(_bytes(t)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], ["name", "text"])
 
-    docs = docs.filter("k is not null")
-    if reps.count() <= FEW:
-        packed = docs.join(reps, F.col("k") == F.col("rep")).select("set", "text").mapInArrow(run, "name long, text binary")
-        packed = packed.withColumnRenamed("name", "set")
-    else:
-        packed = docs.mapInArrow(run, "name long, text binary").join(reps, F.col("name") == F.col("rep"))
+    bit = lambda key: F.col(key).bitwiseAND(F.lit(BITS - 1))
+    place = lambda key: F.col(key).bitwiseAND(F.lit(63)).cast("int")
+    words = reps.groupBy(F.shiftright(bit("rep"), 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place("rep"))).alias("bits"))
+    some = docs.join(F.broadcast(words), F.shiftright(bit("k"), 6) == F.col("word")).filter(F.getbit("bits", place("k")) == 1)
+    packed = some.select("k", "text").mapInArrow(run, "rep long, text binary").join(reps, "rep")
     # A key may be given with several texts; the class is known by the set, so the right one is found when unpacked.
     return stage(packed.dropDuplicates(["set", "text"]).select("set", "text"), "texts")
 
@@ -354,7 +354,7 @@ def links(
     heads = once(heads.filter("rows > 1").select("key", "head.a", "head.na", "rows"), "heads")
     star = join_spread(keyed, heads, "key", "rows").filter("a <> set").filter(_fits("na", "n", percent))
     star = once(star.select("a", F.col("set").alias("b")).distinct().withColumn("limit", F.lit(limit)), "star")
-    star = stage(_sieved(star, classes), "star")
+    star = stage(_sieved(star, classes, once), "star")
     once.drop()
     texts = _texts(docs, classes, star.select(F.col("a").alias("set")).union(star.select("b")), stage)
     met = stage(_overlaps(star, texts, width).filter(_similar(percent)), "met")
@@ -366,8 +366,8 @@ def links(
     usual = stage(_overlaps(usual, texts, width).filter(_similar(percent)).select("a", "b"), "met")
     parts = stage(components(met.select("a", "b").union(usual), stage), "parts")
     crowded = stage(_crowd_pairs(spelled, parts, percent, once).withColumn("limit", F.lit(limit)), "pairs")
+    crowded = stage(_sieved(crowded, classes, once), "pairs")
     once.drop()
-    crowded = stage(_sieved(crowded, classes), "pairs")
     crowded = stage(_overlaps(crowded, texts, width).filter(_similar(percent)).select("a", "b"), "met")
 
     hung = met.groupBy(F.col("b").alias("set")).agg(F.min(F.struct(F.col("a").alias("lead"), _distance().alias("far"))).alias("h"))
@@ -381,11 +381,12 @@ def links(
     )
 
     radius = leads.groupBy("lead").agg(F.max("far").alias("radius"))
-    pairs = stage(_leader_pairs(index, leads, percent, once), "pairs")
-    once.drop()
+    pairs = once(_leader_pairs(index, leads, percent, once), "pairs")
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "a", "radius": "ra"}), "a")
     pairs = pairs.join(radius.withColumnsRenamed({"lead": "b", "radius": "rb"}), "b")
-    pairs = stage(_sieved(pairs.withColumn("limit", limit + F.col("ra") + F.col("rb")), classes), "pairs")
+    pairs = once(pairs.withColumn("limit", limit + F.col("ra") + F.col("rb")), "pairs")
+    pairs = stage(_sieved(pairs, classes, once), "pairs")
+    once.drop()
     # Members of a leader have been fetched already; so have leaders with members.
     new = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(texts.select("set"), "set", "left_anti")
     texts = texts.unionByName(_texts(docs, classes, new, stage))

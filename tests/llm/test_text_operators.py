@@ -13,6 +13,7 @@ import sentencepiece
 from llm.helpers import LONG, TEXTS, components, documents, empty, shingles, words
 from pyspark.sql import functions as F
 from retail_lens.llm import bpe_automaton, licences, minimax_shards, mixing, ngram_join, token_counts, toxicity
+from retail_lens.llm.common import Leaving, staging
 from retail_lens.llm.shingles import shingle_set
 from tokenizers import Tokenizer
 
@@ -225,6 +226,14 @@ def test_ngram_join_compares_few_of_many_near_copies(spark, monkeypatch):
     assert sum(compared) < 10 * len(rows)
 
 
+def test_staged_steps_leave_no_shuffle_files(spark):
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before, setting = tracker.shuffleStatuses().size(), spark.conf.get(Leaving.SETTING, None)
+    counts = staging(spark)(spark.range(1000).groupBy((F.col("id") % 7).alias("rest")).count(), "counts")
+    assert tracker.shuffleStatuses().size() <= before
+    assert counts.count() == 7 and spark.conf.get(Leaving.SETTING, None) == setting
+
+
 def test_ngram_join_edges(spark, docs):
     kept = ngram_join.one_of_each(docs, width=3, percent=60)
     assert kept.columns == docs.columns
